@@ -39,8 +39,8 @@ def lookup(
         cond = cond & (df[left] == side[f"__k_{right}"])
     left_df = df
     if salts > 1:
-        left_df = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-        side = side.withColumn("__dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+        left_df = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+        side = side.withColumn("__dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         cond = cond & (F.col("__salt") == F.col("__dim_salt"))
     joined = left_df.join(side, cond, "left")
     return joined.select(*[df[c] for c in df.columns], *[F.col(f"__v_{c}").alias(n) for c, n in cols.items()])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import incremental, lookup
+from tidemark.operators import flow, lookup
 from tidemark.operators.dedup import dedup_first
 from tidemark.session import materialize
 from tidemark.sources.sinks import replace_partitions, write_replace
@@ -108,23 +108,27 @@ def backlog_store(
     return store
 
 
-def refresh_store(trips_path: str, fact_path: str) -> Callable[[DataFrame, int], None]:
-    """Append the batch to the trips and re-aggregate the station-hours it touches.
+def refresh_store(legs_path: str, fact_path: str) -> Callable[[DataFrame, int], None]:
+    """Store the legs of the batch and re-aggregate the station-hours they touch.
 
-    Only the days with touched grains are rewritten. The fact is a function of the stored
-    trips, so a repeated batch changes nothing.
+    Legs lie by the day of their hour, so a batch reads and rewrites only the days it
+    touches. The fact is a function of the stored legs: a repeated batch changes nothing.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), trips_path, ["batch_id"])
-        grains = materialize(incremental.affected_grains(batch), "grains")
-        trips = spark.read.parquet(trips_path).filter(F.col("batch_id") <= batch_id)
-        days = grains.select(F.to_date("date_hour").alias("day")).distinct()
-        fresh = incremental.reaggregate(trips, grains).withColumn("day", F.to_date("date_hour"))
+        legs = flow.trip_legs(batch).withColumns({"day": F.to_date("date_hour"), "batch_id": F.lit(batch_id)})
+        legs = materialize(legs, "legs")
+        replace_partitions(legs, legs_path, ["day", "batch_id"])
+        grains = materialize(legs.select("day", *flow.GRAIN).distinct(), "grains")
+        stored = spark.read.schema(legs.schema).parquet(legs_path).filter(F.col("batch_id") <= batch_id)
+        # ``day`` is a partition column: the semi join prunes the scan to the touched days.
+        touched = stored.join(grains, ["day", *flow.GRAIN], "left_semi")
+        fresh = flow.balance_legs(touched).withColumn("day", F.to_date("date_hour"))
         if batch_id > 0:
-            old = spark.read.parquet(fact_path).join(days, "day", "left_semi")
-            kept = old.join(grains, ["city_sk", "source_station_id", "date_hour"], "left_anti")
+            days = grains.select("day").distinct()
+            old = spark.read.schema(fresh.schema).parquet(fact_path).join(days, "day", "left_semi")
+            kept = old.join(grains, ["day", *flow.GRAIN], "left_anti")
             fresh = fresh.unionByName(kept.select(*fresh.columns))
         replace_partitions(materialize(fresh, "fact-days"), fact_path, ["day"])
 
