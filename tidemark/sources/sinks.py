@@ -9,21 +9,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def _by_partition(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Bring the rows of a partition value together: few files instead of one per task.
+
+    A rebalance is adaptive: Spark splits a value that holds very many rows over several
+    tasks and merges small ones.
+    """
+    return df.hint("rebalance", *cols) if cols else df
+
+
 def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Truncate and load. The plan of ``df`` must not read ``path``."""
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = _by_partition(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("append")
+    writer = _by_partition(df, partition_by).write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Overwrite exactly the partitions that occur in ``df``; the others stay."""
     (
-        df.write.mode("overwrite")
+        _by_partition(df, partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(path)
@@ -37,7 +47,8 @@ def replace_run(df: DataFrame, path: str) -> None:
 
 def export_csv(df: DataFrame, path: str) -> None:
     """Delimited files with a header, one part per task."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(header=True, **keep).csv(path)
 
 
 def export_jsonl(df: DataFrame, path: str, text_col: str | None = None) -> None:

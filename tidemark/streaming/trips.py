@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +16,18 @@ from tidemark.sources.sinks import replace_partitions, write_replace
 # Fixed value: lookback of the pulled sources, used as the lateness bound.
 DELAY = "3 days"
 
+# Event times need a time zone in Spark. Local times are moved through UTC by plain
+# arithmetic, so the session time zone and its clock changes play no part.
+_INSTANT, _LOCAL = "timestamp '1970-01-01 00:00:00Z'", "timestamp_ntz '1970-01-01 00:00:00'"
+
+
+def as_instant(ts: str) -> Column:
+    return F.expr(f"{_INSTANT} + ({ts} - {_LOCAL})")
+
+
+def as_local(instant: str) -> Column:
+    return F.expr(f"{_LOCAL} + ({instant} - {_INSTANT})")
+
 
 def hourly_flow(trips: DataFrame, delay: str = DELAY, start: str = "started_at", end: str = "ended_at") -> DataFrame:
     """Trips started and ended per city, station and tumbling hour.
@@ -39,14 +51,15 @@ def hourly_flow(trips: DataFrame, delay: str = DELAY, start: str = "started_at",
         ).alias("leg"),
     ).select("city_sk", "leg.*").filter("source_station_id is not null")
     counted = (
-        legs.withWatermark("ts", delay)
+        legs.withColumn("ts", as_instant("ts"))
+        .withWatermark("ts", delay)
         .groupBy("city_sk", "source_station_id", F.window("ts", "1 hour"))
         .agg(F.sum("started").alias("trips_started"), F.sum(1 - F.col("started")).alias("trips_ended"))
     )
     return counted.select(
         "city_sk",
         "source_station_id",
-        F.col("window.start").alias("date_hour"),
+        as_local("window.start").alias("date_hour"),
         "trips_started",
         "trips_ended",
         (F.col("trips_ended") - F.col("trips_started")).alias("net_flow"),
@@ -55,7 +68,8 @@ def hourly_flow(trips: DataFrame, delay: str = DELAY, start: str = "started_at",
 
 def dedup_stream(trips: DataFrame, keys: Sequence[str], ts: str, delay: str = DELAY) -> DataFrame:
     """First arrival of each key; keys are forgotten ``delay`` after their event time."""
-    return trips.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
+    timed = trips.withColumn("__event_time", as_instant(ts)).withWatermark("__event_time", delay)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("__event_time")
 
 
 def run_once(stream: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, mode: str) -> StreamingQuery:
