@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.functions import clean, measures
 
@@ -91,8 +92,16 @@ def observed_codes(
 
 
 def static_dim(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A declared constant dimension (weather conditions, source registry, holidays)."""
-    return spark.createDataFrame(list(rows), schema)
+    """A declared constant dimension (weather conditions, source registry, holidays).
+
+    Made of literals, so its size is known when the query is planned and joins with it
+    never shuffle the other side by its few values.
+    """
+    fields = StructType.fromDDL(schema).fields
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def weather_conditions(spark: SparkSession) -> DataFrame:

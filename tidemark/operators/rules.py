@@ -98,9 +98,12 @@ def _verdict(rule, rules: RuleSet) -> list[Column]:
     ]
 
 
-def _keyed(df: DataFrame, keys: Sequence[Column]) -> tuple[DataFrame, list[str]]:
-    names = [f"__k{i}" for i in range(len(keys))]
-    return df.withColumns(dict(zip(names, keys))), names
+def _keyed(df: DataFrame, keys: Sequence[Column], drop_null: bool = True) -> DataFrame:
+    """Add the key as one struct column ``__key``; optionally without NULL keys."""
+    if drop_null:
+        for k in keys:
+            df = df.filter(k.isNotNull())
+    return df.withColumn("__key", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]))
 
 
 def duplicate_rows(
@@ -114,12 +117,9 @@ def duplicate_rows(
     Only keys and counts are shuffled to find the groups. The rows of frequent keys are
     picked by broadcast, see ``skew``.
     """
-    grouped, names = _keyed(df, group_keys or keys)
-    counts = skew.key_counts(grouped.filter(~skew.any_null(names)), names).filter("n_rows > 1")
-    rows, _ = _keyed(df, keys)
+    counts = skew.key_counts(_keyed(df, group_keys or keys), ["__key"]).filter("n_rows > 1")
     hot = skew.hot_keys(counts, hot_rows=hot_rows)
-    found = skew.attach_by_key(rows.filter(~skew.any_null(names)), counts, names, hot, keep_unmatched=False)
-    return found.drop("n_rows", *names)
+    return skew.attach_counts(_keyed(df, keys), counts, "__key", hot).drop("n_rows", "__key")
 
 
 def dq_details(df: DataFrame, rules: RuleSet, with_payload: bool = True) -> DataFrame:
@@ -141,10 +141,9 @@ def dq_details(df: DataFrame, rules: RuleSet, with_payload: bool = True) -> Data
 
 def duplicate_row_count(df: DataFrame, rule: DuplicateRule) -> DataFrame:
     """One row: how many rows sit in groups of more than one."""
-    keyed, names = _keyed(df, rule.summary_keys)
     if rule.summary_skips_null:
-        keyed = keyed.filter(F.col(names[-1]).isNotNull())
-    counts = skew.key_counts(keyed, names)
+        df = df.filter(rule.summary_keys[-1].isNotNull())
+    counts = skew.key_counts(_keyed(df, rule.summary_keys, drop_null=False), ["__key"])
     return counts.agg(F.coalesce(F.sum(F.when(F.col("n_rows") > 1, F.col("n_rows"))), F.lit(0)).alias("__dup"))
 
 

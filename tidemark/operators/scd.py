@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import skew
-from tidemark.operators.ordered import neighbour, rank_rows
+from tidemark.operators.ordered import number_intervals, previous_value
 from tidemark.operators.upsert import differs, upsert
 
 # Fixed value: start of the first version when the change time is not to be used.
@@ -50,17 +50,16 @@ def scd2_from_changes(
 
     ``slice_by`` (monotone in ``ts``, e.g. its month) splits long histories over tasks.
     """
-    seen = neighbour(changes, keys, ts, signature(tracked), "__prev", slice_by=slice_by)
+    seen = previous_value(changes, keys, ts, signature(tracked), "__prev", slice_by)
     starts = seen.filter(~F.col("__prev").eqNullSafe(signature(tracked))).select(*keys, *tracked, ts)
-    ended = neighbour(starts, keys, ts, F.col(ts), "effective_to", following=True, slice_by=slice_by)
-    numbered = rank_rows(ended, keys, [F.col(ts)], "version", slice_by=slice_by)
+    numbered = number_intervals(starts, keys, ts, "effective_to", "version", slice_by)
     return numbered.select(
         *keys,
         *tracked,
         F.col(ts).alias("effective_from"),
         "effective_to",
         F.col("effective_to").isNull().alias("is_current"),
-        F.col("version").cast("bigint").alias("version"),
+        "version",
     )
 
 

@@ -31,7 +31,7 @@ def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> Data
 
 
 def hot_keys(counts: DataFrame, name: str = "n_rows", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows, at most ``HOT_KEYS`` of them.
+    """The rows of ``counts`` with more than ``hot_rows`` rows, at most ``HOT_KEYS``.
 
     A key left out holds no more than ``hot_rows`` rows or, if more than ``HOT_KEYS``
     keys are hot, less than 1/``HOT_KEYS`` of the table.
@@ -39,45 +39,23 @@ def hot_keys(counts: DataFrame, name: str = "n_rows", hot_rows: int = HOT_ROWS)
     return counts.filter(F.col(name) > hot_rows).orderBy(F.desc(name)).limit(HOT_KEYS)
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool = True) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & (left[k].eqNullSafe(right[k]) if null_safe else left[k] == right[k])
-    return cond
+def attach_counts(df: DataFrame, counts: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose key is in ``counts``, with the count; ``hot`` is a part of it.
+
+    ``key`` is one column, never NULL (a struct for several or nullable columns: NULL
+    fields compare as equal inside a struct). Rows of hot keys are not shuffled.
+    """
+    from_hot = df.join(F.broadcast(hot), key)
+    cold = df.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return from_hot.unionByName(cold.join(counts, key))
 
 
-def attach_by_key(
-    df: DataFrame,
-    values: DataFrame,
-    keys: Sequence[str],
-    hot: DataFrame | None = None,
-    keep_unmatched: bool = True,
-) -> DataFrame:
-    """Add the columns of ``values`` (one row per key, NULL a key value) to the rows of ``df``.
+def spread_null_keys(keys: Sequence[str], cols: Sequence[str], parts: int = 256) -> Column:
+    """Extra join key: 0 for complete keys, else a value that differs by row and task.
 
-    ``hot`` names the frequent keys; their rows are not shuffled.
+    Rows with a NULL key match nothing, but an outer join would send all of them to one
+    task. The value depends only on the row and its input partition, so a repeated task
+    gives the same rows.
     """
-    how = "left" if keep_unmatched else "inner"
-    added = [c for c in values.columns if c not in keys]
-
-    def attach(rows: DataFrame, vals: DataFrame, mode: str) -> DataFrame:
-        r, v = rows.alias("r"), vals.alias("v")
-        cond = F.lit(True)
-        for k in keys:
-            cond = cond & F.col(f"r.`{k}`").eqNullSafe(F.col(f"v.`{k}`"))
-        return r.join(v, cond, mode).select("r.*", *[F.col(f"v.`{c}`") for c in added])
-
-    if hot is None:
-        return attach(df, values, how)
-    hot = hot.select(*keys)
-    hot_values = values.alias("v").join(F.broadcast(hot.alias("h")), _pair("v", "h", keys), "left_semi")
-    from_hot = attach(df, F.broadcast(hot_values), "inner")
-    cold = df.alias("r").join(F.broadcast(hot.alias("h")), _pair("r", "h", keys), "left_anti")
-    return from_hot.unionByName(attach(cold, values, how))
-
-
-def _pair(left: str, right: str, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`"))
-    return cond
+    spread = F.pmod(F.xxhash64(*cols) + F.spark_partition_id(), F.lit(parts)) + 1
+    return F.when(any_null(keys), spread).otherwise(F.lit(0)).cast("int")

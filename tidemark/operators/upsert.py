@@ -27,22 +27,24 @@ def upsert_actions(
     keys: Sequence[str],
     update_cols: Sequence[str] | None = None,
     insert_only: Sequence[str] = (),
+    null_keys: bool = True,
 ) -> DataFrame:
     """New snapshot plus ``action``: insert, update, unchanged or kept.
 
     Both sides hold one row per key. ``update_cols`` (default: all non-key columns of the
     source) are compared and overwritten; ``insert_only`` columns keep their first value.
-    A NULL key matches nothing: such rows bypass the join, where they would all meet in
-    one task.
+    A NULL key matches nothing, so such rows are kept or inserted; they are spread over
+    the tasks. ``null_keys=False`` says that there are none and saves that step.
     """
     cols = target.columns
     given = set(source.columns)
     if update_cols is None:
         update_cols = [c for c in cols if c in given and c not in keys and c not in insert_only]
-    t_null, s_null = skew.any_null(keys), skew.any_null(keys)
-    t = target.filter(~t_null).select(*[F.col(c).alias(f"t_{c}") for c in cols], F.lit(True).alias("t__"))
-    s = source.filter(~s_null).select(*[F.col(c).alias(f"s_{c}") for c in cols if c in given], F.lit(True).alias("s__"))
-    cond = F.lit(True)
+    t_spread = skew.spread_null_keys(keys, target.columns) if null_keys else F.lit(0)
+    s_spread = skew.spread_null_keys(keys, source.columns) if null_keys else F.lit(0)
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in cols], t_spread.alias("t__"))
+    s = source.select(*[F.col(c).alias(f"s_{c}") for c in cols if c in given], s_spread.alias("s__"))
+    cond = F.col("t__") == F.col("s__") if null_keys else F.lit(True)
     for k in keys:
         cond = cond & (F.col(f"t_{k}") == F.col(f"s_{k}"))
     in_t, in_s = F.col("t__").isNotNull(), F.col("s__").isNotNull()
@@ -59,24 +61,17 @@ def upsert_actions(
         return F.when(F.col("action") == "insert", F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c)
 
     joined = t.join(s, cond, "full").withColumn("action", action)
-    out = joined.select(*[value(c) for c in cols], "action")
-    types = {f.name: f.dataType for f in target.schema.fields}
-    loose_s = source.filter(s_null).select(
-        *[(F.col(c) if c in given else F.lit(None)).cast(types[c]).alias(c) for c in cols],
-        F.lit("insert").alias("action"),
-    )
-    loose_t = target.filter(t_null).withColumn("action", F.lit("kept"))
-    return out.unionByName(loose_t).unionByName(loose_s)
+    return joined.select(*[value(c) for c in cols], "action")
 
 
-def upsert(target, source, keys, update_cols=None, insert_only=()) -> DataFrame:
+def upsert(target, source, keys, update_cols=None, insert_only=(), null_keys=True) -> DataFrame:
     """The new snapshot of ``target``."""
-    return upsert_actions(target, source, keys, update_cols, insert_only).drop("action")
+    return upsert_actions(target, source, keys, update_cols, insert_only, null_keys).drop("action")
 
 
-def upsert_stats(target, source, keys, update_cols=None, insert_only=()) -> DataFrame:
+def upsert_stats(target, source, keys, update_cols=None, insert_only=(), null_keys=True) -> DataFrame:
     """Rows per action."""
-    acts = upsert_actions(target, source, keys, update_cols, insert_only)
+    acts = upsert_actions(target, source, keys, update_cols, insert_only, null_keys)
     return acts.groupBy("action").agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.measures import ratio
+from tidemark.operators.dims import static_dim
 
 # KPI codes with their names and targets in the report.
 KPI_NAMES = {
@@ -183,7 +184,7 @@ def kpi(base: DataFrame, code: str, s: KpiSettings = KpiSettings()) -> DataFrame
 
 
 def targets_frame(spark: SparkSession, targets: Mapping[str, float | None] = KPI_TARGETS) -> DataFrame:
-    return spark.createDataFrame(list(targets.items()), "kpi_code string, target double")
+    return static_dim(spark, list(targets.items()), "kpi_code string, target double")
 
 
 def plan_actual(kpis: DataFrame, targets: DataFrame, periods: Sequence[str]) -> DataFrame:
@@ -198,7 +199,7 @@ def sanity(kpis: DataFrame, codes: Sequence[str], periods: Sequence[str], cities
     """Missing, NULL or infinite cells of the expected code x period (x city) grid."""
     spark = kpis.sparkSession
     grid = [(c, p, t) for c in codes for p in [*periods, "YTD"] for t in (cities if c == "K" else [None])]
-    expected = spark.createDataFrame(grid, "kpi_code string, period string, city_code string")
+    expected = static_dim(spark, grid, "kpi_code string, period string, city_code string")
     k = kpis.select("kpi_code", "period", "city_code", "actual_value", F.lit(True).alias("__hit")).alias("k")
     e = expected.alias("e")
     on = (F.col("e.kpi_code") == F.col("k.kpi_code")) & (F.col("e.period") == F.col("k.period"))

@@ -129,7 +129,7 @@ def load_trips(trip: DataFrame, resolved: DataFrame, ctx: RunContext) -> tuple[D
     ready, backlog = lookup.split_pending(resolved, ID_TO_SK)
     business = [c for c in TRIP_COLUMNS if c not in (*TRIP_KEY, "loaded_at", "updated_at")]
     source = ready.select(*TRIP_COLUMNS)
-    acts = upsert_actions(trip, source, TRIP_KEY, business, ["loaded_at", "updated_at"])
+    acts = upsert_actions(trip, source, TRIP_KEY, business, ["loaded_at", "updated_at"], null_keys=False)
     stamp = F.when(F.col("action") == "update", _now(ctx)).otherwise(F.col("updated_at"))
     moved = acts.withColumn("updated_at", stamp)
     return moved.select(*trip.columns), backlog
@@ -204,4 +204,4 @@ FACT_KEY = ["station_sk", "datetime_sk"]
 def load_fact(fact: DataFrame, rows: DataFrame) -> DataFrame:
     """Upsert by (station, hour); rows without a station version or hour wait."""
     ready = rows.filter("station_sk is not null and datetime_sk is not null").select(*fact.columns)
-    return upsert(fact, ready, FACT_KEY, insert_only=["loaded_at"])
+    return upsert(fact, ready, FACT_KEY, insert_only=["loaded_at"], null_keys=False)
