@@ -374,7 +374,8 @@ def two_loads(t: Tables) -> tuple[DataFrame, DataFrame]:
         "start_station_id",
         F.lit(str(SECOND_LOAD)).cast("timestamp_ntz").alias("loaded_at"),
     )
-    return first, second
+    order = ["loaded_at", "rideable_type", "start_station_id"]
+    return upsert.one_per_key(first, TRIP_KEY, order), upsert.one_per_key(second, TRIP_KEY, order)
 
 
 LOADS = {

@@ -79,6 +79,23 @@ def weather_grains(fact_grains: DataFrame, weather_changes: DataFrame) -> DataFr
     return fact_grains.select(*GRAIN).join(hours, ["city_sk", "date_hour"], "left_semi").select(*GRAIN)
 
 
+def prune_trips(trips: DataFrame, grains: DataFrame) -> DataFrame:
+    """Trips that can have a leg in the span of the (materialised) grains.
+
+    The bounds become literals, so the scan skips files and row groups by the statistics
+    of either time column.
+    """
+    low, high = grains.agg(F.min("date_hour"), F.max("date_hour")).first()
+    if low is None:
+        return trips.filter(F.lit(False))
+    after = high + timedelta(hours=1)
+
+    def inside(ts: str) -> Column:
+        return (F.col(ts) >= _literal(low)) & (F.col(ts) < _literal(after))
+
+    return trips.filter(inside("started_at") | inside("ended_at"))
+
+
 def reaggregate(trips: DataFrame, grains: DataFrame) -> DataFrame:
     """Flow measures of the given grains from all trips.
 

@@ -17,12 +17,15 @@ from tidemark.operators import skew
 
 _KEY, _SLICE = "__key", "__slice"
 _PARTS = [_KEY, _SLICE]
+LAYOUT = (_KEY, _SLICE)
 _HELPERS = [_KEY, _SLICE, "__v", "__in", "__carry", "__before", "__next"]
 
 
 def _sliced(df: DataFrame, keys: Sequence[str], slice_by: Column) -> DataFrame:
     # One struct column: NULL key fields compare as equal, and windows, groups and joins
-    # all partition by the same expression.
+    # all partition by the same expression. A frame that has it already keeps its layout.
+    if _KEY in df.columns:
+        return df
     return df.withColumns({_KEY: F.struct(*keys), _SLICE: slice_by})
 
 
@@ -66,7 +69,10 @@ def rank_rows(
 def previous_value(
     df: DataFrame, keys: Sequence[str], ts: str, value: Column, name: str, slice_by: Column | None = None
 ) -> DataFrame:
-    """``lag(value)`` in ``ts`` order. (keys, ts) must be unique and ``value`` not NULL."""
+    """``lag(value)`` in ``ts`` order. (keys, ts) must be unique and ``value`` not NULL.
+
+    A sliced result keeps the ``LAYOUT`` columns for a following step.
+    """
     if slice_by is None:
         return df.withColumn(name, F.lag(value).over(Window.partitionBy(*keys).orderBy(ts)))
     sliced = _sliced(df, keys, slice_by).withColumn("__v", value)
@@ -76,7 +82,7 @@ def previous_value(
         .select(*_PARTS, F.lag("__last").over(_over_slices()).alias("__carry"))
     )
     inner = sliced.withColumn("__in", F.lag("__v").over(Window.partitionBy(*_PARTS).orderBy(ts)))
-    return inner.join(edges, _PARTS).withColumn(name, F.coalesce("__in", "__carry")).drop(*_HELPERS)
+    return inner.join(edges, _PARTS).withColumn(name, F.coalesce("__in", "__carry")).drop("__v", "__in", "__carry")
 
 
 def number_intervals(

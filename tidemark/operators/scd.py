@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import skew
-from tidemark.operators.ordered import number_intervals, previous_value
+from tidemark.operators.ordered import LAYOUT, number_intervals, previous_value
 from tidemark.operators.upsert import differs, upsert
 
 # Fixed value: start of the first version when the change time is not to be used.
@@ -51,7 +51,8 @@ def scd2_from_changes(
     ``slice_by`` (monotone in ``ts``, e.g. its month) splits long histories over tasks.
     """
     seen = previous_value(changes, keys, ts, signature(tracked), "__prev", slice_by)
-    starts = seen.filter(~F.col("__prev").eqNullSafe(signature(tracked))).select(*keys, *tracked, ts)
+    layout = [c for c in seen.columns if c in LAYOUT]
+    starts = seen.filter(~F.col("__prev").eqNullSafe(signature(tracked))).select(*keys, *tracked, ts, *layout)
     numbered = number_intervals(starts, keys, ts, "effective_to", "version", slice_by)
     return numbered.select(
         *keys,

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import skew
+from tidemark.operators.dedup import dedup_first
 
 
 def differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
@@ -21,6 +22,12 @@ def differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
     return out
 
 
+def one_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """The winning source row per key. Rows with a NULL key all stay: they match nothing."""
+    complete = source.filter(~skew.any_null(keys))
+    return dedup_first(complete, keys, order).unionByName(source.filter(skew.any_null(keys)))
+
+
 def upsert_actions(
     target: DataFrame,
     source: DataFrame,
@@ -31,7 +38,7 @@ def upsert_actions(
 ) -> DataFrame:
     """New snapshot plus ``action``: insert, update, unchanged or kept.
 
-    Both sides hold one row per key. ``update_cols`` (default: all non-key columns of the
+    Both sides hold one row per key (see ``one_per_key``). ``update_cols`` (default: all non-key columns of the
     source) are compared and overwritten; ``insert_only`` columns keep their first value.
     A NULL key matches nothing, so such rows are kept or inserted; they are spread over
     the tasks. ``null_keys=False`` says that there are none and saves that step.
