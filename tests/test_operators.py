@@ -4,10 +4,11 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, incremental, keys, lookup, match, ordered, rules, scd, skew, upsert
-from tidemark.operators.dedup import dedup_best, dedup_first
+from tidemark.operators.dedup import dedup_best, dedup_first, dedup_sparse
 from tidemark.plans import bike
 
 
@@ -94,6 +95,18 @@ def test_first_row_per_key_is_pruned_before_the_shuffle(spark):
     assert plan.index("Partial") > plan.index("hashpartitioning(k")
 
 
+@pytest.mark.parametrize("limit", [0, 1_000_000])
+def test_sparse_dedup_equals_plain_dedup(spark, monkeypatch, limit):
+    monkeypatch.setattr(skew, "BROADCAST_KEYS", limit)
+    df, _ = skewed(spark)
+    keys = ["k", "v", "ts"]
+    plain = dedup_first(df, keys, ["id"])
+    assert rows(dedup_sparse(df, keys, ["id"]), "id", *keys) == rows(plain, "id", *keys)
+    assert rows(ordered.count_over(df, ["k"], hot_rows=5), "id", "key_count") == rows(
+        df.withColumn("key_count", F.count("*").over(Window.partitionBy("k"))), "id", "key_count"
+    )
+
+
 def test_best_row_prefers_the_rank(spark):
     df = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (2, "c", 5)], "k int, kind string, t int")
     rank = F.when(F.col("kind") == "a", 1).otherwise(2)

@@ -17,30 +17,30 @@ def trip_legs(trips: DataFrame) -> DataFrame:
     ``trips`` holds city_sk, start/end_station_id, start/end_station_sk, started_at,
     ended_at, member_casual, rideable_type and duration_minutes.
     """
-    start = F.when(
-        F.col("start_station_sk").isNotNull(),
-        F.struct(
-            F.col("start_station_id").alias("source_station_id"),
-            measures.hour_of("started_at").alias("date_hour"),
-            F.lit(True).alias("is_start"),
-        ),
+    start = F.struct(
+        F.col("start_station_id").alias("source_station_id"),
+        measures.hour_of("started_at").alias("date_hour"),
+        F.lit(True).alias("is_start"),
+        F.col("start_station_sk").isNotNull().alias("counts"),
     )
-    end = F.when(
-        F.col("end_station_sk").isNotNull() & F.col("ended_at").isNotNull(),
-        F.struct(
-            F.col("end_station_id").alias("source_station_id"),
-            measures.hour_of("ended_at").alias("date_hour"),
-            F.lit(False).alias("is_start"),
-        ),
+    end = F.struct(
+        F.col("end_station_id").alias("source_station_id"),
+        measures.hour_of("ended_at").alias("date_hour"),
+        F.lit(False).alias("is_start"),
+        (F.col("end_station_sk").isNotNull() & F.col("ended_at").isNotNull()).alias("counts"),
     )
     legs = trips.select(
+        "city_sk", "member_casual", "rideable_type", "duration_minutes", F.explode(F.array(start, end)).alias("leg")
+    ).filter("leg.counts")
+    return legs.select(
         "city_sk",
+        "leg.source_station_id",
+        "leg.date_hour",
+        "leg.is_start",
         "member_casual",
         "rideable_type",
         "duration_minutes",
-        F.explode(F.array_compact(F.array(start, end))).alias("leg"),
     )
-    return legs.select("city_sk", "leg.*", "member_casual", "rideable_type", "duration_minutes")
 
 
 def balance_legs(legs: DataFrame) -> DataFrame:

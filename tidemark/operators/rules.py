@@ -117,12 +117,16 @@ def duplicate_rows(
 ) -> DataFrame:
     """Every member of a key group with more than one row; NULL keys never match.
 
-    Only keys and counts are shuffled to find the groups. The rows of frequent keys are
-    picked by broadcast, see ``skew``.
+    Candidates share a key hash, see ``skew.repeated_hashes`` (counted at once); only
+    they are grouped exactly. The rows of frequent keys are picked by broadcast.
     """
-    counts = skew.key_counts(_keyed(df, group_keys or keys), ["__key"]).filter("n_rows > 1")
+    groups = group_keys or keys
+    hashes = skew.repeated_hashes(df, groups)
+    grouped = _keyed(skew.rows_with(df, groups, hashes, "left_semi"), groups)
+    counts = skew.key_counts(grouped, ["__key"]).filter("n_rows > 1")
+    rows = _keyed(skew.rows_with(df, keys, hashes, "left_semi"), keys)
     hot = skew.hot_keys(counts, hot_rows=hot_rows)
-    return skew.attach_counts(_keyed(df, keys), counts, "__key", hot).drop("n_rows", "__key")
+    return skew.attach_counts(rows, counts, "__key", hot).drop("n_rows", "__key")
 
 
 def dq_details(df: DataFrame, rules: RuleSet, with_payload: bool = True) -> DataFrame:
@@ -134,8 +138,11 @@ def dq_details(df: DataFrame, rules: RuleSet, with_payload: bool = True) -> Data
     shown = [*LINEAGE, rules.key.alias("business_key")]
     if with_payload:
         shown.append(clean.raw_payload(rules.payload).alias("raw_payload"))
-    failed = F.array_compact(F.array(*[F.when(r.detail_fails(), F.struct(*_verdict(r, rules))) for r in rules.rules]))
-    out = df.select(*shown, F.explode(failed).alias("__v")).select("*", "__v.*").drop("__v")
+    # Positions of the failed rules; the texts are looked up for failing rows only.
+    failed = F.array(*[F.when(r.detail_fails(), F.lit(i + 1)) for i, r in enumerate(rules.rules)])
+    texts = F.array(*[F.struct(*_verdict(r, rules)) for r in rules.rules])
+    hits = df.select("*", F.explode(failed).alias("__i")).filter("__i is not null")
+    out = hits.select(*shown, F.element_at(texts, F.col("__i")).alias("__v")).select("*", "__v.*").drop("__v")
     if rules.duplicate is not None:
         dup = duplicate_rows(df, rules.duplicate.keys, rules.duplicate.group_keys)
         out = out.unionByName(dup.select(*shown, *_verdict(rules.duplicate, rules)))

@@ -14,8 +14,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 HOT_KEYS = 1000
 HOT_ROWS = 1_000_000
+BROADCAST_KEYS = 1_000_000  # 64-bit numbers: some tens of MB at most
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -39,15 +42,38 @@ def hot_keys(counts: DataFrame, name: str = "n_rows", hot_rows: int = HOT_ROWS)
     return counts.filter(F.col(name) > hot_rows).orderBy(F.desc(name)).limit(HOT_KEYS)
 
 
-def attach_counts(df: DataFrame, counts: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose key is in ``counts``, with the count; ``hot`` is a part of it.
+def key_hash(keys: Sequence[str | Column]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def repeated_hashes(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame | None:
+    """64-bit hashes that more than one row shares, written out; None if there are too many.
+
+    A superset of the repeated keys: a collision only adds a candidate. Counting shuffles
+    8 bytes per row instead of the row, and the few hits then select rows by broadcast.
+    """
+    counts = key_counts(df.select(key_hash(keys).alias("__hash")), ["__hash"])
+    found = materialize(counts.filter("n_rows > 1").select("__hash"), "repeated")
+    return found if found.count() <= BROADCAST_KEYS else None
+
+
+def rows_with(df: DataFrame, keys: Sequence[str | Column], hashes: DataFrame | None, how: str) -> DataFrame:
+    """Rows whose key hash is (``left_semi``) or is not (``left_anti``) among the hashes."""
+    if hashes is None:
+        return df
+    hit = F.broadcast(hashes)  # at most BROADCAST_KEYS numbers
+    return df.withColumn("__hash", key_hash(keys)).join(hit, "__hash", how).drop("__hash")
+
+
+def attach_counts(df: DataFrame, counts: DataFrame, key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows of ``df`` with the count of their key; ``hot`` is a part of ``counts``.
 
     ``key`` is one column, never NULL (a struct for several or nullable columns: NULL
     fields compare as equal inside a struct). Rows of hot keys are not shuffled.
     """
     from_hot = df.join(F.broadcast(hot), key)
     cold = df.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return from_hot.unionByName(cold.join(counts, key))
+    return from_hot.unionByName(cold.join(counts, key, how))
 
 
 def spread_null_keys(keys: Sequence[str], cols: Sequence[str], parts: int = 256) -> Column:

@@ -34,22 +34,15 @@ def hourly_flow(trips: DataFrame, delay: str = DELAY, start: str = "started_at",
 
     The watermark bounds the state; an hour is final ``delay`` after its end.
     """
-    legs = trips.select(
-        "city_sk",
-        F.explode(
-            F.array_compact(
-                F.array(
-                    F.struct(F.col("start_station_id").alias("source_station_id"), F.col(start).alias("ts"),
-                             F.lit(1).alias("started")),
-                    F.when(
-                        F.col(end).isNotNull(),
-                        F.struct(F.col("end_station_id").alias("source_station_id"), F.col(end).alias("ts"),
-                                 F.lit(0).alias("started")),
-                    ),
-                )
-            )
-        ).alias("leg"),
-    ).select("city_sk", "leg.*").filter("source_station_id is not null")
+    def leg(station: str, ts: str, started: int) -> Column:
+        return F.struct(F.col(station).alias("source_station_id"), F.col(ts).alias("ts"), F.lit(started).alias("started"))
+
+    both = F.array(leg("start_station_id", start, 1), leg("end_station_id", end, 0))
+    legs = (
+        trips.select("city_sk", F.explode(both).alias("leg"))
+        .select("city_sk", "leg.*")
+        .filter("source_station_id is not null and ts is not null")
+    )
     counted = (
         legs.withColumn("ts", as_instant("ts"))
         .withWatermark("ts", delay)
