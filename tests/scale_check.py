@@ -1,7 +1,7 @@
 """Times the main loads on a replicated, skewed events table.
 
 usage: scale_check.py <folder for the table> [copies] [query ...]
-A third of all rows gets one user and one station; a third of the raw rows is one ride.
+A third of all rows gets one user and one station; a sixth of all rows is one ride.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.checks.registry import check
-from tidemark.checks.tables import BALANCE, BEFORE, FIRST, GRAIN, PENDING
+from tidemark.checks.tables import AFTER, BALANCE, BEFORE, FIRST, GRAIN, PENDING
 from tidemark.checks.views import CTX, FIRST_LOAD, Tables, num, ts
 from tidemark.context import RunContext
 from tidemark.functions import clean
@@ -254,7 +254,7 @@ def _(t: Tables):
         return df.withColumn("month", F.date_format("date_hour", "yyyyMM")).select(*cols)
 
     sinks.replace_partitions(monthly(flow.station_hour_balance(t.nds_trips.filter(BEFORE))), path, ["month"])
-    grains = materialize(incremental.affected_grains(t.nds_trips.filter(~BEFORE)), "grains")
+    grains = materialize(incremental.affected_grains(t.nds_trips.filter(AFTER)), "grains")
     fresh = monthly(incremental.reaggregate(t.nds_trips, grains))
     stored = t.spark.read.schema(fresh.schema).parquet(path)
     touched = upsert.upsert_partitions(stored, fresh, GRAIN, ["month"])
@@ -429,7 +429,7 @@ def _(t: Tables):
         store = trips.backlog_store(out, resolve, id_to_sk, staged.schema)
         return trips.run_once(stream, store, checkpoint, "append")
 
-    two_waves(t, staged, BEFORE, ~BEFORE, start)
+    two_waves(t, staged, BEFORE, AFTER, start)
     ready = t.spark.read.parquet(f"{out}/ready")
     backlog = resolve(t.spark.read.parquet(f"{out}/backlog/snapshot=1"))
     shown = ["ride_id", "start_station_sk", "end_station_sk"]
@@ -459,7 +459,7 @@ def refreshed(t: Tables, after_wave=None) -> str:
     legs, fact = scratch_path(t.spark, "legs"), scratch_path(t.spark, "fact")
     rows = t.nds_trips.select(*NDS_COLUMNS)
     inbox, checkpoint = scratch_path(t.spark, "wave"), scratch_path(t.spark, "checkpoint")
-    for wave in (rows.filter(BEFORE), rows.filter(~BEFORE)):
+    for wave in (rows.filter(BEFORE), rows.filter(AFTER)):
         wave.write.mode("append").parquet(inbox)
         stream = t.spark.readStream.schema(rows.schema).parquet(inbox)
         trips.run_once(stream, trips.refresh_store(legs, fact), checkpoint, "append").awaitTermination()

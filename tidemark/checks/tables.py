@@ -17,7 +17,8 @@ from tidemark.session import materialize
 
 GRAIN = flow.GRAIN
 FIRST = "timestamp '2024-01-20 00:00:00'"
-BEFORE = F.col("loaded_at") <= F.lit(str(FIRST_LOAD)).cast("timestamp_ntz")
+BEFORE = "loaded_at <= timestamp_ntz '2024-01-20 00:00:00'"
+AFTER = "loaded_at > timestamp_ntz '2024-01-20 00:00:00'"
 
 # ---- joins ----
 
@@ -716,7 +717,7 @@ def _(t: Tables):
     """The first load as a full build, then the touched grains only: equals a full build."""
     first = t.nds_trips.filter(BEFORE)
     fact = flow.station_hour_balance(first)
-    grains = materialize(incremental.affected_grains(t.nds_trips.filter(~BEFORE)), "grains")
+    grains = materialize(incremental.affected_grains(t.nds_trips.filter(AFTER)), "grains")
     return incremental.refresh_fact(fact, t.nds_trips, grains)
 
 
@@ -738,7 +739,7 @@ def _(t: Tables):
         return df.withColumn("seen_at", F.lit(str(at)).cast("timestamp_ntz")).select(*cols)
 
     fact = seen(flow.station_hour_balance(t.nds_trips.filter(BEFORE)), FIRST_LOAD)
-    grains = materialize(incremental.affected_grains(t.nds_trips.filter(~BEFORE)), "grains")
+    grains = materialize(incremental.affected_grains(t.nds_trips.filter(AFTER)), "grains")
     fresh = seen(incremental.reaggregate(t.nds_trips, grains), SECOND_LOAD)
     return upsert.upsert(fact, fresh, GRAIN)
 
