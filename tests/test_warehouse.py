@@ -146,6 +146,18 @@ def test_late_changed_and_moved_rows_equal_a_full_build(spark):
     assert stamps["NYC_RIDE_004"] == (datetime(2026, 2, 16), datetime(2026, 2, 16))
 
 
+def test_weather_alone_refreshes_the_fact(spark):
+    root = scratch_path(spark, "wh")
+    warehouse.daily_run(warehouse.Warehouse(spark, root, "r1"), raw(spark), ctx(1))
+    two = warehouse.Warehouse(spark, root, "r2", previous="r1")
+    warehouse.daily_run(two, raw(spark, trips=[], weather=[("CHI", "08", "SN", "0"), ("NYC", "09", "FG", "0")]), ctx(2))
+    got = fact_rows(two)
+    assert len(got) == 9
+    assert got["CHI10001", 2026021508] == (1, 1, 0, 1, 0, "Snow")
+    assert got["6602.05", 2026021509] == (0, 1, 1, 0, 0, "Fog")
+    assert got["6602.05", 2026021508][5] == "Snow" and got["CHI10001", 2026021514][5] == "Rain"
+
+
 def test_a_late_master_resolves_stored_trips(spark):
     trips = spark.createDataFrame(
         [(1, "t1", "a", "b", 5, None), (1, "t2", "a", None, 5, None)],

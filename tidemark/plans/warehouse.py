@@ -187,11 +187,12 @@ def normalise(wh: Warehouse, ctx: RunContext) -> None:
     changed = after.filter(F.col("updated_at") == F.lit(str(ctx.cet)).cast("timestamp_ntz"))
     gone = old.join(changed.select(*loads.TRIP_KEY), loads.TRIP_KEY, "left_semi")
     grains = incremental.affected_grains(changed, gone)
-    wet = upsert.upsert_actions(wh.before("weather"), weather, ["city_sk", "observation_hour"], null_keys=False,
-                                insert_only=["loaded_at"])
-    known = flow.trip_legs(target).select(*flow.GRAIN).distinct()
-    by_weather = incremental.weather_grains(known, wet.filter("action in ('insert', 'update')"))
-    wh.write("grains", grains.unionByName(by_weather).distinct())
+    acts = upsert.upsert_actions(wh.before("weather"), weather, ["city_sk", "observation_hour"], null_keys=False,
+                                 insert_only=["loaded_at"])
+    wet = acts.filter("action in ('insert', 'update')").select("city_sk", "observation_hour")
+    wet = materialize(wet, "weather-changes")
+    known = flow.trip_legs(incremental.prune_trips(stored, wet.withColumnRenamed("observation_hour", "date_hour")))
+    wh.write("grains", grains.unionByName(incremental.weather_grains(known, wet)).distinct())
     _, backlog = lookup.split_pending(resolved, loads.ID_TO_SK)
     staged_keys = ["source_city_code", "ride_id"]
     wh.write("backlog", upsert.matching(trips, backlog, staged_keys))
@@ -204,8 +205,10 @@ def publish(wh: Warehouse, ctx: RunContext, missing_weather: str = "zero") -> Da
     wh.write("dim_city", upsert.upsert(wh.before("city"), city, ["city_code"]))
     dim = wh.write("dim_station", loads.load_dim_station(wh.before("dim_station"), station, ctx.lset, ctx.cet))
     grains, trips = wh.now("grains"), wh.now("trip")
-    span = dims.date_span([(trips, "started_at"), (trips, "ended_at")])
-    hours = wh.write("dim_datetime", dims.datetime_dim(span))
+    days = wh.now("calendar_day").agg(
+        F.min("calendar_date").alias("first_day"), F.max("calendar_date").alias("last_day")
+    )
+    hours = wh.write("dim_datetime", dims.datetime_dim(days))
     classes = wh.write("dim_weather", dims.weather_conditions(wh.spark))
     balance = incremental.reaggregate(incremental.prune_trips(trips, grains), grains)
     rows = loads.to_fact(balance, weather, loads.Star(dim, hours, classes), ctx, missing_weather)
