@@ -427,7 +427,7 @@ def present(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+            c = F.substring(c.cast("string"), 1, 19)  # no time zone involved
         elif isinstance(f.dataType, T.DateType):
             c = c.cast("string")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
