@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package from where the driver has it, unless told otherwise.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from tidemark.llm import decontaminate, mixing, simhash, warc
-from tidemark.llm.common import read
+from pyspark.sql import functions as F
 
-_HITS = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+from tidemark.llm import decontaminate, discriminant, language, maxent, mixing, secret_scan, simhash, supervision, surrogates, warc
+from tidemark.llm.common import fold, read
+
+_BASE_HITS = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+def op1_secret_scan(spark, sf_dir):
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
 
 
 def op2_warc(spark, sf_dir):
@@ -13,18 +19,60 @@ def op2_warc(spark, sf_dir):
 
 
 def op3_decontaminate(spark, sf_dir):
-    return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(*_HITS)
+    return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(*_BASE_HITS)
+
+
+def language_model(docs):
+    """Trained on the documents that are not held out."""
+    return language.train(language.sample(docs.where(fold(F.col("doc_id"), 4) != 2), "doc_id", "text", "lang"))
+
+
+def op4_language(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    found = language.identify(docs, language_model(docs))
+    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op5_quality_rules(spark, sf_dir):
+    return supervision.judge(read(spark, sf_dir, "documents"))
+
+
+def op6_maxent(spark, sf_dir):
+    return maxent.score(read(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) != 2)
 
 
 def op7_mixing(spark, sf_dir):
     return mixing.mix(read(spark, sf_dir, "documents")).drop("copies")
 
 
+def op8_surrogates(spark, sf_dir):
+    return surrogates.pseudonymize(read(spark, sf_dir, "documents")).select("doc_id", "n_entities", "text")
+
+
 def op9_simhash(spark, sf_dir):
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_warc, op3_decontaminate, op7_mixing, op9_simhash)}
+def op10_discriminant(spark, sf_dir):
+    found = discriminant.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0)
+    return found.select("doc_id", (~F.col("trained")).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_warc,
+        op3_decontaminate,
+        op4_language,
+        op5_quality_rules,
+        op6_maxent,
+        op7_mixing,
+        op8_surrogates,
+        op9_simhash,
+        op10_discriminant,
+    )
+}
 ORACLES = {
     "op2_warc": warc.ORACLE_SQL,
     "op3_decontaminate": decontaminate.ORACLE_SQL,
