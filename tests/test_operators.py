@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.checks.views import Tables
 from tidemark.operators import cdc, incremental, keys, lookup, match, ordered, rules, scd, skew, upsert
-from tidemark.operators.dedup import dedup_best, dedup_first, dedup_sparse
+from tidemark.operators.dedup import dedup_best, dedup_first
 from tidemark.plans import bike
 
 
@@ -26,13 +27,12 @@ def skewed(spark, n=600, seed=3):
     return spark.createDataFrame(data, "id bigint, k string, ts timestamp_ntz, v int"), data
 
 
-@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
-def test_count_over_counts_null_and_hot_groups(spark, hot_rows):
+def test_count_over_counts_null_and_hot_groups(spark):
     df, data = skewed(spark)
     size = {}
     for _, k, _, _ in data:
         size[k] = size.get(k, 0) + 1
-    got = dict(rows(ordered.count_over(df, ["k"], hot_rows=hot_rows), "id", "key_count"))
+    got = dict(rows(ordered.count_over(df, ["k"]), "id", "key_count"))
     assert got == {i: size[k] for i, k, _, _ in data}
 
 
@@ -66,10 +66,9 @@ def test_sliced_history_equals_plain_history_and_brute_force(spark):
     assert rows(plain, *shown) == rows(sliced, *shown) == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("hot_rows", [5, 1_000_000])
-def test_duplicate_rows(spark, hot_rows):
+def test_duplicate_rows(spark):
     df, data = skewed(spark)
-    found = rules.duplicate_rows(df, [F.col("k"), F.col("v")], hot_rows=hot_rows)
+    found = rules.duplicate_rows(df, [F.col("k"), F.col("v")])
     size = {}
     for _, k, _, v in data:
         size[k, v] = size.get((k, v), 0) + 1
@@ -77,11 +76,30 @@ def test_duplicate_rows(spark, hot_rows):
     assert rows(found, "id") == sorted(want, key=repr)
 
 
-def test_hot_keys_are_bounded(spark):
+def test_a_hot_key_is_dealt_over_many_tasks(spark):
     df, _ = skewed(spark)
-    counts = skew.key_counts(df, ["k"])
-    assert skew.hot_keys(counts, hot_rows=50).count() == 2
-    assert skew.hot_keys(counts, hot_rows=0).count() <= skew.HOT_KEYS
+    df = df.repartition(6)
+    salt = df.select(F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(skew.SALTS)).alias("s"), "k")
+    assert salt.filter("k = 'hot'").select("s").distinct().count() > skew.SALTS // 2
+
+
+def executed(df):
+    """The final plan, after running."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_details_of_chosen_rules_read_no_more_than_needed(spark):
+    raw = Tables(spark, "/root/testdata/sf0.001").raw_trips
+    every = rules.dq_details(raw, bike.trip_rules("CITI", "c"))
+    # Raw trips are two reads of one file: one pass over the keys, one over the rows.
+    assert executed(every).count("FileScan") <= 4
+    null = rules.dq_details(raw, bike.trip_rules("CITI", "c"), codes=["CITI_NULL_REQUIRED"])
+    assert "Exchange" not in executed(null)
+    assert null.count() == every.filter("rule_code = 'CITI_NULL_REQUIRED'").count()
+    with pytest.raises(ValueError):
+        rules.dq_details(raw, bike.trip_rules("CITI", "c"), codes=["NONE"])
 
 
 def test_first_row_per_key_is_pruned_before_the_shuffle(spark):
@@ -95,18 +113,6 @@ def test_first_row_per_key_is_pruned_before_the_shuffle(spark):
     assert plan.index("Partial") > plan.index("hashpartitioning(k")
 
 
-@pytest.mark.parametrize("limit", [0, 1_000_000])
-def test_sparse_dedup_equals_plain_dedup(spark, monkeypatch, limit):
-    monkeypatch.setattr(skew, "BROADCAST_KEYS", limit)
-    df, _ = skewed(spark)
-    keys = ["k", "v", "ts"]
-    plain = dedup_first(df, keys, ["id"])
-    assert rows(dedup_sparse(df, keys, ["id"]), "id", *keys) == rows(plain, "id", *keys)
-    assert rows(ordered.count_over(df, ["k"], hot_rows=5), "id", "key_count") == rows(
-        df.withColumn("key_count", F.count("*").over(Window.partitionBy("k"))), "id", "key_count"
-    )
-
-
 def test_best_row_prefers_the_rank(spark):
     df = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (2, "c", 5)], "k int, kind string, t int")
     rank = F.when(F.col("kind") == "a", 1).otherwise(2)

@@ -9,6 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.checks.registry import check
+from tidemark.checks.rows import (
+    ACCEPT_TRIPS,
+    CAP_BAD,
+    COORD_BAD,
+    ODD_HOURS,
+    ODD_STARTS,
+    REPORT_BAD,
+    STATION_ID,
+    WEATHER_ID,
+    WEATHER_NUM,
+)
 from tidemark.checks.tables import AFTER, BALANCE, BEFORE, FIRST, GRAIN, PENDING
 from tidemark.checks.views import CTX, FIRST_LOAD, Tables, num, ts
 from tidemark.context import RunContext
@@ -503,23 +514,81 @@ def _(t: Tables):
     return dedup.union_all(*states)
 
 
+ODD_TRIPS = f"(select * replace ({ODD_STARTS} as started_at) from raw_trips)"
+ODD_WEATHER = f"(select * replace ({ODD_HOURS} as observation_ts) from raw_weather)"
+START = "try_strptime(substr(trim(started_at), 1, 19), '%Y-%m-%d %H:%M:%S')"
+HOUR_TEXT = "replace(trim(observation_ts), 'T', ' ')"
+HOUR = (
+    f"try_strptime(case when length({HOUR_TEXT}) < 19 then {HOUR_TEXT} || ':00' else substr({HOUR_TEXT}, 1, 19) end,"
+    " '%Y-%m-%d %H:%M:%S')"
+)
+
+
+def odd_trips(t: Tables) -> DataFrame:
+    return t.raw_trips.withColumn("started_at", F.expr(ODD_STARTS))
+
+
+def odd_weather(t: Tables) -> DataFrame:
+    return t.raw_weather.withColumn("observation_ts", F.expr(ODD_HOURS))
+
+
 @check(
     "stage_trips",
-    f"""select source_city_code, ride_id, {ts('started_at')} as started_at, {ts('ended_at')} as ended_at,
+    f"""select source_city_code, ride_id, {ts('started')} as started_at, {ts('ended_at')} as ended_at,
   start_station_id, end_station_id, rideable_type, source_file from (
-  select source_city_code, trim(ride_id) as ride_id, date_trunc('second', try_cast(started_at as timestamp))
-      as started_at, try_cast(nullif(ended_at, '') as timestamp) as ended_at,
+  select source_city_code, trim(ride_id) as ride_id, {START} as started,
+    try_cast(nullif(ended_at, '') as timestamp) as ended_at,
     nullif(trim(start_station_id), '') as start_station_id, end_station_id, trim(rideable_type) as rideable_type,
     source_file, row_number() over (partition by source_city_code, trim(ride_id) order by source_file,
       source_row_number) as rn
-  from raw_trips where trim(coalesce(ride_id, '')) <> '' and started_at like '____-__-__ %'
-    and regexp_matches(trip_month, '^[0-9]{{6}}$') and event_id % 83 <> 0
-    and try_cast(started_at as timestamp) >= timestamp '2024-01-01') x where rn = 1""",
+  from {ODD_TRIPS} r where {ACCEPT_TRIPS} and {START} between timestamp '2024-01-01' and timestamp '2024-07-01') x
+where rn = 1""",
 )
 def _(t: Tables):
-    staged = bike.stage_trips(t.raw_trips, bike.trip_rules("CITI", "citibike_trips"), CTX)
+    staged = bike.stage_trips(odd_trips(t), bike.trip_rules("CITI", "citibike_trips"), CTX)
     return staged.select(
         "source_city_code", "ride_id", "started_at", "ended_at", "start_station_id", "end_station_id",
         "rideable_type", "source_file",
     )
 
+
+def balance_sql(source: str, rel: str, accepted: str, inside: str, key: str) -> str:
+    return f"""select '{source}' as source_name, count(*) as raw_rows, count(distinct case when a and i then k end) as staged_rows,
+  count(*) filter (a and i) - count(distinct case when a and i then k end) as duplicate_rows,
+  count(*) filter (not a) as rejected_rows, count(*) filter (a and not i) as outside_rows, 0 as difference
+from (select coalesce({accepted}, false) as a, coalesce({inside}, false) as i, {key} as k from {rel} r) x"""
+
+
+IN_RUN = "between timestamp '2024-01-01' and timestamp '2024-07-01'"
+
+
+@check(
+    "stage_balance",
+    balance_sql("citibike_trips", ODD_TRIPS, ACCEPT_TRIPS, f"{START} {IN_RUN}", "(trim(source_city_code), trim(ride_id))")
+    + " union all "
+    + balance_sql(
+        "noaa_lcd",
+        ODD_WEATHER,
+        f"{WEATHER_ID} and nullif(trim(source_city_code), '') is not null and {HOUR} is not null"
+        f" and not coalesce({WEATHER_NUM}, false) and not coalesce({REPORT_BAD}, false)",
+        f"{HOUR} {IN_RUN}",
+        f"(source_city_code, {HOUR})",
+    )
+    + " union all "
+    + balance_sql(
+        "gbfs_station",
+        "raw_stations",
+        f"{STATION_ID} and not coalesce({CAP_BAD}, false) and not coalesce({COORD_BAD}, false)",
+        "true",
+        "(source_city_code, coalesce(nullif(trim(short_name), ''), nullif(trim(gbfs_station_id), '')))",
+    ),
+)
+def _(t: Tables):
+    """Every raw row of every source is staged, a duplicate, rejected or outside the window."""
+    trip_rules, weather_rules, station_rules = bike.trip_rules("CITI", "citibike_trips"), bike.weather_rules(), bike.station_rules()
+    trips_in, hours, stations = odd_trips(t), odd_weather(t), t.raw_stations
+    return dedup.union_all(
+        bike.stage_balance(trips_in, bike.stage_trips(trips_in, trip_rules, CTX), trip_rules, "trips", CTX),
+        bike.stage_balance(hours, bike.stage_weather(hours, CTX, weather_rules), weather_rules, "weather", CTX),
+        bike.stage_balance(stations, bike.stage_stations(stations, CTX, station_rules), station_rules, "stations", CTX),
+    )

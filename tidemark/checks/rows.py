@@ -10,6 +10,23 @@ from tidemark.functions import clean, measures
 from tidemark.operators import dedup, dims, incremental, lookup, ordered, rules, scd
 from tidemark.plans import bike
 
+# Texts that begin like a timestamp: with a zone or a fraction, and impossible ones. Same meaning in both engines.
+ODD_STARTS = (
+    "case when source_row_number % 103 = 0 then substr(started_at, 1, 19) || '+00'"
+    " when source_row_number % 107 = 0 then '2024-02-31 10:00:00'"
+    " when source_row_number % 109 = 0 then substr(started_at, 1, 19) || 'Z'"
+    " when source_row_number % 113 = 0 then '2024-02-10 25:61:00'"
+    " when source_row_number % 127 = 0 then '2023-06-01 10:00:00.5' else started_at end"
+)
+ODD_HOURS = (
+    "case when source_row_number % 103 = 0 then observation_ts || 'Z'"
+    " when source_row_number % 107 = 0 then '2024-02-31T10:00:00'"
+    " when source_row_number % 109 = 0 then substr(observation_ts, 1, 16)"
+    " when source_row_number % 113 = 0 then '2024-02-10T25:61:00'"
+    " when source_row_number % 127 = 0 then '2023-06-01 10:00:00.5' else observation_ts end"
+)
+
+
 @check(
     "sc_blank_to_null",
     "select source_row_number, nullif(trim(ride_id), '') as ride_id, nullif(trim(start_station_id), '') as station_id,"
@@ -40,19 +57,23 @@ def _(t: Tables):
 
 @check(
     "sc_cast_ts",
-    "select source_row_number, strftime(date_trunc('second', try_cast(case when started_at like '____-__-__ %'"
-    " then started_at end as timestamp)), '%Y-%m-%d %H:%M:%S') as started_at from raw_trips",
+    "select source_row_number, strftime(try_strptime(substr(trim(started_at), 1, 19), '%Y-%m-%d %H:%M:%S'),"
+    f" '%Y-%m-%d %H:%M:%S') as started_at from (select * replace ({ODD_STARTS} as started_at) from raw_trips) r",
 )
 def _(t: Tables):
-    return t.raw_trips.select("source_row_number", clean.ts_seconds("started_at").alias("started_at"))
+    odd = t.raw_trips.withColumn("started_at", F.expr(ODD_STARTS))
+    return odd.select("source_row_number", clean.ts_seconds("started_at").alias("started_at"))
 
 
 @check(
     "sc_cast_iso_ts",
-    f"select source_row_number, {ts('try_cast(observation_ts as timestamp)')} as observation_ts from raw_weather",
+    "select source_row_number, strftime(try_strptime(case when length(o) < 19 then o || ':00' else substr(o, 1, 19) end,"
+    " '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') as observation_ts"
+    f" from (select *, replace(trim({ODD_HOURS}), 'T', ' ') as o from raw_weather) r",
 )
 def _(t: Tables):
-    return t.raw_weather.select("source_row_number", clean.ts_iso("observation_ts").alias("observation_ts"))
+    odd = t.raw_weather.withColumn("observation_ts", F.expr(ODD_HOURS))
+    return odd.select("source_row_number", clean.ts_iso("observation_ts").alias("observation_ts"))
 
 
 @check(
@@ -267,7 +288,10 @@ def _(t: Tables):
     return dedup.union_all(counted(every, F.col("trip_month")), counted(one, only))
 
 
-TS_OK = r"regexp_matches(started_at, '^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}')"
+TS_OK = (
+    r"(regexp_matches(started_at, '^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}')"
+    r" and try_strptime(substr(started_at, 1, 19), '%Y-%m-%d %H:%M:%S') is not null)"
+)
 ACCEPT_TRIPS = f"""
 nullif(trim(ride_id), '') is not null and nullif(trim(started_at), '') is not null
   and nullif(trim(source_city_code), '') is not null and {TS_OK}
@@ -336,8 +360,9 @@ def trip_details_sql(prefix: str, trimmed: bool) -> str:
 DETAIL = ["source_file", "source_row_number", "business_key", "rule_code", "rule_type", "dq_verdict"]
 
 
-def trip_details(t: Tables, prefix="CITI", source="citibike_trips", trimmed=False):
-    return rules.dq_details(t.raw_trips, TRIP_RULES(prefix, source, trimmed)).select(*DETAIL)
+def trip_details(t: Tables, prefix="CITI", source="citibike_trips", trimmed=False, codes=None):
+    codes = codes and [f"{prefix}_{c}" for c in codes]
+    return rules.dq_details(t.raw_trips, TRIP_RULES(prefix, source, trimmed), codes=codes).select(*DETAIL)
 
 
 def one_rule_sql(prefix: str, codes: list[str]) -> str:
@@ -347,17 +372,17 @@ def one_rule_sql(prefix: str, codes: list[str]) -> str:
 
 @check("dq_null_required", one_rule_sql("CITI", ["NULL_REQUIRED"]))
 def _(t: Tables):
-    return trip_details(t).filter("rule_code = 'CITI_NULL_REQUIRED'")
+    return trip_details(t, codes=["NULL_REQUIRED"])
 
 
 @check("dq_duplicate", one_rule_sql("CITI", ["DUPLICATE_RIDE"]))
 def _(t: Tables):
-    return trip_details(t).filter("rule_code = 'CITI_DUPLICATE_RIDE'")
+    return trip_details(t, codes=["DUPLICATE_RIDE"])
 
 
 @check("dq_datatype_ts", one_rule_sql("CITI", ["DATATYPE_TIMESTAMP"]))
 def _(t: Tables):
-    return trip_details(t).filter("rule_code = 'CITI_DATATYPE_TIMESTAMP'")
+    return trip_details(t, codes=["DATATYPE_TIMESTAMP"])
 
 
 WEATHER_ID = "nullif(trim(noaa_station_id), '') is not null and nullif(trim(observation_ts), '') is not null"
@@ -408,8 +433,8 @@ SHORT = ["source_row_number", "business_key", "rule_code", "rule_type"]
     + station_rule_sql("GBFS_DATATYPE_CAPACITY", "datatype", CAP_BAD),
 )
 def _(t: Tables):
-    a = rules.dq_details(t.raw_weather, bike.weather_rules()).filter("rule_type = 'datatype'")
-    b = rules.dq_details(t.raw_stations, bike.station_rules()).filter("rule_type = 'datatype'")
+    a = rules.dq_details(t.raw_weather, bike.weather_rules(), codes=["NOAA_DATATYPE_NUMERIC"])
+    b = rules.dq_details(t.raw_stations, bike.station_rules(), codes=["GBFS_DATATYPE_CAPACITY"])
     return dedup.union_all(a.select(*SHORT), b.select(*SHORT))
 
 
@@ -420,8 +445,8 @@ def _(t: Tables):
     f" 'CITI_FORMAT_TRIP_MONTH', 'format' from raw_trips where nullif(trim(ride_id), '') is not null and {MONTH_BAD}",
 )
 def _(t: Tables):
-    a = rules.dq_details(t.raw_weather, bike.weather_rules()).filter("rule_type = 'format'")
-    b = trip_details(t).filter("rule_type = 'format'")
+    a = rules.dq_details(t.raw_weather, bike.weather_rules(), codes=["NOAA_FORMAT_REPORT_TYPE"])
+    b = trip_details(t, codes=["FORMAT_TRIP_MONTH"])
     return dedup.union_all(a.select(*SHORT), b.select(*SHORT))
 
 
@@ -430,12 +455,12 @@ def _(t: Tables):
     station_rule_sql("GBFS_FORMAT_COORDINATE", "format", f"not coalesce({CAP_BAD}, false) and ({COORD_BAD})"),
 )
 def _(t: Tables):
-    return rules.dq_details(t.raw_stations, bike.station_rules()).filter("rule_type = 'format'").select(*SHORT)
+    return rules.dq_details(t.raw_stations, bike.station_rules(), codes=["GBFS_FORMAT_COORDINATE"]).select(*SHORT)
 
 
 @check("dq_cross_field", one_rule_sql("CITI", ["REJECT_BOTH_STATION_ID", "WARN_STATION_ID"]))
 def _(t: Tables):
-    return trip_details(t).filter("rule_code like '%STATION_ID'")
+    return trip_details(t, codes=["REJECT_BOTH_STATION_ID", "WARN_STATION_ID"])
 
 
 @check("dq_details", trip_details_sql("DIVVY", True))

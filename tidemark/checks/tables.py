@@ -340,9 +340,10 @@ def _(t: Tables):
 def hash_sql(rel: str, group: str, pairs: list[tuple[str, str]]) -> str:
     """Fingerprint per group; pairs give column name and its JSON text."""
     fields = " || ',' || ".join(f"'\"{n}\":' || coalesce({e}, 'null')" for n, e in pairs)
+    sums = " || ':' || ".join(f"sum(('0x' || substr(h, {at}, 11))::bigint::hugeint)::varchar" for at in (1, 12, 23))
     return (
-        f"select {group}, count(*) as row_count, md5(count(*)::varchar || ':' || sum(('0x' || substr(md5('{{' ||"
-        f" {fields} || '}}'), 1, 15))::bigint::hugeint)::varchar) as fingerprint from {rel} group by 1"
+        f"select {group}, count(*) as row_count, md5(count(*)::varchar || ':' || {sums}) as fingerprint"
+        f" from (select *, md5('{{' || {fields} || '}}') as h from {rel}) x group by 1"
     )
 
 
@@ -786,11 +787,27 @@ def _(t: Tables):
     return out.select("source_file", "row_count", "change_type")
 
 
-@check("cdc_manifest", PRINT_SQL)
-def _(t: Tables):
-    manifest = prints(old_snapshot(t))
-    classified = cdc.classify_change(prints(t.raw_trips), manifest, ["source_file"])
-    return cdc.update_manifest(manifest, classified, ["source_file"])
+@check(
+    "cdc_manifest",
+    f"select 'manifest' as kind, source_file, fingerprint, '' as change_type, 1 as times from ({PRINT_SQL}) m"
+    f" union all select 'log', n.source_file, n.fingerprint, {CHANGE}, 1 from ({PRINT_SQL}) n"
+    f" left join ({OLD_SQL}) o on o.source_file = n.source_file"
+    f" union all select 'log', source_file, fingerprint, 'NEW', 1 from ({OLD_SQL}) f",
+)
+def _(t: Tables):
+    """Two loads: the manifest holds the last print of each file, the log every classified one."""
+    from tidemark.session import scratch_path
+    from tidemark.sources.sinks import write_append
+
+    log, manifest = scratch_path(t.spark, "changes"), prints(t.raw_trips.limit(0))
+    for snapshot in (old_snapshot(t), t.raw_trips):
+        classified = materialize(cdc.classify_change(prints(snapshot), manifest, ["source_file"]), "classified")
+        write_append(classified, log)
+        manifest = materialize(cdc.update_manifest(manifest, classified, ["source_file"]), "manifest")
+    shown = ["source_file", "fingerprint", "change_type"]
+    kept = manifest.withColumn("change_type", F.lit("")).select(F.lit("manifest").alias("kind"), *shown)
+    logged = t.spark.read.parquet(log).select(F.lit("log").alias("kind"), *shown)
+    return dedup.union_all(kept, logged).groupBy("kind", *shown).agg(F.count(F.lit(1)).alias("times"))
 
 
 @check(

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The patterns of the source rules.
 TS_PREFIX = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}"
 NUMERIC = r"^-?[0-9]+(\.[0-9]+)?$"
 INTEGER = r"^[0-9]+$"
@@ -41,19 +42,21 @@ def year_month(c: Column | str) -> Column:
 
 
 def ts_seconds(c: Column | str) -> Column:
-    """Timestamp from ``yyyy-MM-dd HH:mm:ss`` with any fraction cut off.
+    """Timestamp from a text that starts with ``yyyy-MM-dd HH:mm:ss``.
 
-    Impossible dates give NULL; the source rule list rejects them explicitly.
+    A fraction, a zone or whatever follows is cut off. An impossible time gives NULL;
+    the datatype rules report it.
     """
-    whole = F.split_part(F.trim(_col(c)), F.lit("."), F.lit(1))
-    return F.when(whole.rlike(TS_PREFIX + "$"), whole.try_cast("timestamp_ntz"))
+    text = F.trim(_col(c))
+    return F.when(text.rlike(TS_PREFIX), F.substring(text, 1, 19).try_cast("timestamp_ntz"))
 
 
 def ts_iso(c: Column | str) -> Column:
-    """Timestamp from ``yyyy-MM-dd'T'HH:mm:ss``."""
-    text = F.trim(_col(c))
-    shape = text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$")
-    return F.when(shape, F.replace(text, F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz"))
+    """Timestamp from ``yyyy-MM-dd``, a ``T`` or blank, and ``HH:mm`` or ``HH:mm:ss``; the rest is cut off."""
+    text, shape = F.trim(_col(c)), r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2})(:\d{2})?"
+    part = [F.regexp_extract(text, shape, i) for i in (1, 2, 3)]
+    seconds = F.coalesce(F.nullif(part[2], F.lit("")), F.lit(":00"))
+    return F.when(text.rlike(shape), F.concat(part[0], F.lit(" "), part[1], seconds).try_cast("timestamp_ntz"))
 
 
 def ts_masked(c: Column | str, digits: int = 3) -> Column:

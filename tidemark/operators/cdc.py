@@ -11,10 +11,10 @@ from pyspark.sql.types import StructType
 from tidemark.operators.upsert import upsert
 
 
-def row_number_hash(cols: Sequence[str]) -> Column:
-    """60 bits of the md5 of the row as JSON, as a number that can be summed."""
+def row_number_hashes(cols: Sequence[str]) -> list[Column]:
+    """The md5 of the row as JSON, as three numbers that can be summed; together they hold all its bits."""
     text = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
+    return [F.conv(F.substring(F.md5(text), at, 11), 16, 10).cast("decimal(38,0)") for at in (1, 12, 23)]
 
 
 def fingerprint(df: DataFrame, group: Sequence[str], exclude: Sequence[str] = ()) -> DataFrame:
@@ -23,10 +23,10 @@ def fingerprint(df: DataFrame, group: Sequence[str], exclude: Sequence[str] = ()
     A sum combines before the shuffle, so one huge file is no problem.
     """
     cols = [c for c in df.columns if c not in group and c not in exclude]
-    total = F.sum(row_number_hash(cols))
+    sums = [F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string") for h in row_number_hashes(cols)]
     count = F.count(F.lit(1))
     named = [F.coalesce(F.col(g), F.lit("(unknown)")).alias(g) for g in group]
-    text = F.concat(count.cast("string"), F.lit(":"), F.coalesce(total, F.lit(0).cast("decimal(38,0)")).cast("string"))
+    text = F.concat_ws(":", count.cast("string"), *sums)
     return df.groupBy(*named).agg(count.alias("row_count"), F.md5(text).alias("fingerprint"))
 
 

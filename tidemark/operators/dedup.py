@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators import skew
-
 
 def dedup_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column | str]) -> DataFrame:
     """First row of each key in ``order``; the order must leave no ties.
@@ -20,17 +18,6 @@ def dedup_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Col
     return df.withColumn("__rn", rank).filter("__rn = 1").drop("__rn")
 
 
-def dedup_sparse(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """``dedup_first`` for tables in which most keys occur once.
-
-    Rows whose key hash is unique pass without a shuffle; the others are ranked. The hash
-    count runs at once and shuffles 8 bytes per row.
-    """
-    hashes = skew.repeated_hashes(df, keys)
-    maybe = dedup_first(skew.rows_with(df, keys, hashes, "left_semi"), keys, order)
-    return maybe if hashes is None else maybe.unionByName(skew.rows_with(df, keys, hashes, "left_anti"))
-
-
 def dedup_best(
     df: DataFrame, keys: Sequence[str | Column], preference: Column, order: Sequence[Column | str]
 ) -> DataFrame:

@@ -37,20 +37,9 @@ def _slices_before() -> Window:
     return _over_slices().rowsBetween(Window.unboundedPreceding, -1)
 
 
-def count_over(df: DataFrame, keys: Sequence[str], name: str = "key_count", hot_rows: int = skew.HOT_ROWS) -> DataFrame:
-    """``count(*) over (partition by keys)``, NULL keys forming a group.
-
-    Only rows that share their key hash with another row are counted exactly; all others
-    count 1 and are not shuffled. No task ever holds a group. Runs the hash count at once.
-    """
-    hashes = skew.repeated_hashes(df, keys)
-    maybe = skew.rows_with(df, keys, hashes, "left_semi").withColumn(_KEY, F.struct(*keys))
-    counts = skew.key_counts(maybe, [_KEY], name)
-    counted = skew.attach_counts(maybe, counts, _KEY, skew.hot_keys(counts, name, hot_rows)).drop(_KEY)
-    if hashes is None:
-        return counted
-    single = skew.rows_with(df, keys, hashes, "left_anti")
-    return counted.unionByName(single.withColumn(name, F.lit(1).cast("bigint")))
+def count_over(df: DataFrame, keys: Sequence[str], name: str = "key_count") -> DataFrame:
+    """``count(*) over (partition by keys)``, NULL keys forming a group; no task holds a whole group."""
+    return skew.with_key_counts(df, keys, name)
 
 
 def rank_rows(

@@ -8,7 +8,7 @@ touching the operators.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,50 +103,61 @@ def _verdict(rule, rules: RuleSet) -> list[Column]:
 
 def _keyed(df: DataFrame, keys: Sequence[Column], drop_null: bool = True) -> DataFrame:
     """Add the key as one struct column ``__key``; optionally without NULL keys."""
-    if drop_null:
-        for k in keys:
-            df = df.filter(k.isNotNull())
-    return df.withColumn("__key", F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]))
+    return (_complete(df, keys) if drop_null else df).withColumn("__key", skew.struct_key(keys))
 
 
-def duplicate_rows(
-    df: DataFrame,
-    keys: Sequence[Column],
-    group_keys: Sequence[Column] | None = None,
-    hot_rows: int = skew.HOT_ROWS,
-) -> DataFrame:
+def _complete(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+    for k in keys:
+        df = df.filter(k.isNotNull())
+    return df
+
+
+def duplicate_rows(df: DataFrame, keys: Sequence[Column], group_keys: Sequence[Column] | None = None) -> DataFrame:
     """Every member of a key group with more than one row; NULL keys never match.
 
-    Candidates share a key hash, see ``skew.repeated_hashes`` (counted at once); only
-    they are grouped exactly. The rows of frequent keys are picked by broadcast.
+    With ``group_keys`` the rows are looked up by ``keys`` in the groups of those.
     """
-    groups = group_keys or keys
-    hashes = skew.repeated_hashes(df, groups)
-    grouped = _keyed(skew.rows_with(df, groups, hashes, "left_semi"), groups)
-    counts = skew.key_counts(grouped, ["__key"]).filter("n_rows > 1")
-    rows = _keyed(skew.rows_with(df, keys, hashes, "left_semi"), keys)
-    hot = skew.hot_keys(counts, hot_rows=hot_rows)
-    return skew.attach_counts(rows, counts, "__key", hot).drop("n_rows", "__key")
+    return skew.with_key_counts(_complete(df, keys), keys, "n_rows", 2, _totals(df, keys, group_keys)).drop("n_rows")
 
 
-def dq_details(df: DataFrame, rules: RuleSet, with_payload: bool = True) -> DataFrame:
-    """One row per (row, failed rule).
+def _totals(df: DataFrame, keys: Sequence[Column], group_keys: Sequence[Column] | None) -> DataFrame | None:
+    """Group sizes by ``group_keys`` where these differ from ``keys``."""
+    if group_keys is None or [str(k) for k in group_keys] == [str(k) for k in keys]:
+        return None
+    return skew.key_counts(_keyed(df, group_keys), ["__key"])
 
-    All row rules are evaluated in one pass without a shuffle; only the duplicate
-    rule needs one.
+
+def dq_details(
+    df: DataFrame, rules: RuleSet, with_payload: bool = True, codes: Sequence[str] | None = None
+) -> DataFrame:
+    """One row per (row, failed rule), for the rules in ``codes`` (default: all).
+
+    Row rules are evaluated in one pass without a shuffle. The duplicate rule adds a pass
+    over the keys, and the rows are then dealt once. Nothing runs before the result is
+    asked for.
     """
+    if codes is not None:
+        dup = rules.duplicate if rules.duplicate is not None and rules.duplicate.code in codes else None
+        rules = replace(rules, rules=[r for r in rules.rules if r.code in codes], duplicate=dup)
+        if not rules.all_rules():
+            raise ValueError(f"no rule of {rules.source_name} has a code in {list(codes)}")
     shown = [*LINEAGE, rules.key.alias("business_key")]
     if with_payload:
         shown.append(clean.raw_payload(rules.payload).alias("raw_payload"))
+    fails = [r.detail_fails() for r in rules.rules]
+    tested = list(rules.rules)
+    if (dup := rules.duplicate) is not None:
+        complete = F.lit(True)
+        for k in dup.keys:
+            complete = complete & k.isNotNull()
+        df = skew.with_key_counts(df, dup.keys, "__copies", 0, _totals(df, dup.keys, dup.group_keys))
+        fails.append(complete & (F.col("__copies") > 1))
+        tested.append(dup)
     # Positions of the failed rules; the texts are looked up for failing rows only.
-    failed = F.array(*[F.when(r.detail_fails(), F.lit(i + 1)) for i, r in enumerate(rules.rules)])
-    texts = F.array(*[F.struct(*_verdict(r, rules)) for r in rules.rules])
+    failed = F.array(*[F.when(f, F.lit(i + 1)) for i, f in enumerate(fails)])
+    texts = F.array(*[F.struct(*_verdict(r, rules)) for r in tested])
     hits = df.select("*", F.explode(failed).alias("__i")).filter("__i is not null")
-    out = hits.select(*shown, F.element_at(texts, F.col("__i")).alias("__v")).select("*", "__v.*").drop("__v")
-    if rules.duplicate is not None:
-        dup = duplicate_rows(df, rules.duplicate.keys, rules.duplicate.group_keys)
-        out = out.unionByName(dup.select(*shown, *_verdict(rules.duplicate, rules)))
-    return out
+    return hits.select(*shown, F.element_at(texts, F.col("__i")).alias("__v")).select("*", "__v.*").drop("__v")
 
 
 def duplicate_row_count(df: DataFrame, rule: DuplicateRule) -> DataFrame:
@@ -215,7 +226,7 @@ def gate_offenders(control: DataFrame, sources: Sequence[str] | None = None) ->
 
 def dq_gate(control: DataFrame, sources: Sequence[str] | None = None) -> None:
     """Stop before the next layer when any source failed (control holds one row per source)."""
-    bad = [r["source_name"] for r in gate_offenders(control, sources).select("source_name").limit(20).collect()]
+    bad = [r["source_name"] for r in gate_offenders(control, sources).select("source_name").collect()]
     if bad:
         raise GateClosed("sources not ready: " + ", ".join(sorted(bad)))
 

@@ -2,23 +2,20 @@
 
 A key can hold a third of all rows. Aggregations are safe (they combine before the
 shuffle) and so is ``row_number() = 1`` (Spark keeps one row per key and task before
-the shuffle). Joins of the rows back to a per-key value are handled here: the at most
-``HOT_KEYS`` most frequent keys go through a broadcast, whose size is bounded by that
-number, and all other keys through the ordinary shuffle join.
+the shuffle). Rows that need a value of their whole key get it here: they are dealt by
+(key, salt), so that a hot key lies in many tasks, and one exchange of the rows serves
+both the counting and the join with its result. The plan is the same at every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
-
-HOT_KEYS = 1000
-HOT_ROWS = 1_000_000
-BROADCAST_KEYS = 1_000_000  # 64-bit numbers: some tens of MB at most
+# Over so many tasks a key can spread.
+SALTS = 64
 
 
 def any_null(keys: Sequence[str]) -> Column:
@@ -33,47 +30,35 @@ def key_counts(df: DataFrame, keys: Sequence[str], name: str = "n_rows") -> Data
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def hot_keys(counts: DataFrame, name: str = "n_rows", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The rows of ``counts`` with more than ``hot_rows`` rows, at most ``HOT_KEYS``.
-
-    A key left out holds no more than ``hot_rows`` rows or, if more than ``HOT_KEYS``
-    keys are hot, less than 1/``HOT_KEYS`` of the table.
-    """
-    return counts.filter(F.col(name) > hot_rows).orderBy(F.desc(name)).limit(HOT_KEYS)
-
-
-def key_hash(keys: Sequence[str | Column]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def repeated_hashes(df: DataFrame, keys: Sequence[str | Column]) -> DataFrame | None:
-    """64-bit hashes that more than one row shares, written out; None if there are too many.
-
-    A superset of the repeated keys: a collision only adds a candidate. Counting shuffles
-    8 bytes per row instead of the row, and the few hits then select rows by broadcast.
-    """
-    counts = key_counts(df.select(key_hash(keys).alias("__hash")), ["__hash"])
-    found = materialize(counts.filter("n_rows > 1").select("__hash"), "repeated")
-    return found if found.count() <= BROADCAST_KEYS else None
-
-
-def rows_with(df: DataFrame, keys: Sequence[str | Column], hashes: DataFrame | None, how: str) -> DataFrame:
-    """Rows whose key hash is (``left_semi``) or is not (``left_anti``) among the hashes."""
-    if hashes is None:
-        return df
-    hit = F.broadcast(hashes)  # at most BROADCAST_KEYS numbers
-    return df.withColumn("__hash", key_hash(keys)).join(hit, "__hash", how).drop("__hash")
+def struct_key(keys: Sequence[str | Column]) -> Column:
+    """The key as one column: NULL fields compare as equal inside a struct."""
+    return F.struct(*[(F.col(k) if isinstance(k, str) else k).alias(f"k{i}") for i, k in enumerate(keys)])
 
 
-def attach_counts(df: DataFrame, counts: DataFrame, key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
-    """Rows of ``df`` with the count of their key; ``hot`` is a part of ``counts``.
+def with_key_counts(
+    df: DataFrame,
+    keys: Sequence[str | Column],
+    name: str = "n_rows",
+    least: int = 1,
+    totals: DataFrame | None = None,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Rows of ``df`` with the number of rows of their key, NULL being a key value.
 
-    ``key`` is one column, never NULL (a struct for several or nullable columns: NULL
-    fields compare as equal inside a struct). Rows of hot keys are not shuffled.
+    Rows of keys with fewer than ``least`` rows drop out. ``totals`` (``__key`` as by
+    ``struct_key``, and the number) replaces the counts of ``df`` itself; a key that it
+    lacks counts 0.
     """
-    from_hot = df.join(F.broadcast(hot), key)
-    cold = df.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return from_hot.unionByName(cold.join(counts, key, how))
+    salt = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    rows = df.withColumns({"__key": struct_key(keys), "__salt": salt}).repartition("__key", "__salt")
+    parts = rows.groupBy("__key", "__salt").agg(F.count(F.lit(1)).alias("__n"))
+    if totals is None:  # a key has at most as many parts as salts
+        whole = parts.withColumn(name, F.sum("__n").over(Window.partitionBy("__key")))
+    else:
+        known = totals.select("__key", F.col(totals.columns[-1]).alias("__total"))
+        whole = parts.join(known, "__key", "left").withColumn(name, F.coalesce("__total", F.lit(0).cast("bigint")))
+    whole = whole.filter(F.col(name) >= least).select("__key", "__salt", name)
+    return rows.join(whole, ["__key", "__salt"]).drop("__key", "__salt")
 
 
 def spread_null_keys(keys: Sequence[str], cols: Sequence[str], parts: int = 256) -> Column:

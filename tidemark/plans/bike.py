@@ -62,7 +62,8 @@ def trip_rules(prefix: str, source_name: str, trimmed_keys: bool = False) -> Rul
     ``trimmed_keys``: the duplicate details look the trimmed key up in the raw groups;
     otherwise both are raw. The summary always groups raw keys, NULL included.
     """
-    bad_ts = clean.not_matching("started_at", clean.TS_PREFIX)
+    # The text must begin like a timestamp, and that timestamp must exist.
+    bad_ts = clean.not_matching("started_at", clean.TS_PREFIX) | clean.ts_seconds("started_at").isNull()
     bad_month = F.col("trip_month").isNull() | clean.not_matching("trip_month", clean.YEAR_MONTH)
     has_id, has_start = _filled("ride_id"), _filled("started_at")
     sound = has_id & has_start & ~bad_ts & ~F.coalesce(bad_month, F.lit(True))
@@ -146,6 +147,13 @@ def weather_rules() -> RuleSet:
                 "Required field(s) null or blank: noaa_station_id/observation_ts/source_city_code",
                 ~identified | clean.is_blank("source_city_code"),
             ),
+            Rule(
+                "NOAA_DATATYPE_TIMESTAMP",
+                "datatype",
+                "reject",
+                "observation_ts is not a timestamp",
+                identified & clean.ts_iso("observation_ts").isNull(),
+            ),
             Rule(
                 "NOAA_DATATYPE_NUMERIC",
                 "datatype",
@@ -280,6 +288,46 @@ def stage_trips(raw: DataFrame, rules: RuleSet, ctx: RunContext) -> DataFrame:
     return first.drop("source_row_number").withColumn("loaded_at", F.lit(str(ctx.cet)).cast("timestamp_ntz"))
 
 
+def window_balance(raw: DataFrame, staged: DataFrame, rules: RuleSet, ts: Column | None, keys: list[Column], ctx: RunContext) -> DataFrame:
+    """One row that accounts for every raw row of a load.
+
+    ``raw_rows`` = staged + duplicates + rejected + outside the window; ``difference`` is
+    what is left, 0 unless a step lost rows. Duplicates are the further rows of a key.
+    """
+    accepted = accept_rows(raw, rules).withColumn("__ts", F.lit(None).cast("timestamp_ntz") if ts is None else ts)
+    inside = F.lit(True) if ts is None else F.coalesce(in_window("__ts", ctx.lset, ctx.cet, ctx.lookback_days), F.lit(False))
+    if ts is not None and ctx.month != "ALL":
+        inside = inside & (F.col("trip_month") == ctx.month)
+    per_key = accepted.withColumn("__in", inside).groupBy("__in", F.struct(*keys).alias("__k")).agg(F.count(F.lit(1)).alias("n"))
+    counts = per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("accepted_rows"),
+        F.coalesce(F.sum(F.when(~F.col("__in"), F.col("n"))), F.lit(0)).alias("outside_rows"),
+        F.coalesce(F.sum(F.when(F.col("__in"), F.col("n") - 1)), F.lit(0)).alias("duplicate_rows"),
+    )
+    one = raw.agg(F.count(F.lit(1)).alias("raw_rows")).crossJoin(counts)  # one row each
+    one = one.crossJoin(staged.agg(F.count(F.lit(1)).alias("staged_rows")))
+    out = one.select(
+        F.lit(rules.source_name).alias("source_name"),
+        "raw_rows",
+        "staged_rows",
+        "duplicate_rows",
+        (F.col("raw_rows") - F.col("accepted_rows")).alias("rejected_rows"),
+        "outside_rows",
+    )
+    parts = F.col("staged_rows") + F.col("duplicate_rows") + F.col("rejected_rows") + F.col("outside_rows")
+    return out.withColumn("difference", F.col("raw_rows") - parts)
+
+
+def stage_balance(raw: DataFrame, staged: DataFrame, rules: RuleSet, kind: str, ctx: RunContext) -> DataFrame:
+    """``window_balance`` of a feed: ``trips``, ``weather`` or ``stations``."""
+    city = clean.blank_to_null("source_city_code")
+    if kind == "trips":
+        return window_balance(raw, staged, rules, clean.ts_seconds("started_at"), [city, clean.blank_to_null("ride_id")], ctx)
+    if kind == "weather":
+        return window_balance(raw, staged, rules, clean.ts_iso("observation_ts"), [city, clean.ts_iso("observation_ts")], ctx)
+    return window_balance(raw, staged, rules, None, [city, clean.first_filled("short_name", "gbfs_station_id")], ctx)
+
+
 def stage_weather(raw: DataFrame, ctx: RunContext, rules: RuleSet | None = None) -> DataFrame:
     """Accepted, typed weather rows of the window, one per (city, observation time)."""
     typed = accept_rows(raw, rules or weather_rules()).withColumn("__ts", clean.ts_iso("observation_ts"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.context import RunContext
 from tidemark.functions import measures
 from tidemark.operators import dims, flow, incremental, lookup, scd
-from tidemark.operators.dedup import dedup_best, dedup_sparse, union_all
+from tidemark.operators.dedup import dedup_best, dedup_first, union_all
 from tidemark.operators.keys import allocate_keys
 from tidemark.operators.upsert import delete_matching, upsert, upsert_actions
 
@@ -108,8 +108,7 @@ def load_weather(weather: DataFrame, staged: DataFrame, city: DataFrame, ctx: Ru
 def resolve_trips(staged: Sequence[DataFrame], city: DataFrame, station: DataFrame, ctx: RunContext) -> DataFrame:
     """Union, one row per (city, ride), duration, city and station keys."""
     rows = union_all(*staged).filter("ride_id is not null and started_at is not null and source_city_code is not null")
-    # Each feed is unique already: few rides repeat, so the wide rows are not shuffled.
-    first = dedup_sparse(rows, ["source_city_code", "ride_id"], ["source_file", "loaded_at"])
+    first = dedup_first(rows, ["source_city_code", "ride_id"], ["source_file", "loaded_at"])
     timed = first.withColumn("duration_minutes", measures.duration_minutes("started_at", "ended_at"))
     out = lookup.keep_resolved(
         lookup.lookup(timed, city, {"source_city_code": "city_code"}, ["city_sk"]), "city_sk"
