@@ -466,11 +466,24 @@ NDS_COLUMNS = [
 
 
 def refreshed(t: Tables, after_wave=None) -> str:
-    """Fact folder after both waves; ``after_wave`` is called with it after each."""
+    """Fact folder after both waves; ``after_wave`` is called with it after each.
+
+    The second wave repeats rides of the first one, some as they were and some that were
+    stored with another hour, station and rider.
+    """
     legs, fact = scratch_path(t.spark, "legs"), scratch_path(t.spark, "fact")
     rows = t.nds_trips.select(*NDS_COLUMNS)
     inbox, checkpoint = scratch_path(t.spark, "wave"), scratch_path(t.spark, "checkpoint")
-    for wave in (rows.filter(BEFORE), rows.filter(AFTER)):
+    moved = F.col("ride_id").cast("bigint") % 10 == 3
+    earlier = {
+        "started_at": F.col("started_at") - F.expr("interval 3 hours"),
+        "start_station_id": F.concat(F.col("start_station_id"), F.lit("x")),
+        "member_casual": F.lit("casual"),
+        "loaded_at": F.col("loaded_at") - F.expr("interval 1 second"),
+    }
+    wrong = rows.withColumns({c: F.when(moved, e).otherwise(F.col(c)) for c, e in earlier.items()})
+    again = rows.filter("cast(ride_id as bigint) % 5 = 3")
+    for wave in (wrong.filter(BEFORE), again.filter(BEFORE).unionByName(rows.filter(AFTER))):
         wave.write.mode("append").parquet(inbox)
         stream = t.spark.readStream.schema(rows.schema).parquet(inbox)
         trips.run_once(stream, trips.refresh_store(legs, fact), checkpoint, "append").awaitTermination()
@@ -491,7 +504,8 @@ def _(t: Tables):
     "st_async_delay",
     f"""select 1 as wave, count(*) as grains, sum(s)::bigint as trips_started, sum(e)::bigint as trips_ended from (
   select count(*) filter (f = 1) as s, count(*) filter (f = 0) as e from (
-    select city_sk, start_station_id as id, date_trunc('hour', started_at) as h, 1 as f from nds_trips
+    select city_sk, start_station_id || case when event_id % 10 = 3 then 'x' else '' end as id, date_trunc('hour',
+      started_at - case when event_id % 10 = 3 then interval 3 hours else interval 0 hours end) as h, 1 as f from nds_trips
     where start_station_sk is not null and loaded_at <= {FIRST}
     union all select city_sk, end_station_id, date_trunc('hour', ended_at), 0 from nds_trips
     where end_station_sk is not null and ended_at is not null and loaded_at <= {FIRST}) l group by city_sk, id, h) g

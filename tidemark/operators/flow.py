@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import measures
@@ -11,8 +13,8 @@ GRAIN = ["city_sk", "source_station_id", "date_hour"]
 MISSING_WEATHER = ("zero", "unknown")
 
 
-def trip_legs(trips: DataFrame) -> DataFrame:
-    """A start leg and an end leg per trip, those with a resolved station only.
+def trip_legs(trips: DataFrame, extra: Sequence[Column | str] = ()) -> DataFrame:
+    """A start leg and an end leg per trip, those with a resolved station only, with the ``extra`` columns.
 
     ``trips`` holds city_sk, start/end_station_id, start/end_station_sk, started_at,
     ended_at, member_casual, rideable_type and duration_minutes.
@@ -30,7 +32,7 @@ def trip_legs(trips: DataFrame) -> DataFrame:
         (F.col("end_station_sk").isNotNull() & F.col("ended_at").isNotNull()).alias("counts"),
     )
     legs = trips.select(
-        "city_sk", "member_casual", "rideable_type", "duration_minutes", F.explode(F.array(start, end)).alias("leg")
+        "city_sk", "member_casual", "rideable_type", "duration_minutes", F.explode(F.array(start, end)).alias("leg"), *extra
     ).filter("leg.counts")
     return legs.select(
         "city_sk",
@@ -40,6 +42,7 @@ def trip_legs(trips: DataFrame) -> DataFrame:
         "member_casual",
         "rideable_type",
         "duration_minutes",
+        *[c for c in legs.columns if c not in ("city_sk", "member_casual", "rideable_type", "duration_minutes", "leg")],
     )
 
 

@@ -11,7 +11,7 @@ from tidemark.operators.dedup import dedup_first
 from tidemark.operators.lookup import lookup, lookup_current
 from tidemark.operators.upsert import upsert
 from tidemark.plans.bike import station_push_checks
-from tidemark.sources.sinks import replace_partitions, write_replace
+from tidemark.sources.sinks import replace_partitions
 
 EVENT_SCHEMA = (
     "operation string, sent_at string, data struct<source_city_code: string, gbfs_station_id: string, "
@@ -84,20 +84,15 @@ def change_stream(
 ) -> StreamingQuery:
     """File stream of JSON events into ``<out>/staging`` and ``<out>/responses``.
 
-    Batch n writes snapshot n from snapshot n-1 and replaces its own responses, so a batch
-    that is run again after a failure gives the same result.
+    A batch writes its own accepted stations and responses only and replaces them when it
+    is run again after a failure; ``latest_staging`` puts the batches together.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        if batch_id == 0:
-            before = session.createDataFrame([], batch_staging_schema(batch))
-        else:
-            before = session.read.parquet(f"{out_path}/staging/snapshot={batch_id - 1}")
-        after, responses = apply_change_events(flatten(batch), station, city, before)
-        write_replace(after, f"{out_path}/staging/snapshot={batch_id}")
-        tagged = responses.withColumn("batch_id", F.lit(batch_id))
-        replace_partitions(tagged, f"{out_path}/responses", ["batch_id"])
+        judged = judge_events(flatten(batch), station, city)
+        responses = judged.select(*KEY, "operation", "sent_at", "http_status", "message")
+        for name, rows in (("staging", last_accepted(judged)), ("responses", responses)):
+            replace_partitions(rows.withColumn("batch_id", F.lit(batch_id)), f"{out_path}/{name}", ["batch_id"])
 
     events = spark.readStream.schema(EVENT_SCHEMA).json(in_path)
     return (
@@ -105,12 +100,6 @@ def change_stream(
     )
 
 
-def batch_staging_schema(batch: DataFrame):
-    return flatten(batch).select(*STAGING_COLUMNS).schema
-
-
 def latest_staging(spark: SparkSession, out_path: str) -> DataFrame:
-    """The newest snapshot."""
-    every = spark.read.parquet(f"{out_path}/staging")
-    newest = every.agg(F.max("snapshot")).first()[0]
-    return spark.read.parquet(f"{out_path}/staging/snapshot={newest}")
+    """The last accepted event of each station."""
+    return dedup_first(spark.read.parquet(f"{out_path}/staging"), KEY, [F.desc("batch_id")]).drop("batch_id")

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import flow, lookup
 from tidemark.operators.dedup import dedup_first
 from tidemark.session import materialize
-from tidemark.sources.sinks import replace_partitions, write_replace
+from tidemark.sources.sinks import replace_partitions, truncate, write_replace
 
 # Fixed value: lookback of the pulled sources, used as the lateness bound.
 DELAY = "3 days"
@@ -96,7 +96,8 @@ def backlog_store(
     """Resolve each batch together with the waiting trips of the batch before.
 
     ``resolve`` reads the current master each time, so waiting trips are released by the
-    first batch after their master arrived.
+    first batch after their master arrived. Two snapshots of the backlog take turns: the
+    one a batch reads stays until the batch after it, so a batch can be repeated.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
@@ -104,39 +105,73 @@ def backlog_store(
         waiting = (
             spark.createDataFrame([], schema)
             if batch_id == 0
-            else spark.read.schema(schema).parquet(f"{out_path}/backlog/snapshot={batch_id - 1}")
+            else spark.read.schema(schema).parquet(f"{out_path}/backlog/snapshot={(batch_id - 1) % 2}")
         )
         offered = batch.unionByName(waiting)
         resolved = materialize(resolve(offered), "resolved")  # used twice below
         ready, pending = lookup.split_pending(resolved, id_to_sk)
         replace_partitions(ready.withColumn("batch_id", F.lit(batch_id)), f"{out_path}/ready", ["batch_id"])
-        write_replace(pending.select(*batch.columns), f"{out_path}/backlog/snapshot={batch_id}")
+        write_replace(pending.select(*batch.columns), f"{out_path}/backlog/snapshot={batch_id % 2}")
 
     return store
 
 
-def refresh_store(legs_path: str, fact_path: str) -> Callable[[DataFrame, int], None]:
-    """Store the legs of the batch and re-aggregate the station-hours they touch.
+RIDE = ["city_sk", "ride_id"]
+BUCKETS = 256
 
-    Legs lie by the day of their hour, so a batch reads and rewrites only the days it
-    touches. The fact is a function of the stored legs: a repeated batch changes nothing.
+
+def refresh_store(
+    root: str, fact_path: str, version: str = "loaded_at", buckets: int = BUCKETS
+) -> Callable[[DataFrame, int], None]:
+    """Keep the last version of each ride and re-aggregate the station-hours that change.
+
+    ``root`` gets two stores, both written by batch: versions of rides, by hash bucket of
+    the ride, and signed legs, by day. A version that replaces another one writes the
+    other's legs again with the opposite sign, so the hours that a ride leaves are found
+    and refreshed too. The version with the greatest ``version`` holds, ties by arrival.
+    Ride keys must not be NULL. A batch reads the buckets and days it touches; one that is
+    repeated replaces its own partitions and changes nothing.
     """
+    rides_path, legs_path = f"{root}/rides", f"{root}/legs"
+
+    def signed(trips: DataFrame, sign: int) -> DataFrame:
+        ride = F.struct(*RIDE, version).alias("ride")
+        return flow.trip_legs(trips, [ride]).withColumn("sign", F.lit(sign))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        legs = flow.trip_legs(batch).withColumns({"day": F.to_date("date_hour"), "batch_id": F.lit(batch_id)})
-        legs = materialize(legs, "legs")
+        bucket = F.pmod(F.xxhash64(*RIDE), F.lit(buckets)).cast("int")
+        order = [F.desc(version), F.desc("batch_id"), F.xxhash64(*batch.columns)]
+        tagged = batch.withColumns({"bucket": bucket, "batch_id": F.lit(batch_id)})
+        fresh = materialize(dedup_first(tagged, RIDE, order), "fresh")
+        replace_partitions(fresh, rides_path, ["bucket", "batch_id"])
+        touched = [r[0] for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets``
+        known = spark.read.schema(fresh.schema).parquet(rides_path)
+        known = known.filter(F.col("bucket").isin(touched) & (F.col("batch_id") < batch_id))
+        before = materialize(dedup_first(known.join(fresh.select(*RIDE), RIDE, "left_semi"), RIDE, order), "before")
+        now = dedup_first(before.unionByName(fresh), RIDE, order).filter(F.col("batch_id") == batch_id)
+        now = materialize(now, "now")
+        gone = before.join(now.select(*RIDE), RIDE, "left_semi")
+        legs = signed(now, 1).unionByName(signed(gone, -1))
+        legs = materialize(legs.withColumns({"day": F.to_date("date_hour"), "batch_id": F.lit(batch_id)}), "legs")
         replace_partitions(legs, legs_path, ["day", "batch_id"])
+
         grains = materialize(legs.select("day", *flow.GRAIN).distinct(), "grains")
-        stored = spark.read.schema(legs.schema).parquet(legs_path).filter(F.col("batch_id") <= batch_id)
-        # ``day`` is a partition column: the semi join prunes the scan to the touched days.
-        touched = stored.join(grains, ["day", *flow.GRAIN], "left_semi")
-        fresh = flow.balance_legs(touched).withColumn("day", F.to_date("date_hour"))
+        days = [r[0] for r in grains.select("day").distinct().collect()]  # the days of a batch
+        stored = spark.read.schema(legs.schema).parquet(legs_path)
+        stored = stored.filter(F.col("day").isin(days) & (F.col("batch_id") <= batch_id))
+        stored = stored.join(grains, ["day", *flow.GRAIN], "left_semi")
+        leg = [c for c in legs.columns if c not in ("sign", "day", "batch_id")]
+        standing = stored.groupBy(*leg).agg(F.sum("sign").alias("sign")).filter("sign > 0")
+        fresh_rows = flow.balance_legs(standing).withColumn("day", F.to_date("date_hour"))
         if batch_id > 0:
-            days = grains.select("day").distinct()
-            old = spark.read.schema(fresh.schema).parquet(fact_path).join(days, "day", "left_semi")
+            old = spark.read.schema(fresh_rows.schema).parquet(fact_path).filter(F.col("day").isin(days))
             kept = old.join(grains, ["day", *flow.GRAIN], "left_anti")
-            fresh = fresh.unionByName(kept.select(*fresh.columns))
-        replace_partitions(materialize(fresh, "fact-days"), fact_path, ["day"])
+            fresh_rows = fresh_rows.unionByName(kept.select(*fresh_rows.columns))
+        fresh_rows = materialize(fresh_rows, "fact-days")
+        replace_partitions(fresh_rows, fact_path, ["day"])
+        left = {r[0] for r in fresh_rows.select("day").distinct().collect()}
+        for day in set(days) - left:
+            truncate(spark, f"{fact_path}/day={day}", fresh_rows.drop("day").schema)
 
     return store
