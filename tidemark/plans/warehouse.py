@@ -1,25 +1,28 @@
 """The daily run: sources -> staging -> normalised layer -> star, as plain calls.
 
 Small tables are written as one snapshot per run, read from the previous run's. The trip
-and the fact table are partitioned by month and only touched months are rewritten. A run
-that is repeated starts from the same previous snapshots and gives the same result.
+and the fact table lie by run and month: a run writes the months it touches, and a small
+index says which run holds the current rows of a month and from when to when they reach.
+No run writes over another's files, so one that is repeated, wherever it stopped, starts
+from the same tables and gives the same result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.context import RunContext
-from tidemark.functions import measures
+from tidemark.functions import clean, measures
 from tidemark.operators import audit, cdc, dims, flow, incremental, lookup, reconcile, rules, upsert
 from tidemark.operators.dedup import union_all
 from tidemark.plans import bike, loads
 from tidemark.session import materialize
-from tidemark.sources.sinks import replace_partitions, replace_run, truncate, write_replace
+from tidemark.sources.sinks import replace_run, write_replace
 
 SCHEMAS = {
     "control": "source_name string, table_name string, lset timestamp_ntz, cet timestamp_ntz, lookback_days int,"
@@ -53,12 +56,18 @@ SCHEMAS = {
     " wind_speed decimal(8,2), loaded_at timestamp_ntz, month string",
     "grains": "city_sk bigint, source_station_id string, date_hour timestamp_ntz",
 }
-PARTITIONED = {"trip": "trip_month", "fact": "month"}
+MONTHLY = {"trip": "trip_month", "fact": "month"}
+# The hours that the rows of a month reach; a trip may end in a later month. NULL times are passed over.
+REACH = {
+    "trip": ("least(started_at, ended_at)", "greatest(started_at, ended_at)"),
+    "fact": ("to_timestamp_ntz(cast(datetime_sk as string), 'yyyyMMddHH')",) * 2,
+}
+INDEX = "month string, run string, low timestamp_ntz, high timestamp_ntz"
 
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Tables below ``root``; ``previous`` is the run whose snapshots are read."""
+    """Tables below ``root``; ``previous`` is the run whose tables are read."""
 
     spark: SparkSession
     root: str
@@ -69,19 +78,48 @@ class Warehouse:
         return self.spark.createDataFrame([], SCHEMAS[name])
 
     def path(self, name: str, run: str | None = None) -> str:
-        return f"{self.root}/{name}" if name in PARTITIONED else f"{self.root}/{name}/run-{run or self.run}"
+        return f"{self.root}/{name}/run-{run or self.run}"
+
+    def index(self, name: str, run: str | None) -> DataFrame:
+        """One row per month that the run left: which run holds it, and the hours it reaches."""
+        if run is None:
+            return self.spark.createDataFrame([], INDEX)
+        return self.spark.read.schema(INDEX).parquet(self.path(f"{name}_months", run))
+
+    def _monthly(self, name: str, index: DataFrame) -> DataFrame:
+        col, base = MONTHLY[name], f"{self.root}/{name}"
+        paths = [f"{base}/run={r['run']}/{col}={r['month']}" for r in index.collect()]  # months only
+        if not paths:
+            return self._empty(name)
+        every = self.spark.read.schema(SCHEMAS[name]).option("basePath", base).parquet(*paths)
+        return every.select(*self._empty(name).columns)
+
+    def _of(self, name: str, run: str | None, hours: DataFrame | None) -> DataFrame:
+        index = self.index(name, run)
+        if hours is not None:  # the column date_hour
+            days = hours.select(F.to_date("date_hour").alias("__day")).distinct()
+            index = index.join(days, F.col("__day").between(F.to_date("low"), F.to_date("high")), "left_semi")
+        return self._monthly(name, index)
 
-    def before(self, name: str) -> DataFrame:
-        """The table as the run found it."""
+    def before(self, name: str, hours: DataFrame | None = None) -> DataFrame:
+        """The table as the run found it; a monthly one, only the months that reach ``hours``."""
+        if name in MONTHLY:
+            return self._of(name, self.previous, hours)
         if self.previous is None:
             return self._empty(name)
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name, self.previous))
 
-    def now(self, name: str) -> DataFrame:
-        """The table as the run left it."""
+    def now(self, name: str, hours: DataFrame | None = None) -> DataFrame:
+        """The table as the run left it; a monthly one, only the months that reach ``hours``."""
+        if name in MONTHLY:
+            return self._of(name, self.run, hours)
         reader = self.spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else self.spark.read
         return reader.parquet(self.path(name))
 
+    def months(self, name: str, months: DataFrame) -> DataFrame:
+        """The given months of a monthly table as the run found it."""
+        return self._monthly(name, self.index(name, self.previous).join(months.toDF("month"), "month", "left_semi"))
+
     def write(self, name: str, df: DataFrame) -> DataFrame:
         if name in SCHEMAS:
             want = self._empty(name).schema
@@ -90,15 +128,17 @@ class Warehouse:
         return self.now(name)
 
     def replace_months(self, name: str, rows: DataFrame, touched: DataFrame) -> None:
-        """Replace the touched months by ``rows``; a month left without rows is emptied."""
-        col = PARTITIONED[name]
+        """``rows`` become the whole content of the touched months; a month left without rows is gone."""
+        col = MONTHLY[name]
         want = self._empty(name).schema
-        done = materialize(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want]), name)
-        replace_partitions(done, self.path(name), [col])
-        left = touched.join(done.select(col).distinct(), col, "left_anti")
-        for row in left.collect():  # months only
-            rest = self._empty(name).drop(col).schema
-            truncate(self.spark, f"{self.path(name)}/{col}={row[0]}", rest)
+        out = f"{self.root}/{name}/run={self.run}"
+        write_replace(rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want]), out, [col])
+        low, high = REACH[name]
+        written = self.spark.read.schema(SCHEMAS[name]).parquet(out)
+        new = written.groupBy(F.col(col).alias("month")).agg(F.min(F.expr(low)).alias("low"), F.max(F.expr(high)).alias("high"))
+        new = new.withColumn("run", F.lit(self.run)).select("month", "run", "low", "high")
+        kept = self.index(name, self.previous).join(touched.toDF("month"), "month", "left_anti")
+        write_replace(kept.unionByName(new), self.path(f"{name}_months"))
 
 
 def stage(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext) -> None:
@@ -107,7 +147,7 @@ def stage(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext) -> None:
     ``raw`` holds ``trips:<source name>:<rule prefix>`` entries, ``weather`` and ``stations``.
     """
     control = wh.before("control")
-    staged_trips, runs, prints, summaries = [], [], [], []
+    staged_trips, runs, prints, summaries, balances = [], [], [], [], []
     for entry, landed in raw.items():
         kind, _, rest = entry.partition(":")
         source, _, prefix = rest.partition(":")
@@ -122,13 +162,11 @@ def stage(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext) -> None:
         if kind == "trips":
             staged = bike.stage_trips(landed, rule_set, window)
             in_run = incremental.in_window("__ts", window.lset, window.cet, days)
-            offered = landed.filter(F.col("started_at").rlike(r"^\d{4}-\d{2}-\d{2} ")).withColumn(
-                "__ts", F.substring(F.trim("started_at"), 1, 19).try_cast("timestamp_ntz")
-            )
+            offered = landed.withColumn("__ts", clean.ts_seconds("started_at"))
         elif kind == "weather":
             staged = bike.stage_weather(landed, window, rule_set)
             in_run = incremental.in_window("__ts", window.lset, window.cet, days)
-            offered = landed.withColumn("__ts", F.replace("observation_ts", F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz"))
+            offered = landed.withColumn("__ts", clean.ts_iso("observation_ts"))
         else:
             staged, in_run, offered = bike.stage_stations(landed, window, rule_set), F.lit(True), landed
         name = "trips" if kind == "trips" else kind
@@ -141,6 +179,7 @@ def stage(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext) -> None:
         summaries.append(rules.dq_summary(landed, rule_set, ctx.load_run_id))
         counts = audit.load_counts(offered, part, rule_set.source_name, table, F.coalesce(in_run, F.lit(False)))
         runs.append(counts)
+        balances.append(bike.stage_balance(landed, part, rule_set, kind, window))
         lineage = ["raw_loaded_at", "load_run_id", "source_row_number"]
         prints.append(
             cdc.fingerprint(landed, ["source_file"], lineage).withColumn("source_name", F.lit(rule_set.source_name))
@@ -151,6 +190,8 @@ def stage(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext) -> None:
     wh.write("stg_trips", fresh.unionByName(waiting.select(*fresh.columns)))
     summary = materialize(union_all(*summaries), "summary")
     replace_run(summary, f"{wh.root}/dq_summary")
+    replace_run(rules.dq_rollup(summary), f"{wh.root}/dq_rollup")
+    wh.write("stage_balance", union_all(*balances))
     counts = materialize(union_all(*runs), "counts")
     replace_run(audit.job_log(counts, ctx, "stage"), f"{wh.root}/job_log/stage")
     stamp = F.lit(str(ctx.cet)).cast("timestamp_ntz")
@@ -172,17 +213,22 @@ def normalise(wh: Warehouse, ctx: RunContext) -> None:
     station = wh.write("station", loads.load_stations(wh.before("station"), stations, city, ctx))
     weather = wh.write("weather", loads.load_weather(wh.before("weather"), hours, city, ctx))
     resolved = materialize(loads.resolve_trips([trips], city, station, ctx), "resolved")
-    stored = wh.now("trip") if wh.previous is not None else wh._empty("trip")
-
-    # Rows to write: this run's trips, and stored trips whose station became known.
-    late, _ = loads.reresolve(stored, station, ctx)
-    ready, _ = lookup.split_pending(resolved, loads.ID_TO_SK)
-    late = late.join(ready.select(*loads.TRIP_KEY), loads.TRIP_KEY, "left_anti")
-    source = materialize(ready.select(*loads.TRIP_COLUMNS).unionByName(late.select(*loads.TRIP_COLUMNS)), "source")
-    old = materialize(stored.join(source.select(*loads.TRIP_KEY), loads.TRIP_KEY, "left_semi"), "old")
+
+    # Rows to write: this run's trips, and stored trips whose station arrived in this run.
+    arrived = station.select(*loads.STATION_KEY).join(wh.before("station"), loads.STATION_KEY, "left_anti").distinct()
+    arrived = materialize(arrived, "arrived")
+    ready, pending = lookup.split_pending(resolved, loads.ID_TO_SK)
+    source = ready.select(*loads.TRIP_COLUMNS)
+    if not arrived.isEmpty():
+        late, _ = loads.reresolve(wh.before("trip"), station.join(arrived, loads.STATION_KEY, "left_semi"), ctx)
+        late = late.join(ready.select(*loads.TRIP_KEY), loads.TRIP_KEY, "left_anti")
+        source = source.unionByName(late.select(*loads.TRIP_COLUMNS))
+    source = materialize(source, "source")
+    # A ride may lie in another month than its new version, so its key is looked up in all of them.
+    old = wh.before("trip").join(source.select(*loads.TRIP_KEY), loads.TRIP_KEY, "left_semi")
+    old = materialize(old, "old")
     touched = materialize(union_all(source.select("trip_month"), old.select("trip_month")).distinct(), "months")
-    target = stored.join(touched, "trip_month", "left_semi")
-    after, _ = loads.load_trips(target, source, ctx)
+    after, _ = loads.load_trips(wh.months("trip", touched), source, ctx)
     after = materialize(after, "after")
     changed = after.filter(F.col("updated_at") == F.lit(str(ctx.cet)).cast("timestamp_ntz"))
     gone = old.join(changed.select(*loads.TRIP_KEY), loads.TRIP_KEY, "left_semi")
@@ -191,12 +237,31 @@ def normalise(wh: Warehouse, ctx: RunContext) -> None:
                                  insert_only=["loaded_at"])
     wet = acts.filter("action in ('insert', 'update')").select("city_sk", "observation_hour")
     wet = materialize(wet, "weather-changes")
-    known = flow.trip_legs(incremental.prune_trips(stored, wet.withColumnRenamed("observation_hour", "date_hour")))
-    wh.write("grains", grains.unionByName(incremental.weather_grains(known, wet)).distinct())
-    _, backlog = lookup.split_pending(resolved, loads.ID_TO_SK)
-    staged_keys = ["source_city_code", "ride_id"]
-    wh.write("backlog", upsert.matching(trips, backlog, staged_keys))
+    wh.write("grains", grains.unionByName(incremental.weather_grains(fact_grains(wh, wet), wet)).distinct())
+    wh.write("backlog", upsert.matching(trips, pending, ["source_city_code", "ride_id"]))
     wh.replace_months("trip", after, touched)
+    parts = {"city": city, "station": station, "weather": weather, "trip": source}
+    log_counts(wh, ctx, "normalise", audit.candidate_counts(parts, pending))
+
+
+def log_counts(wh: Warehouse, ctx: RunContext, job: str, counts: DataFrame) -> None:
+    """Candidate counts of a layer and its line in the job log."""
+    counts = wh.write(f"candidates_{job}", counts)
+    line = counts.select(
+        F.lit(job).alias("source_name"),
+        F.lit("SUCCESS").alias("status"),
+        "total_rows_count",
+        "success_rows_count",
+        (F.col("total_rows_count") - F.col("success_rows_count")).alias("failed_rows_count"),
+    )
+    replace_run(audit.job_log(line, ctx, job), f"{wh.root}/job_log/{job}")
+
+
+def fact_grains(wh: Warehouse, wet: DataFrame) -> DataFrame:
+    """Station-hours of the stored fact in the months of the given city-hours."""
+    fact = wh.before("fact", wet.withColumnRenamed("observation_hour", "date_hour"))
+    hours = fact.select("station_sk", F.expr(REACH["fact"][0]).alias("date_hour"))
+    return hours.join(wh.before("dim_station").select("station_sk", *loads.STATION_KEY), "station_sk")
 
 
 def publish(wh: Warehouse, ctx: RunContext, missing_weather: str = "zero") -> DataFrame:
@@ -204,13 +269,14 @@ def publish(wh: Warehouse, ctx: RunContext, missing_weather: str = "zero") -> Da
     city, station, weather = (wh.now(n) for n in ("city", "station", "weather"))
     wh.write("dim_city", upsert.upsert(wh.before("city"), city, ["city_code"]))
     dim = wh.write("dim_station", loads.load_dim_station(wh.before("dim_station"), station, ctx.lset, ctx.cet))
-    grains, trips = wh.now("grains"), wh.now("trip")
+    grains = wh.now("grains")
+    trips = wh.now("trip", grains)
     days = wh.now("calendar_day").agg(
         F.min("calendar_date").alias("first_day"), F.max("calendar_date").alias("last_day")
     )
     hours = wh.write("dim_datetime", dims.datetime_dim(days))
     classes = wh.write("dim_weather", dims.weather_conditions(wh.spark))
-    balance = incremental.reaggregate(incremental.prune_trips(trips, grains), grains)
+    balance = incremental.reaggregate(trips, grains)
     rows = loads.to_fact(balance, weather, loads.Star(dim, hours, classes), ctx, missing_weather)
     month = F.substring(F.col("datetime_sk").cast("string"), 1, 6)
     rows = materialize(rows.withColumn("month", month), "fact-rows")
@@ -220,28 +286,52 @@ def publish(wh: Warehouse, ctx: RunContext, missing_weather: str = "zero") -> Da
     keyed = lookup.scd2_lookup(keyed, dim, loads.STATION_KEY, "date_hour", ["station_sk"])
     keyed = materialize(keyed.select(*loads.FACT_KEY).filter("station_sk is not null"), "touched-keys")
     touched = materialize(keyed.select(month.alias("month")).distinct(), "fact-months")
-    if wh.previous is None:
-        target = wh._empty("fact")
-    else:
-        target = wh.now("fact").join(touched, "month", "left_semi")
+    target = wh.months("fact", touched)
     emptied = keyed.join(rows.select(*loads.FACT_KEY), loads.FACT_KEY, "left_anti")
     target = upsert.delete_matching(target, emptied, loads.FACT_KEY)
     wh.replace_months("fact", loads.load_fact(target, rows), touched)
+    log_counts(wh, ctx, "publish", audit.candidate_counts({"grain": grains, "fact": rows}, emptied))
+    return reconcile_window(wh, ctx)
+
+
+def reconcile_window(wh: Warehouse, ctx: RunContext) -> DataFrame:
+    """Totals of trips and fact over the whole load window, and the station-hours that the fact lacks.
+
+    The window runs from ``lset`` less the lookback to ``cet``, whatever the run touched.
+    """
+    low = ctx.lset - timedelta(days=ctx.lookback_days)
+    day = F.explode(F.sequence(F.lit(str(low)).cast("timestamp_ntz"), F.lit(str(ctx.cet)).cast("timestamp_ntz"), F.expr("interval 1 day")))
+    window = wh.spark.range(1).select(day.alias("date_hour"))
+    inside = incremental.in_window("date_hour", low, ctx.cet, 0)
+    legs = flow.trip_legs(wh.now("trip", window)).filter(inside)
+    fact = wh.now("fact", window).withColumn("date_hour", F.expr(REACH["fact"][0])).filter(inside)
     report = reconcile.reconcile_totals(
-        flow.trip_legs(incremental.prune_trips(trips, grains)).join(grains, flow.GRAIN, "left_semi"),
-        wh.now("fact").join(keyed, loads.FACT_KEY, "left_semi"),
+        legs,
+        fact,
         {
             "started": (F.count_if("is_start"), F.sum("trips_started")),
             "ended": (F.count_if(~F.col("is_start")), F.sum("trips_ended")),
         },
     )
+    grains = legs.select(*flow.GRAIN).distinct().withColumn("datetime_sk", measures.datetime_sk("date_hour"))
+    keyed = lookup.scd2_lookup(grains, wh.now("dim_station"), loads.STATION_KEY, "date_hour", ["station_sk"])
+    wh.write("missing_hours", reconcile.missing_rows(keyed.select(*loads.FACT_KEY), fact, loads.FACT_KEY))
     return wh.write("reconciliation", report)
 
 
+def cleanup(wh: Warehouse) -> None:
+    """Staged trips that reached the normalised layer leave staging; the others stay for the next run."""
+    staged = wh.now("stg_trips")
+    kept = upsert.matching(staged, wh.now("backlog"), ["source_city_code", "ride_id"])
+    wh.write("stg_left", kept)
+
+
 def daily_run(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
     stage(wh, raw, ctx)
     normalise(wh, ctx)
-    return publish(wh, ctx)
+    report = publish(wh, ctx)
+    cleanup(wh)
+    return report
 
 
 def star(wh: Warehouse) -> DataFrame:
