@@ -232,6 +232,54 @@ def test_keys_are_dense_and_stable(spark):
     assert rows(got, "sk", "k") == rows(keys.allocate_keys(new.repartition(7), old, "sk", ["k"]), "sk", "k")
 
 
+def test_scd2_changes_in_any_order_give_the_sorted_history(spark):
+    rnd = random.Random(9)
+    kind = "k int, v string, effective_from timestamp_ntz, effective_to timestamp_ntz, is_current boolean, version bigint"
+    log = {k: [(datetime(2024, 1, 1 + i), f"v{i}") for i in range(4)] for k in range(6)}
+    orders = {k: rnd.sample(range(4), 4) for k in log}
+    dim = spark.createDataFrame([], kind)
+    for step in range(4):
+        batch = [(k, log[k][orders[k][step]][1], log[k][orders[k][step]][0]) for k in log]
+        dim = scd.scd2_apply(dim, spark.createDataFrame(batch, "k int, v string, ts timestamp_ntz"), ["k"], ["v"], "ts")
+        dim = spark.createDataFrame(dim.collect(), kind)
+    want = [
+        (k, v, at, log[k][i + 1][0] if i < 3 else None, i == 3, i + 1) for k in log for i, (at, v) in enumerate(log[k])
+    ]
+    shown = ("k", "v", "effective_from", "effective_to", "is_current", "version")
+    assert rows(dim, *shown) == sorted(want, key=repr)
+
+
+def test_scd2_late_changes_that_meet_their_neighbours(spark):
+    day = lambda d: datetime(2024, 1, d)
+    kind = "k int, v string, effective_from timestamp_ntz, effective_to timestamp_ntz, is_current boolean, version bigint"
+    dim = spark.createDataFrame(
+        [(k, "a", day(1), day(10), False, 1) for k in range(5)] + [(k, "b", day(10), None, True, 2) for k in range(4)]
+        + [(4, "b", day(10), day(20), False, 2)],
+        kind,
+    )
+    changes = [(0, "a", day(5)), (1, "b", day(5)), (2, "c", day(10)), (3, "c", day(5)), (4, "c", day(15))]
+    got = scd.scd2_apply(dim, spark.createDataFrame(changes, "k int, v string, ts timestamp_ntz"), ["k"], ["v"], "ts")
+    by = {}
+    for r in got.orderBy("k", "version").collect():
+        by.setdefault(r["k"], []).append((r["v"], r["effective_from"].day, r["effective_to"] and r["effective_to"].day))
+    assert by[0] == [("a", 1, 10), ("b", 10, None)]  # valid anyway
+    assert by[1] == [("a", 1, 5), ("b", 5, None)]  # the next version begins earlier
+    assert by[3] == [("a", 1, 5), ("c", 5, 10), ("b", 10, None)]
+    assert by[4] == [("a", 1, 10), ("b", 10, 15), ("c", 15, 20)]  # inside a closed version
+    assert got.filter("effective_to < effective_from").count() == 0
+
+
+def test_the_second_spelling_matches(spark):
+    master = spark.createDataFrame([("c", None, "Main St"), ("c", "m1", "Main St"), ("c", "m2", None)], "city string, mid string, mname string")
+    legs = spark.createDataFrame([("c", "e1", "A street", "main st."), ("c", "m2", None, "Other")], "city string, id string, one string, two string")
+    found = match.entities(legs, [{"id": "id", "name": "one"}, {"id": "id", "name": "two"}], ["city"])
+    every = match.match_entities(found, master, "city", ["mid"], "mid", "mname")
+    best = match.best_spelling(every, ["city"])
+    shown = ("entity_id", "entity_name", "candidate_master_key", "match_method")
+    assert every.count() == 4
+    assert rows(best, *shown) == [("e1", "main st.", "m1", "NORMALIZED_NAME"), ("m2", "Other", "m2", "EXACT_ID")]
+
+
 def test_scd2_rerun_changes_nothing(spark):
     dim = spark.createDataFrame(
         [],

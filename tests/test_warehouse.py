@@ -146,6 +146,64 @@ def test_late_changed_and_moved_rows_equal_a_full_build(spark):
     assert stamps["NYC_RIDE_004"] == (datetime(2026, 2, 16), datetime(2026, 2, 16))
 
 
+MOVED = ("NYC_RIDE_001", "electric_bike", "10:15", "10:30", "5514.01", "5514.01", "member", "NYC")
+
+
+@pytest.mark.parametrize("stop", ["normalise", "publish", "reconcile_window"])
+def test_a_run_that_stopped_can_be_repeated(spark, monkeypatch, stop):
+    """The run fails as it comes to one of its steps; run again, it equals a full build."""
+    root = scratch_path(spark, "wh")
+    warehouse.daily_run(warehouse.Warehouse(spark, root, "r1"), raw(spark), ctx(1))
+    two = warehouse.Warehouse(spark, root, "r2", previous="r1")
+    trips = [t for t in TRIPS if t[0] != MOVED[0]] + [MOVED]
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("stopped")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(warehouse, stop, fail)
+        with pytest.raises(RuntimeError, match="stopped"):
+            warehouse.daily_run(two, raw(spark, trips), ctx(2))
+    report = warehouse.daily_run(two, raw(spark, trips), ctx(2))
+    assert {k: v[:3] for k, v in fact_rows(two).items()} == rebuilt(two)
+    assert ("6602.05", 2026021508) not in fact_rows(two)
+    assert {r["status"] for r in report.collect()} == {"OK"} and two.now("missing_hours").count() == 0
+    # The run before still reads as it was.
+    one = warehouse.Warehouse(spark, root, "r1")
+    assert ("6602.05", 2026021508) in fact_rows(one)
+
+
+def test_a_pushed_delete_closes_the_station(spark):
+    root = scratch_path(spark, "wh")
+    warehouse.daily_run(warehouse.Warehouse(spark, root, "r1"), raw(spark), ctx(1))
+    two = warehouse.Warehouse(spark, root, "r2", previous="r1")
+    push = [("CHI", "CHI10001", "g1", "Stop CHI10001", 41.5, -87.5, 15, None, None, "open", "DELETE", datetime(2026, 2, 16, 12))]
+    kind = (
+        "source_city_code string, short_name string, gbfs_station_id string, station_name string, latitude double,"
+        " longitude double, capacity int, station_type string, region_id string, station_status string, operation string,"
+        " sent_at timestamp_ntz"
+    )
+    warehouse.daily_run(two, raw(spark, trips=[]), ctx(2), spark.createDataFrame(push, kind))
+    state = {r["source_station_id"]: r["is_current"] for r in two.now("dim_station").collect()}
+    assert state == {"CHI10001": False, "CHI10002": True, "6602.05": True, "5514.01": True}
+    closed = two.now("dim_station").filter("source_station_id = 'CHI10001'").first()
+    assert closed["effective_to"] == datetime(2026, 2, 17)
+    logged = spark.read.parquet(f"{root}/job_log/normalise")
+    assert {r["load_run_id"] for r in logged.collect()} == {"r1", "r2"}
+    assert {r["match_method"] for r in warehouse.Warehouse(spark, root, "r1").now("entity_matches").collect()} == {"EXACT_ID"}
+    assert {r["status"] for r in two.now("leakage").collect()} == {"PASS"}
+    assert {r["difference"] for r in two.now("stage_balance").collect()} == {0}
+
+
+def test_only_months_in_reach_are_read(spark, first):
+    wh, _ = first
+    hours = spark.createDataFrame([(datetime(2026, 2, 15, 8),)], "date_hour timestamp_ntz")
+    assert wh.now("trip", hours).count() == 8
+    other = spark.createDataFrame([(datetime(2026, 3, 1),)], "date_hour timestamp_ntz")
+    assert wh.now("trip", other).rdd.getNumPartitions() == 0 or wh.now("trip", other).isEmpty()
+    assert "trip_month=202602" in wh.now("trip").inputFiles()[0]
+
+
 def test_weather_alone_refreshes_the_fact(spark):
     root = scratch_path(spark, "wh")
     warehouse.daily_run(warehouse.Warehouse(spark, root, "r1"), raw(spark), ctx(1))

@@ -97,12 +97,15 @@ def _(t: Tables):
     )
 
 
-ENTITY_SQL = """
-select entity_id, entity_name, city, id_key, id_name, name_key, name_name from (
-  select case s_suppkey % 3 when 0 then cast(s_suppkey as varchar) when 1 then 'X' || s_suppkey
-      else 'Y' || s_suppkey end as entity_id,
-    case s_suppkey % 3 when 2 then 'none ' || s_suppkey else upper(s_name) || ' !' end as entity_name,
-    s_nationkey as city, upper(s_name) as k from supplier) e
+# Each supplier in two spellings, of which the smaller name matches nothing where the key is 2 modulo 9.
+SPELLED = """
+select case s_suppkey % 3 when 0 then cast(s_suppkey as varchar) when 1 then 'X' || s_suppkey
+    else 'Y' || s_suppkey end as entity_id, s_nationkey as city,
+  case when n = 1 then 'A none ' || s_suppkey when s_suppkey % 9 = 5 then null when s_suppkey % 9 = 8
+    then 'none ' || s_suppkey else upper(s_name) || ' !' end as entity_name
+from supplier, (values (0), (1)) v(n)"""
+ENTITY_SQL = f"""
+select entity_id, entity_name, city, id_key, id_name, name_key, name_name from ({SPELLED}) e
 left join (select cast(s_suppkey as varchar) as mid, s_nationkey as mc, cast(s_suppkey as varchar) as id_key,
     s_name as id_name from supplier) a on a.mid = e.entity_id and a.mc = e.city
 left join (select s_nationkey as nc, upper(s_name) as nk, min(cast(s_suppkey as varchar)) as name_key,
@@ -110,36 +113,50 @@ left join (select s_nationkey as nc, upper(s_name) as nk, min(cast(s_suppkey as
 
 
 def suppliers(t: Tables) -> tuple[DataFrame, DataFrame]:
-    master = t.supplier.select(
+    """Named rows and a master; some master rows lack their key."""
+    known = t.supplier.select(
         F.col("s_nationkey").alias("city"),
         F.col("s_suppkey").cast("string").alias("short_name"),
         F.concat(F.lit("feed"), "s_suppkey").alias("feed_id"),
         F.col("s_name").alias("station_name"),
     )
-    found = t.supplier.selectExpr(
+    master = known.unionByName(known.withColumns({"short_name": F.lit(None).cast("string"), "feed_id": F.lit(None).cast("string")}))
+    named = t.supplier.selectExpr(
         "s_nationkey as city",
         "case s_suppkey % 3 when 0 then cast(s_suppkey as string) when 1 then concat('X', s_suppkey)"
-        " else concat('Y', s_suppkey) end as entity_id",
-        "case s_suppkey % 3 when 2 then concat('none ', s_suppkey) else concat(upper(s_name), ' !') end as entity_name",
+        " else concat('Y', s_suppkey) end as id",
+        "concat('A none ', s_suppkey) as one",
+        "case when s_suppkey % 9 = 5 then null when s_suppkey % 9 = 8 then concat('none ', s_suppkey)"
+        " else concat(upper(s_name), ' !') end as two",
     )
+    found = match.entities(named, [{"id": "id", "name": "one"}, {"id": "id", "name": "two"}], ["city"])
     return found, master
 
 
 def matched(t: Tables) -> DataFrame:
+    """The best spelling of each entity."""
+    return match.best_spelling(every_match(t), ["city"])
+
+
+def every_match(t: Tables) -> DataFrame:
     found, master = suppliers(t)
     return match.match_entities(found, master, "city", ["short_name", "feed_id"], "short_name", "station_name")
 
 
-MATCH_SQL = f"""
+EVERY_SQL = f"""
 select city, entity_id, entity_name, coalesce(id_key, name_key) as candidate_master_key,
   coalesce(id_name, name_name) as candidate_master_name,
   case when id_key is not null then 'EXACT_ID' when name_key is not null then 'NORMALIZED_NAME' else 'UNMATCHED' end
     as match_method from ({ENTITY_SQL}) m"""
+MATCH_SQL = f"""
+select * exclude (rn) from (select *, row_number() over (partition by city, entity_id order by
+    case match_method when 'EXACT_ID' then 1 when 'NORMALIZED_NAME' then 2 else 3 end, entity_name nulls last) as rn
+  from ({EVERY_SQL}) e) r where rn = 1"""
 
 
-@check("jn_left_lateral", MATCH_SQL)
+@check("jn_left_lateral", EVERY_SQL)
 def _(t: Tables):
-    return matched(t)
+    return every_match(t)
 
 
 @check(
@@ -538,6 +555,27 @@ def _(t: Tables):
     return applied(t)
 
 
+ERA = "case when year(o_orderdate) < 1997 then 1 when year(o_orderdate) < 1999 then 2 else 3 end"
+
+
+@check(
+    "scd2_late_change",
+    f"""select o_custkey, priority, {ts('ts')} as effective_from, {ts('lead(ts) over w')} as effective_to,
+  lead(ts) over w is null as is_current, row_number() over w as version
+from (select o_custkey, 'era ' || era as priority, min(o_orderdate) as ts
+  from (select *, {ERA} as era from orders) o group by o_custkey, era) c
+window w as (partition by o_custkey order by ts)""",
+)
+def _(t: Tables):
+    """The middle change arrives first, then the newest, then the oldest."""
+    eras = t.orders.withColumn("era", F.expr(ERA)).groupBy("o_custkey", "era").agg(F.min("o_orderdate").alias("ts"))
+    eras = eras.withColumn("priority", F.concat(F.lit("era "), F.col("era").cast("string")))
+    dim = empty_versions(t)
+    for era in (2, 3, 1):
+        dim = scd.scd2_apply(dim, eras.filter(F.col("era") == era), ["o_custkey"], ["priority"], "ts")
+    return dim
+
+
 @check(
     "scd2_softclose",
     f"""select v.o_custkey, priority, case when is_current and g.o_custkey is not null then {ts("timestamp '2001-09-01'")}
@@ -858,10 +896,10 @@ def _(t: Tables):
 
 @check(
     "em_entities",
-    """select city, entity_id, min(name) as entity_name from (
+    """select distinct city, entity_id, name as entity_name from (
   select source_city_code as city, start_station_id as entity_id, 'Stop ' || (event_id % 4) as name from trips
   union all select source_city_code, end_station_id, 'Halt ' || (event_id % 4) from trips) x
-where entity_id is not null group by 1, 2""",
+where entity_id is not null""",
 )
 def _(t: Tables):
     four = (F.col("ride_id").cast("bigint") % 4).cast("string")

@@ -8,22 +8,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.clean import normalize_name
+from tidemark.operators.dedup import dedup_first
 
 # Confidence by match method.
 CONFIDENCE = {"EXACT_ID": 1.0, "NORMALIZED_NAME": 0.75, "UNMATCHED": 0.0}
 
 
 def entities(rows: DataFrame, legs: Sequence[Mapping[str, str]], context: Sequence[str]) -> DataFrame:
-    """Distinct (context, entity_id) with one spelling of the name.
+    """Distinct (context, entity_id, entity_name): every spelling of the name an id occurs with.
 
-    Each leg names the id and the name column. The smallest name is kept, so that one id
-    gives one entity whatever the order of the input.
+    Each leg names the id and the name column.
     """
     made = [F.struct(F.col(g["id"]).alias("entity_id"), F.col(g["name"]).alias("entity_name")) for g in legs]
     flat = rows.select(*context, F.explode(F.array(*made)).alias("e")).select(*context, "e.*")
-    return flat.filter("entity_id is not null").groupBy(*context, "entity_id").agg(
-        F.min("entity_name").alias("entity_name")
-    )
+    return flat.filter("entity_id is not null").distinct()
+
+
+def best_spelling(matches: DataFrame, context: Sequence[str]) -> DataFrame:
+    """One row per (context, entity_id): the spelling with the best method, ties by name, NULL names last."""
+    rank = F.array_position(F.array(*map(F.lit, CONFIDENCE)), F.col("match_method"))
+    return dedup_first(matches, [*context, "entity_id"], [rank, F.col("entity_name").asc_nulls_last()])
 
 
 def match_entities(
@@ -34,7 +38,9 @@ def match_entities(
     The best master per id and per name is chosen before the joins. Both joins are then
     many-to-one: a name that thousands of masters share never multiplies rows.
     """
-    picked = F.min(F.struct(F.col(master_key), F.col(master_name))).alias("m")
+    # NULL keys and names lose against real ones.
+    order = [F.col(master_key).isNull(), F.col(master_key), F.col(master_name).isNull(), F.col(master_name)]
+    picked = F.min_by(F.struct(master_key, master_name), F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])).alias("m")
     ids = master.select(block, F.explode(F.array(*master_ids)).alias("entity_id"), master_key, master_name)
     by_id = ids.filter("entity_id is not null").groupBy(block, "entity_id").agg(picked)
     names = master.withColumn("__name", normalize_name(master_name)).filter("__name is not null")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import skew
 from tidemark.operators.ordered import LAYOUT, number_intervals, previous_value
-from tidemark.operators.upsert import differs, upsert
+from tidemark.operators.upsert import upsert
 
 # Fixed value: start of the first version when the change time is not to be used.
 FIRST_FROM = "1900-01-01 00:00:00"
@@ -75,47 +75,91 @@ def scd2_apply(
     """Apply one batch (one row per key): close changed versions, open new ones.
 
     ``dim`` holds keys, tracked, effective_from, effective_to, is_current, version.
-    ``first_from`` replaces the change time for the first version of a key.
+    ``first_from`` replaces the change time for the first version of a key. A change that
+    is older than the current version goes into the history: it splits the version that
+    was valid at its time, or precedes the first one, and later versions move up one
+    number. No interval ends before it begins. A change to what was valid anyway, or one
+    at the very time of a stored version's start, changes nothing.
     """
     cols = [*keys, *tracked, "effective_from", "effective_to", "is_current", "version"]
-    s = source.select(*[F.col(k).alias(f"s_{k}") for k in keys], *[F.col(c).alias(f"s_{c}") for c in tracked],
-                      F.col(ts).alias("s__ts"))
+    version = dim.schema["version"].dataType
+    s = source.select(
+        *[F.col(k).alias(f"s_{k}") for k in keys], *[F.col(c).alias(f"s_{c}") for c in tracked], F.col(ts).alias("s__ts")
+    )
     on = F.lit(True)
     for k in keys:
         on = on & (F.col(k) == F.col(f"s_{k}"))
-    changed = differs([(F.col(c), F.col(f"s_{c}")) for c in tracked])
-    closes = F.col("is_current") & F.col("s__ts").isNotNull() & changed
-    kept = (
+    # What the change meets in the history of its key: the version valid at its time, and the next one.
+    at = F.col("s__ts")
+    covers = (F.col("effective_from") <= at) & (F.col("effective_to").isNull() | (at < F.col("effective_to")))
+    body = F.struct(*tracked)
+    heads = (
         dim.select(*cols)
-        .join(s, on, "left")
-        .withColumn("__close", F.coalesce(closes, F.lit(False)))
-        .withColumn("effective_to", F.when(F.col("__close"), F.col("s__ts")).otherwise(F.col("effective_to")))
-        .withColumn("is_current", F.col("is_current") & ~F.col("__close"))
-        .select(*cols)
+        .join(s, on)
+        .groupBy(*keys)
+        .agg(
+            F.max("version").alias("__last"),
+            F.max("effective_from").alias("__newest"),
+            F.max("effective_to").alias("__ended"),
+            F.max("is_current").alias("__open"),
+            F.max_by(body, "version").alias("__head"),
+            F.max_by(F.struct("effective_from", "effective_to", "version", body.alias("body")), F.when(covers, F.col("effective_from"))).alias("__at"),
+            F.min_by(F.struct("effective_from", "version", body.alias("body")), F.when(F.col("effective_from") > at, F.col("effective_from"))).alias("__next"),
+        )
     )
-    heads = dim.groupBy(*keys).agg(
-        F.max("version").alias("__last"),
-        F.max_by(F.struct(*tracked), "version").alias("__head"),
-        F.max("is_current").alias("__open"),
+    known = s.join(heads, on, "left")
+    mine = F.struct(*[F.col(f"s_{c}").alias(c) for c in tracked])
+    new_key = F.col("__last").isNull()
+    newest = (at >= F.col("__newest")) & (F.col("__open") | (at >= F.col("__ended")))
+    late = ~new_key & ~newest
+    differs_head = ~F.col("__head").eqNullSafe(mine)
+    opens = new_key | (newest & (~F.col("__open") | differs_head))
+    # An older change counts if it differs from what was valid and does not fall on a stored start.
+    differs_at = F.col("__at").isNull() | ~F.col("__at.body").eqNullSafe(mine)
+    splits = late & differs_at & ~F.coalesce(F.col("__at.effective_from") == at, F.lit(False))
+    # Equal to the next version, it only makes that one begin earlier.
+    merges = splits & F.coalesce(F.col("__next.body").eqNullSafe(mine), F.lit(False))
+    facts = known.select(
+        *[F.col(f"s_{k}").alias(k) for k in keys],
+        mine.alias("__mine"),
+        at.alias("__ts"),
+        opens.alias("__opens"),
+        F.coalesce(splits, F.lit(False)).alias("__splits"),
+        F.coalesce(merges, F.lit(False)).alias("__merges"),
+        "__last",
+        F.col("__at.version").alias("__at_version"),
+        F.col("__at.effective_to").alias("__at_to"),
+        F.col("__next.version").alias("__next_version"),
+        F.col("__next.effective_from").alias("__next_from"),
+    ).filter("__opens or __splits")
+    joined = dim.select(*cols).join(facts, list(keys), "left")
+    closes = F.col("is_current") & F.coalesce("__opens", F.lit(False)) & ~body.eqNullSafe(F.col("__mine"))
+    cut = F.coalesce(F.col("__splits") & (F.col("version") == F.col("__at_version")), F.lit(False))
+    pulled = F.coalesce(F.col("__merges") & (F.col("version") == F.col("__next_version")), F.lit(False))
+    moved = F.coalesce(F.col("__splits") & ~F.col("__merges") & (F.col("version") >= F.col("__next_version")), F.lit(False))
+    kept = joined.select(
+        *keys,
+        *tracked,
+        F.when(pulled, F.col("__ts")).otherwise(F.col("effective_from")).alias("effective_from"),
+        F.when(closes | cut, F.col("__ts")).otherwise(F.col("effective_to")).alias("effective_to"),
+        (F.col("is_current") & ~closes & ~cut).alias("is_current"),
+        F.when(moved, F.col("version") + 1).otherwise(F.col("version")).cast(version).alias("version"),
     )
-    differs_head = differs([(F.col(f"__head.{c}"), F.col(f"s_{c}")) for c in tracked])
-    opens = F.col("__last").isNull() | ~F.col("__open") | differs_head
-    start = F.col("s__ts")
+    start = F.col("__ts")
     if first_from is not None:
         start = F.when(F.col("__last").isNull(), F.lit(first_from).cast("timestamp_ntz")).otherwise(start)
-    opened = (
-        s.join(heads, on, "left")
-        .filter(opens)
-        .select(
-            *[F.col(f"s_{k}").alias(k) for k in keys],
-            *[F.col(f"s_{c}").alias(c) for c in tracked],
-            start.alias("effective_from"),
-            F.lit(None).cast("timestamp_ntz").alias("effective_to"),
-            F.lit(True).alias("is_current"),
-            (F.coalesce("__last", F.lit(0)) + 1).cast(dim.schema["version"].dataType).alias("version"),
-        )
+    inserted = facts.filter("__opens or not __merges").select(
+        *keys,
+        *[F.col(f"__mine.{c}").alias(c) for c in tracked],
+        start.alias("effective_from"),
+        F.when(F.col("__splits"), F.coalesce("__at_to", "__next_from")).alias("effective_to"),
+        F.col("__opens").alias("is_current"),
+        F.when(F.col("__splits"), F.coalesce("__next_version", F.col("__at_version") + 1))
+        .otherwise(F.coalesce("__last", F.lit(0)) + 1)
+        .cast(version)
+        .alias("version"),
     )
-    return kept.unionByName(opened)
+    return kept.unionByName(inserted.select(*cols))
 
 
 def deleted_only(master: DataFrame, keys: Sequence[str]) -> DataFrame:

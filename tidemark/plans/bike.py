@@ -370,3 +370,13 @@ def stage_stations(raw: DataFrame, ctx: RunContext, rules: RuleSet | None = None
     return first.drop("source_file", "source_row_number").withColumn(
         "loaded_at", F.lit(str(ctx.cet)).cast("timestamp_ntz")
     )
+
+
+def with_pushes(staged: DataFrame, pushes: DataFrame, ctx: RunContext) -> DataFrame:
+    """Staged stations with the accepted pushed operations of the window in place of their feed rows."""
+    fresh = pushes.filter(in_window("sent_at", ctx.lset, ctx.cet, 0)).withColumn(
+        "loaded_at", F.lit(str(ctx.cet)).cast("timestamp_ntz")
+    )
+    typed = fresh.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in staged.schema])
+    key = ["source_city_code", "short_name"]
+    return staged.join(typed.select(*key), key, "left_anti").unionByName(typed)

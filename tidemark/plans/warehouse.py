@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.context import RunContext
 from tidemark.functions import clean, measures
-from tidemark.operators import audit, cdc, dims, flow, incremental, lookup, reconcile, rules, upsert
+from tidemark.operators import audit, cdc, dims, flow, incremental, leakage, lookup, match, reconcile, rules, upsert
 from tidemark.operators.dedup import union_all
 from tidemark.plans import bike, loads
 from tidemark.session import materialize
@@ -141,10 +141,11 @@ class Warehouse:
         write_replace(kept.unionByName(new), self.path(f"{name}_months"))
 
 
-def stage(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext) -> None:
+def stage(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext, pushes: DataFrame | None = None) -> None:
     """Check, type and stage the landed rows; write findings, counts and file changes.
 
     ``raw`` holds ``trips:<source name>:<rule prefix>`` entries, ``weather`` and ``stations``.
+    ``pushes``: accepted master operations, as ``changes.latest_staging`` gives them.
     """
     control = wh.before("control")
     staged_trips, runs, prints, summaries, balances = [], [], [], [], []
@@ -174,7 +175,8 @@ def stage(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext) -> None:
         if kind == "trips":
             staged_trips.append(part)
         else:
-            wh.write(f"stg_{kind}", part)
+            pushed = kind == "stations" and pushes is not None
+            wh.write(f"stg_{kind}", bike.with_pushes(part, pushes, window) if pushed else part)
         replace_run(rules.dq_details(landed, rule_set), f"{wh.root}/dq_details/{rule_set.source_name}")
         summaries.append(rules.dq_summary(landed, rule_set, ctx.load_run_id))
         counts = audit.load_counts(offered, part, rule_set.source_name, table, F.coalesce(in_run, F.lit(False)))
@@ -326,8 +328,26 @@ def cleanup(wh: Warehouse) -> None:
     wh.write("stg_left", kept)
 
 
-def daily_run(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext) -> DataFrame:
-    stage(wh, raw, ctx)
+def assess(wh: Warehouse, ctx: RunContext) -> None:
+    """Match the station names of the staged trips with the master, and look for rows from the future."""
+    trips = wh.now("stg_trips")
+    legs = [{"id": f"{end}_station_id", "name": f"{end}_station_name"} for end in ("start", "end")]
+    found = match.entities(trips, legs, ["source_city_code"])
+    masters = wh.now("stg_stations")
+    every = match.match_entities(found, masters, "source_city_code", ["short_name", "gbfs_station_id"], "short_name", "station_name")
+    wh.write("entity_matches", match.score_match(match.best_spelling(every, ["source_city_code"])))
+    checks = [
+        leakage.leak_future(trips, "started_at", ctx.cet, "trips"),
+        leakage.leak_future(wh.now("stg_weather"), "observation_ts", ctx.cet, "weather"),
+    ]
+    wh.write("leakage", leakage.leak_status(union_all(*checks)))
+
+
+def daily_run(
+    wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext, pushes: DataFrame | None = None
+) -> DataFrame:
+    stage(wh, raw, ctx, pushes)
+    assess(wh, ctx)
     normalise(wh, ctx)
     report = publish(wh, ctx)
     cleanup(wh)
