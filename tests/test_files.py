@@ -1,5 +1,6 @@
 """Row numbers of split files, run replacement and the shared folder."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.session import scratch_path, work_dir
@@ -42,3 +43,14 @@ def test_a_repeated_run_replaces_itself(spark):
 
 def test_work_dir_is_the_configured_one(spark):
     assert work_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_a_reordered_header_fails_the_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,a\n1,2\n")
+    schema = files.text_schema(["a", "b"])
+    with pytest.raises(Exception, match="header"):
+        files.read_csv_dir(spark, str(tmp_path), schema).collect()
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "a.txt").write_text("z\n9\n")
+    assert [tuple(r)[:2] for r in files.read_csv_dir(spark, str(tmp_path), schema, r"\.csv$").collect()] == [("1", "2")]
+    assert files.read_csv_dir(spark, str(tmp_path), schema, r"\.tsv$", number_rows=True).collect() == []

@@ -42,6 +42,8 @@ def _(t: Tables):
     path = scratch_path(t.spark, "csv")
     cols = ["ride_id", "started_at", "start_station_id", "source_row_number"]
     sinks.export_csv(t.raw_trips.select(*cols), f"{path}/2024/trips")
+    # Not to be read: files of another kind in the same folder tree, and a folder beside it.
+    sinks.export_jsonl(t.events.select("event_id"), f"{path}/2024/events")
     sinks.export_csv(t.events.select("event_id"), f"{path}/other/events.csv.d")
     back = files.read_csv_dir(t.spark, f"{path}/2024", files.text_schema(cols), r"^part-.*\.csv$")
     return back.select(

@@ -367,14 +367,14 @@ def _(t: Tables):
 
 @check(
     "kpi_order_revenue",
-    "select coalesce(quarter::varchar, 'YTD') as period, round(sum(revenue)::double / count(*), 6) as avg_revenue,"
-    f" count(*) as orders from ({ORDER_STAR}) s where year = 1999 group by grouping sets ((quarter), ())",
+    "select year, coalesce(quarter::varchar, 'YTD') as period, round(sum(revenue)::double / count(*), 6) as avg_revenue,"
+    f" count(*) as orders from ({ORDER_STAR}) s group by grouping sets ((year, quarter), (year))",
 )
 def _(t: Tables):
-    star = orders_cube(t).star.filter("year = 1999")
-    out = star.groupingSets([[F.col("quarter")], []], "quarter").agg(
+    year, quarter = F.col("year"), F.col("quarter")
+    out = orders_cube(t).star.groupingSets([[year, quarter], [year]], year, quarter).agg(
         F.grouping("quarter").alias("g"), ratio(F.sum("revenue"), F.sum("orders")).alias("avg_revenue"),
         F.sum("orders").alias("orders"),
     )
     period = F.when(F.col("g") == 1, "YTD").otherwise(F.col("quarter").cast("string"))
-    return out.select(period.alias("period"), "avg_revenue", "orders")
+    return out.select("year", period.alias("period"), "avg_revenue", "orders")

@@ -585,7 +585,13 @@ union all select 'duration', count(*) filter (duration_minutes is null and ended
 union all select 'unique ride', count(*) - count(distinct (city_sk, ride_id)) from resolved
 union all select 'unique line', count(*) - count(distinct (l_orderkey, l_linenumber)) from lineitem
 union all select 'station city', count(*) filter (s.city_sk <> t.city_sk) from resolved t
-  join stations s on s.station_sk = t.start_station_sk""",
+  join stations s on s.station_sk = t.start_station_sk
+union all select 'end station city', count(*) filter (s.city_sk <> t.city_sk) from resolved t
+  join stations s on s.station_sk = t.end_station_sk
+union all select 'other end city', count(*) filter (s.city_sk <> t.city_sk) from resolved t
+  join stations s on s.station_sk = 2000 + t.end_station_sk % 1000
+union all select 'recomputed duration', count(*) filter (ended_at >= started_at
+  and abs(duration_minutes - (epoch_us(ended_at) - epoch_us(started_at)) / 60000000.0) > 0.0051) from resolved""",
 )
 def _(t: Tables):
     span = F.col("ended_at") >= F.col("started_at")
@@ -593,13 +599,19 @@ def _(t: Tables):
     checks = {
         "member_casual": ~F.col("member_casual").isin("member"),
         "duration": (minutes.isNull() & span) | (minutes.isNotNull() & F.col("ended_at").isNull()) | (minutes > 400),
+        "recomputed duration": span
+        & (F.abs(minutes - F.expr("timestampdiff(MICROSECOND, started_at, ended_at)") / 60000000.0) > 0.0051),
     }
     same = F.col("d_city_sk") == F.col("city_sk")
+    # Every end station taken for one of city 2: the check must see those of city 1.
+    astray = t.resolved.withColumn("end_station_sk", F.lit(2000).cast("bigint") + F.col("end_station_sk") % 1000)
     return dedup.union_all(
         rules.check_constraints(t.resolved, checks),
         rules.check_unique(t.resolved, ["city_sk", "ride_id"], "unique ride"),
         rules.check_unique(t.lineitem, ["l_orderkey", "l_linenumber"], "unique line"),
         rules.check_reference(t.resolved, t.stations, "start_station_sk", "station_sk", same, "station city"),
+        rules.check_reference(t.resolved, t.stations, "end_station_sk", "station_sk", same, "end station city"),
+        rules.check_reference(astray, t.stations, "end_station_sk", "station_sk", same, "other end city"),
     )
 
 
@@ -668,14 +680,15 @@ def _(t: Tables):
 
 @check(
     "so_orderby",
-    f"select trip_month, n, row_number() over (order by case when trip_month = '2024-01' then 1 else 0 end,"
-    " trip_month nulls first) as pos from (select trip_month, count(*) as n from raw_trips group by 1) x",
+    "select source_city_code, trip_month, n, row_number() over (partition by source_city_code order by case when"
+    " trip_month = '2024-01' then 1 else 0 end, trip_month nulls first) as pos"
+    " from (select source_city_code, trip_month, count(*) as n from raw_trips group by all) x",
 )
 def _(t: Tables):
-    months = t.raw_trips.groupBy("trip_month").agg(F.count(F.lit(1)).alias("n"))
+    months = t.raw_trips.groupBy("source_city_code", "trip_month").agg(F.count(F.lit(1)).alias("n"))
     last = F.when(F.col("trip_month") == "2024-01", 1).otherwise(0)
     key = [last, F.asc_nulls_first("trip_month")]
-    return ordered.rank_rows(months, [F.lit(0)], key, "pos").orderBy(*key)
+    return ordered.rank_rows(months, ["source_city_code"], key, "pos").orderBy("source_city_code", *key)
 
 
 @check(

@@ -604,12 +604,11 @@ def _(t: Tables):
 
 @check(
     "scd_soft_delete",
-    """select c.c_custkey, case when op = 'UPDATE' then c_mktsegment || ' new' else c_mktsegment end as segment,
-  case when known and op = 'DELETE' then 'deleted' else 'active' end as row_status,
-  not (known and coalesce(op, '') = 'DELETE') as is_current,
-  case when known and op = 'DELETE' then '2024-02-01 00:00:00' end as effective_to
+    """select c.c_custkey, case when op <> 'DELETE' then c_mktsegment || ' new' else c_mktsegment end as segment,
+  case when op = 'DELETE' then 'deleted' else 'active' end as row_status, op <> 'DELETE' as is_current,
+  case when op = 'DELETE' then '2024-02-01 00:00:00' end as effective_to
 from (select *, c_nationkey < 15 as known, case when c_acctbal < 2000 then 'DELETE' when c_acctbal < 6000 then 'UPDATE'
-        end as op from customer) c where known or op = 'UPDATE'""",
+        else 'INSERT' end as op from customer) c where known or op <> 'DELETE'""",
 )
 def _(t: Tables):
     master = t.customer.filter("c_nationkey < 15").select(
@@ -620,10 +619,11 @@ def _(t: Tables):
         F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("effective_from"),
         F.lit(None).cast("timestamp_ntz").alias("effective_to"),
     )
-    ops = t.customer.filter("c_acctbal < 6000").select(
+    kind = F.when(F.col("c_acctbal") < 2000, "DELETE").when(F.col("c_acctbal") < 6000, "UPDATE").otherwise("INSERT")
+    ops = t.customer.select(
         "c_custkey",
         F.concat("c_mktsegment", F.lit(" new")).alias("segment"),
-        F.when(F.col("c_acctbal") < 2000, "DELETE").otherwise("UPDATE").alias("operation"),
+        kind.alias("operation"),
         F.lit(str(SECOND_LOAD)).cast("timestamp_ntz").alias("now"),
     )
     return scd.apply_operations(master, ops, ["c_custkey"], ["segment"], "now").drop("effective_from")
@@ -702,12 +702,7 @@ def _(t: Tables):
     control = t.events.groupBy(F.col("event_type").alias("source_name")).agg(
         F.lit("events").alias("table_name"), F.max("ts").alias("lset"), F.lit(3).alias("lookback_days")
     )
-    control = materialize(control, "control")
-    seen = []
-    for name in ("click", "error", "purchase", "signup", "view"):
-        ctx = incremental.read_watermark(control, name, "events", CTX)
-        seen.append((name, ctx.lset, ctx.lookback_days))
-    return t.spark.createDataFrame(seen, "source_name string, lset timestamp_ntz, lookback_days int")
+    return incremental.watermarks(control).select("source_name", "lset", "lookback_days")
 
 
 @check(

@@ -18,6 +18,7 @@ from tidemark.context import RunContext
 from tidemark.functions import measures
 from tidemark.operators import dims, flow, lookup
 from tidemark.operators.dedup import dedup_best, union_distinct
+from tidemark.session import materialize
 
 from datetime import datetime
 
@@ -156,9 +157,15 @@ class Tables:
 
     @cached_property
     def star(self) -> DataFrame:
+        """Built from resolved trips and a master that are computed once and written."""
         from tidemark.plans.kpi import star_join
 
-        return star_join(self.fact, self.dim_datetime, self.stations, self.city, self.dim_weather)
+        once = Tables(self.spark, self.sf_dir)
+        once.__dict__["stations"] = materialize(self.stations, "stations")
+        once.__dict__["resolved"] = materialize(once.resolved, "resolved")
+        once.__dict__["trips"] = once.resolved
+        once.__dict__["fact"] = materialize(once.fact, "fact")
+        return star_join(once.fact, once.dim_datetime, once.stations, once.city, once.dim_weather)
 
     @cached_property
     def raw_trips(self) -> DataFrame:

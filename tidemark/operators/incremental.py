@@ -29,6 +29,14 @@ def read_watermark(
     return ctx.with_watermark(lset, days)
 
 
+def watermarks(control: DataFrame, start_from: str = "lset") -> DataFrame:
+    """Stored watermark and lookback of every source and table, defaults where they are missing."""
+    return control.groupBy("source_name", "table_name").agg(
+        F.coalesce(F.max(start_from), _literal(DEFAULT_LSET)).alias("lset"),
+        F.coalesce(F.max("lookback_days"), F.lit(DEFAULT_LOOKBACK_DAYS)).alias("lookback_days"),
+    )
+
+
 def _literal(t: datetime) -> Column:
     return F.lit(t.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 

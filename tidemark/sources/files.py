@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.operators.incremental import in_window
 from tidemark.operators.ordered import rank_rows
@@ -25,26 +25,36 @@ def read_csv_dir(
     regex: str | None = None,
     recursive: bool = True,
     number_rows: bool = False,
+    check_header: bool = True,
 ) -> DataFrame:
     """CSV files with a header below ``path`` whose name matches ``regex``.
 
-    Adds ``source_file``. ``number_rows`` adds the 1-based data row number in the file;
-    files are still split, see ``with_row_numbers``.
+    Other files are not read. Columns go by position, so with ``check_header`` a header
+    whose names or order differ from the schema fails the read. Adds ``source_file``. ``number_rows`` adds the
+    1-based data row number in the file; files are still split, see ``with_row_numbers``.
     """
-    reader = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", recursive)
-    df = reader.csv(path).select(
+    paths = [path] if regex is None else list_files(spark, path, regex, recursive)
+    if not paths:
+        extra = [StructField("source_file", StringType())]
+        extra += [StructField("source_row_number", LongType())] if number_rows else []
+        return spark.createDataFrame([], StructType([*schema.fields, *extra]))
+    reader = spark.read.schema(schema).options(header=True, enforceSchema=not check_header)
+    df = reader.option("recursiveFileLookup", recursive).csv(paths).select(
         *[f.name for f in schema.fields],
         F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_name").alias("__name"),
         *([F.col("_metadata.file_block_start").alias("__block")] if number_rows else []),
         *([F.monotonically_increasing_id().alias("__mid")] if number_rows else []),
     )
-    if regex is not None:
-        df = df.filter(F.col("__name").rlike(regex))
-    df = df.drop("__name")
     return with_row_numbers(df) if number_rows else df
 
 
+def list_files(spark: SparkSession, path: str, regex: str, recursive: bool = True) -> list[str]:
+    """Files below ``path`` whose name matches ``regex``; only the listing is read."""
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(path).select("path")
+    name = F.element_at(F.split("path", "/"), -1)
+    return sorted(r["path"] for r in every.filter(name.rlike(regex)).collect())
+
+
 def with_row_numbers(df: DataFrame) -> DataFrame:
     """``source_row_number`` from the block offset of each split.
 
@@ -61,7 +71,7 @@ def read_csv_positional(
 ) -> DataFrame:
     """Wide CSV read by position; only the kept columns are parsed."""
     schema = text_schema([f"f{i}" for i in range(n_fields)])
-    df = read_csv_dir(spark, path, schema, regex)
+    df = read_csv_dir(spark, path, schema, regex, check_header=False)
     return df.select(*[F.col(f"f{i}").alias(n) for i, n in keep.items()], "source_file")
 
 
