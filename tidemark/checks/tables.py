@@ -72,7 +72,7 @@ def _(t: Tables):
     lines = t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "o_custkey"
     )
-    found = lookup.scd2_lookup(lines, versions(t), ["o_custkey"], "l_shipdate", ["version"], slice_months=True)
+    found = lookup.scd2_lookup(lines, versions(t), ["o_custkey"], "l_shipdate", ["version"], slice_months=True, bounds=t.lineitem)
     return found.select("l_orderkey", "l_linenumber", "l_partkey", "version")
 
 

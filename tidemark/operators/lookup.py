@@ -74,12 +74,15 @@ def scd2_lookup(
     cols: Mapping[str, str] | Sequence[str],
     effective: tuple[str, str] = ("effective_from", "effective_to"),
     slice_months: bool = False,
+    bounds: DataFrame | None = None,
 ) -> DataFrame:
     """Version valid at ``ts``: from <= ts < to, an open end never closes.
 
     Versions of a key must not overlap. With ``slice_months`` a version is repeated for
     the months it covers and joined on (key, month), so that a key with a long history
-    or very many facts is compared month by month and not with its whole history.
+    or very many facts is compared month by month and not with its whole history. The
+    months run from the least to the greatest ``ts`` of ``bounds``, a frame that is cheaper
+    to read than ``df`` and holds all its times; by default of ``df`` itself.
     """
     keys = keys if isinstance(keys, Mapping) else {k: k for k in keys}
     cols = cols if isinstance(cols, Mapping) else {c: c for c in cols}
@@ -97,7 +100,8 @@ def scd2_lookup(
     left_df = df
     if slice_months:
         left_df = df.withColumn("__month", _month_number(F.col(ts)))
-        seen = left_df.agg(F.min("__month").alias("__lo"), F.max("__month").alias("__hi"))  # one row
+        spread = (df if bounds is None else bounds).select(_month_number(F.col(ts)).alias("__month"))
+        seen = spread.agg(F.min("__month").alias("__lo"), F.max("__month").alias("__hi"))  # one row
         first = F.greatest(_month_number(F.col("__from")), F.col("__lo"))
         last = F.least(_month_number(F.col("__to")), F.col("__hi"))
         side = (
