@@ -25,7 +25,7 @@ from tidemark.checks.views import CTX, FIRST_LOAD, Tables, num, ts
 from tidemark.context import RunContext
 from tidemark.functions import clean
 from tidemark.operators import audit, dedup, flow, incremental, lookup, upsert
-from tidemark.plans import bike
+from tidemark.plans import bike, landing
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import files, sinks
 from tidemark.streaming import changes, trips
@@ -608,3 +608,49 @@ def _(t: Tables):
         bike.stage_balance(hours, bike.stage_weather(hours, CTX, weather_rules), weather_rules, "weather", CTX),
         bike.stage_balance(stations, bike.stage_stations(stations, CTX, station_rules), station_rules, "stations", CTX),
     )
+
+
+@check(
+    "land_trips",
+    "select nullif(trim(ride_id), '') as ride_id, nullif(trim(started_at), '') as started_at,"
+    " nullif(trim(start_station_id), '') as start_station_id, case when regexp_matches(started_at,"
+    " '^20[0-9]{2}-(0[1-9]|1[0-2])') then substr(started_at, 1, 4) || substr(started_at, 6, 2) end as trip_month,"
+    " 'CHI' as source_city_code, 'land' as load_run_id, count(*) as n from raw_trips group by all",
+)
+def _(t: Tables):
+    """Trips go out as files and are landed again; every row has a place of its own in its file."""
+    path = scratch_path(t.spark, "land")
+    sinks.export_csv(t.raw_trips.select(*bike.TRIP_FIELDS), path)
+    sinks.export_jsonl(t.events.select("event_id"), f"{path}/other")
+    raw = landing.land_trips(t.spark, path, r"\.csv$", "CHI", RunContext("land", CTX.started_at, cet=CTX.cet))
+    raw = raw.dropDuplicates(["source_file", "source_row_number"])
+    shown = [clean.blank_to_null(c).alias(c) for c in ("ride_id", "started_at", "start_station_id")]
+    keys = ["ride_id", "started_at", "start_station_id", "trip_month", "source_city_code", "load_run_id"]
+    return raw.select(*shown, *keys[3:]).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+@check(
+    "land_practice",
+    f"""select '2024/07/0' || b || ' 00:00:00' as batch_id, o_custkey as user_id, count(*) as n,
+  {num('sum(o_totalprice)')} as rating, {ts('max(o_orderdate)')} as rated_at
+from orders, (values (1), (2)) v(b) where b = 2 or o_orderkey % 2 = 0 group by all""",
+)
+def _(t: Tables):
+    """Two batches of exported ratings; the second one runs twice."""
+    target, stamp = scratch_path(t.spark, "practice"), F.date_format("o_orderdate", "yyyy/MM/dd HH:mm:ss.SSS")
+    for number, cond in ((1, "o_orderkey % 2 = 0"), (2, "true"), (2, "true")):
+        path = scratch_path(t.spark, "ratings")
+        exported = t.orders.filter(cond).select(
+            F.col("o_orderkey").alias("rating_id"),
+            F.concat(F.lit(" "), F.col("o_custkey").cast("string")).alias("user_id"),
+            F.col("o_orderpriority").alias("movie_id"),
+            F.col("o_totalprice").alias("rating"),
+            stamp.alias("rated_at"),
+            stamp.alias("last_update_timestamp"),
+        )
+        sinks.export_csv(exported, path)
+        landing.load_exports(t.spark, {"ratings": path}, target, RunContext("b", datetime(2024, 7, number), cet=CTX.cet))
+    rows = t.spark.read.parquet(f"{target}/stg_ratings")
+    return rows.groupBy("batch_id", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rating").alias("rating"), F.max("rated_at").alias("rated_at")
+    )
