@@ -150,11 +150,9 @@ MOVED = ("NYC_RIDE_001", "electric_bike", "10:15", "10:30", "5514.01", "5514.01"
 
 
 @pytest.mark.parametrize("stop", ["normalise", "publish", "reconcile_window"])
-def test_a_run_that_stopped_can_be_repeated(spark, monkeypatch, stop):
+def test_a_run_that_stopped_can_be_repeated(spark, first, monkeypatch, stop):
     """The run fails as it comes to one of its steps; run again, it equals a full build."""
-    root = scratch_path(spark, "wh")
-    warehouse.daily_run(warehouse.Warehouse(spark, root, "r1"), raw(spark), ctx(1))
-    two = warehouse.Warehouse(spark, root, "r2", previous="r1")
+    two = warehouse.Warehouse(spark, first[0].root, f"r2-{stop}", previous="r1")
     trips = [t for t in TRIPS if t[0] != MOVED[0]] + [MOVED]
 
     def fail(*args, **kwargs):
@@ -169,14 +167,12 @@ def test_a_run_that_stopped_can_be_repeated(spark, monkeypatch, stop):
     assert ("6602.05", 2026021508) not in fact_rows(two)
     assert {r["status"] for r in report.collect()} == {"OK"} and two.now("missing_hours").count() == 0
     # The run before still reads as it was.
-    one = warehouse.Warehouse(spark, root, "r1")
-    assert ("6602.05", 2026021508) in fact_rows(one)
+    assert ("6602.05", 2026021508) in fact_rows(first[0])
 
 
-def test_a_pushed_delete_closes_the_station(spark):
-    root = scratch_path(spark, "wh")
-    warehouse.daily_run(warehouse.Warehouse(spark, root, "r1"), raw(spark), ctx(1))
-    two = warehouse.Warehouse(spark, root, "r2", previous="r1")
+def test_a_pushed_delete_closes_the_station(spark, first):
+    root = first[0].root
+    two = warehouse.Warehouse(spark, root, "r2-push", previous="r1")
     push = [("CHI", "CHI10001", "g1", "Stop CHI10001", 41.5, -87.5, 15, None, None, "open", "DELETE", datetime(2026, 2, 16, 12))]
     kind = (
         "source_city_code string, short_name string, gbfs_station_id string, station_name string, latitude double,"
@@ -190,7 +186,7 @@ def test_a_pushed_delete_closes_the_station(spark):
     assert closed["effective_to"] == datetime(2026, 2, 17)
     logged = spark.read.parquet(f"{root}/job_log/normalise")
     assert {r["load_run_id"] for r in logged.collect()} == {"r1", "r2"}
-    assert {r["match_method"] for r in warehouse.Warehouse(spark, root, "r1").now("entity_matches").collect()} == {"EXACT_ID"}
+    assert {r["match_method"] for r in first[0].now("entity_matches").collect()} == {"EXACT_ID"}
     assert {r["status"] for r in two.now("leakage").collect()} == {"PASS"}
     assert {r["difference"] for r in two.now("stage_balance").collect()} == {0}
 
@@ -204,10 +200,8 @@ def test_only_months_in_reach_are_read(spark, first):
     assert "trip_month=202602" in wh.now("trip").inputFiles()[0]
 
 
-def test_weather_alone_refreshes_the_fact(spark):
-    root = scratch_path(spark, "wh")
-    warehouse.daily_run(warehouse.Warehouse(spark, root, "r1"), raw(spark), ctx(1))
-    two = warehouse.Warehouse(spark, root, "r2", previous="r1")
+def test_weather_alone_refreshes_the_fact(spark, first):
+    two = warehouse.Warehouse(spark, first[0].root, "r2-weather", previous="r1")
     warehouse.daily_run(two, raw(spark, trips=[], weather=[("CHI", "08", "SN", "0"), ("NYC", "09", "FG", "0")]), ctx(2))
     got = fact_rows(two)
     assert len(got) == 9
