@@ -1,8 +1,13 @@
 """Row numbers of split files, run replacement and the shared folder."""
 
+import json
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.context import RunContext
+from tidemark.plans import bike, landing
 from tidemark.session import scratch_path, work_dir
 from tidemark.sources import files, sinks
 
@@ -54,3 +59,22 @@ def test_a_reordered_header_fails_the_read(spark, tmp_path):
     (tmp_path / "a.txt").write_text("z\n9\n")
     assert [tuple(r)[:2] for r in files.read_csv_dir(spark, str(tmp_path), schema, r"\.csv$").collect()] == [("1", "2")]
     assert files.read_csv_dir(spark, str(tmp_path), schema, r"\.tsv$", number_rows=True).collect() == []
+
+
+def test_weather_and_stations_are_landed_with_their_place(spark, tmp_path):
+    ctx = RunContext("r1", datetime(2026, 2, 16), cet=datetime(2026, 2, 16))
+    (tmp_path / "lcd").mkdir()
+    (tmp_path / "lcd" / "nyc.csv").write_text(
+        ",".join(bike.WEATHER_FIELDS) + "\nw,2026-02-15T08:51:00,FM-15,1.5,T,3,\nw,2026-02-15T09:51:00,FM-15,2.5,0,3,RA\n"
+    )
+    hours = landing.land_weather(spark, str(tmp_path / "lcd"), r"\.csv$", "NYC", ctx)
+    got = sorted((r["source_file"], r["source_row_number"], r["observation_ts"], r["source_city_code"]) for r in hours.collect())
+    assert got == [("nyc.csv", 1, "2026-02-15T08:51:00", "NYC"), ("nyc.csv", 2, "2026-02-15T09:51:00", "NYC")]
+    feed = {"last_updated": 1, "data": {"stations": [{"station_id": f"g{i}", "name": f"Stop {i}", "lat": 1.5, "lon": -2.5, "capacity": i} for i in (1, 2)]}}
+    (tmp_path / "feed.json").write_text(json.dumps(feed, indent=1))
+    rows = landing.land_stations(spark, str(tmp_path / "feed.json"), "NYC", ctx).orderBy("source_row_number").collect()
+    assert [(r["gbfs_station_id"], r["latitude"], r["capacity"], r["source_row_number"], r["load_run_id"]) for r in rows] == [
+        ("g1", "1.5", "1", 1, "r1"), ("g2", "1.5", "2", 2, "r1")
+    ]
+    staged = bike.stage_stations(landing.land_stations(spark, str(tmp_path / "feed.json"), "NYC", ctx), ctx)
+    assert {r["short_name"] for r in staged.collect()} == {"g1", "g2"}
