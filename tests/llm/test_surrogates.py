@@ -107,3 +107,22 @@ def test_keys_and_odd_rows(spark):
     assert got.columns == [*cases.SCHEMA.names, "n_entities"]
     assert sorted(map(repr, map(tuple, got.drop("n_entities").collect()))) == sorted(map(repr, cases.rows()))
     assert surrogates.pseudonymize(cases.empty(spark)).collect() == []
+
+
+def test_small_spaces_and_letterless_addresses_find_surrogates(spark):
+    odd = ["+@a.b", "...@gmail.com", "___@x.com", "-@app.route.x"]
+    digits = [f"{i}@qq.com" for i in range(10)]
+    domains = [f"ann@{c}.{t}" for t in ("com", "co") for c in "abcdefghijklmno"]
+    mails = odd + digits + domains
+    got = [t.split()[1] for t in run(spark, *(f"to {m} now" for m in mails))]
+    assert len(set(got)) == len(mails) and not set(got) & set(mails)
+    assert all(m.endswith(".example") for m in got) and len({m.split("@")[1] for m in got[14:]}) == 30
+
+
+def test_full_number_spaces_grow(spark):
+    rows = [(f"{kind}", norm, a) for kind, norm in (("phone", "12345"), ("ssn", "123456789"), ("account", "4111111111111111"), ("ip", "10.0.0.1")) for a in (0, surrogates.GROW_NUMBERS + 1)]
+    df = spark.createDataFrame(rows, "kind string, norm string, attempt int")
+    got = [r[0] for r in df.select(surrogates.surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), "k")).collect()]
+    assert [len(b) - len(r[1]) for r, b in zip(rows, got) if r[0] != "ip" and r[2]] == [2, 2, 2] and got[7].count(".") == 4
+    laid = spark.range(1).select(surrogates.laid_out(F.lit("+1 12 34"), F.lit("9876543")), surrogates.laid_out(F.lit("+1 12 34"), F.lit("876"))).first()
+    assert tuple(laid) == ("+9 87 6543", "+1 18 76")

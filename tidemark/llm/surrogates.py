@@ -8,7 +8,8 @@ the entity and an attempt number.
 
 The collision check runs over the distinct entities of all documents: two entities of
 a type must not share a surrogate, and no surrogate may be an entity that occurs. An
-entity that loses moves to its next attempt until no collision is left. Only such
+entity that loses moves to its next attempt until no collision is left. Later attempts
+make surrogates longer, so that a free one always exists. Only such
 entities enter the table of attempts that documents are joined with; a document
 without them derives its surrogates on the spot. That join is on a hash of the text
 and sized by measurement.
@@ -25,7 +26,8 @@ from tidemark.llm.expressions import let, woven
 from tidemark.session import materialize
 
 KEY = "tidemark-demo-key"
-MAX_ATTEMPTS = 64
+# Attempts from which surrogates grow: letters of addresses and domains soon, numbers when their format is full.
+GROW, GROW_NUMBERS = 3, 12
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
@@ -96,6 +98,13 @@ def _letters(norm: Column, numbers: Column) -> Column:
     return F.array_join(F.zip_with(_chars(norm), numbers, one), "")
 
 
+def _more(numbers: Column, attempt: Column, after: int, alphabet: str) -> Column:
+    """Nothing before attempt ``after``, then one character more at each."""
+    count = F.least(F.greatest(attempt - (after - 1), F.lit(0)), F.lit(24))
+    pick = lambda b: F.substring(F.lit(alphabet), b % len(alphabet) + 1, F.lit(1))
+    return F.array_join(F.transform(F.slice(F.reverse(numbers), F.lit(1), count), pick), "")
+
+
 def _name(norm: Column, kind: Column, numbers: Column, attempt: Column) -> Column:
     """Syllables of the name's script and the ending of its gender, more of them at later attempts."""
     of = F.when(norm.rlike(r"\p{IsCyrillic}"), F.lit("cyrillic")).when(norm.rlike(r"\p{IsGreek}"), F.lit("greek")).otherwise(F.lit("latin"))
@@ -132,13 +141,15 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
         # The check digit is right if that of the original is.
         check = lambda d: F.pmod(10 - luhn(F.concat(d, F.array(F.lit(0)))) + F.when(luhn(own) == 0, 0).otherwise(1 + b[0] % 9), F.lit(10))
         account = let(first, lambda d: joined(F.concat(d, F.array(check(d).cast("int")))))
+        letters = _more(b, attempt, GROW, "abcdefghijklmnopqrstuvwxyz")
+        figures = _more(b, attempt, GROW_NUMBERS, "0123456789")
         return (
-            F.when(kind == "email", F.concat(_letters(F.substring_index(norm, "@", 1), b), F.lit("@"), domain_of(norm)))
-            .when(kind == "domain", F.concat(_letters(F.regexp_replace(norm, r"\.[^.]*$", ""), b), F.lit(".example")))
-            .when(kind == "ip", ip)
-            .when(kind == "ssn", ssn)
-            .when(kind == "account", account)
-            .when(kind == "phone", phone)
+            F.when(kind == "email", F.concat(_letters(F.substring_index(norm, "@", 1), b), letters, F.lit("@"), domain_of(norm)))
+            .when(kind == "domain", F.concat(_letters(F.regexp_replace(norm, r"\.[^.]*$", ""), b), letters, F.lit(".example")))
+            .when(kind == "ip", F.concat(ip, F.when(figures != "", F.concat(F.lit("."), figures)).otherwise("")))
+            .when(kind == "ssn", F.concat(ssn, figures))
+            .when(kind == "account", F.concat(account, figures))
+            .when(kind == "phone", F.concat(phone, figures))
             .otherwise(_name(norm, kind, b, attempt))
         )
 
@@ -172,12 +183,13 @@ def domain_of(email: Column) -> Column:
 
 
 def laid_out(match: Column, digits: Column) -> Column:
-    """The digits put in the places of the last digits of ``match``."""
+    """The digits put in the places of the last digits of ``match``; those beyond its places follow it."""
 
     def lay(pieces: Column) -> Column:
-        kept = F.size(pieces) - 1 - F.length(digits)
-        old = F.concat(F.slice(F.regexp_extract_all(match, F.lit("[0-9]"), F.lit(0)), F.lit(1), kept), _chars(digits))
-        return woven(pieces, old)
+        places = F.size(pieces) - 1
+        kept = F.greatest(places - F.length(digits), F.lit(0))
+        old = F.concat(F.slice(F.regexp_extract_all(match, F.lit("[0-9]"), F.lit(0)), F.lit(1), kept), _chars(F.substring(digits, F.lit(1), places)))
+        return F.concat(woven(pieces, old), F.substring(digits, places + 1, F.length(digits)))
 
     return let(F.split(match, "[0-9]", -1), lay)
 
@@ -258,7 +270,7 @@ def attempts_table(entities: DataFrame, key: str) -> DataFrame:
     """
     taken = entities.withColumnRenamed("norm", "sur")
     state = entities.withColumn("attempt", F.lit(0))
-    for _ in range(MAX_ATTEMPTS):
+    while True:
         state = materialize(state.withColumn("sur", surrogate(F.col("kind"), F.col("norm"), F.col("attempt"), key)), "surrogates")
         first = state.groupBy("kind", "sur").agg(F.min(F.struct("attempt", "norm")).alias("first"))
         clash = state.join(first, ["kind", "sur"]).where(F.struct("attempt", "norm") != F.col("first")).select("kind", "norm")
@@ -267,7 +279,6 @@ def attempts_table(entities: DataFrame, key: str) -> DataFrame:
             return materialize(state.where("attempt > 0").select("kind", "norm", "attempt"), "attempts")
         state = state.drop("sur").join(clash.withColumn("moved", F.lit(1)), ["kind", "norm"], "left")
         state = state.select("kind", "norm", (F.col("attempt") + F.coalesce("moved", F.lit(0))).alias("attempt"))
-    raise ValueError("a type has more entities than surrogates")
 
 
 def pseudonymize(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", key: str = KEY) -> DataFrame:
