@@ -126,3 +126,22 @@ def test_full_number_spaces_grow(spark):
     assert [len(b) - len(r[1]) for r, b in zip(rows, got) if r[0] != "ip" and r[2]] == [2, 2, 2] and got[7].count(".") == 4
     laid = spark.range(1).select(surrogates.laid_out(F.lit("+1 12 34"), F.lit("9876543")), surrogates.laid_out(F.lit("+1 12 34"), F.lit("876"))).first()
     assert tuple(laid) == ("+9 87 6543", "+1 18 76")
+
+
+def test_full_names_initials_capitals_and_plain_numbers(spark):
+    a, b, c, d, e = run(
+        spark,
+        "Mr. John Smith met Dr. J. R. Brown and Mr SMITH, Mrs O'Neil-McLean.",
+        "Here John Smith spoke; later SMITH and John Q. Smith left. York Smithson stayed.",
+        "Call 555 123 4567 or 5551234567, not 1700000000; IBAN DE89370400440532013000 or DE89 3704 0044 0532 0130 00.",
+        "Brown and John apart stay.",
+        "We saw JOHN SMITH's.",
+    )
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) met Dr\. J\. R\. (\w+) and Mr (\w+), Mrs (\w+)\.", a)
+    john, smith, brown, upper, neil = m.groups()
+    assert upper == smith.upper() and not {"Smith", "Brown", "John"} & {john, smith, brown}
+    assert b == f"Here {john} {smith} spoke; later {upper} and {john} Q. {smith} left. York Smithson stayed."
+    spaced, plain, solid, grouped = re.fullmatch(r"Call (\d{3} \d{3} \d{4}) or (\d{10}), not 1700000000; IBAN (DE\d{20}) or (DE[\d ]+)\.", c).groups()
+    assert spaced.replace(" ", "") == plain != "5551234567" and grouped.replace(" ", "") == solid != "DE89370400440532013000"
+    assert int(f"{solid[4:]}1314{solid[2:4]}") % 97 == 1 and [len(x) for x in grouped.split()] == [4] * 5 + [2]
+    assert d == "Brown and John apart stay." and e == f"We saw {john.upper()} {upper}'s."

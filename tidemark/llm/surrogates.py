@@ -1,9 +1,10 @@
 """Personal data replaced by keyed surrogates of the same type, format, script and gender.
 
-Detected: e-mail addresses, IPv4 addresses, long account numbers, telephone numbers,
-social security numbers and persons named with a title. An entity is a type and a
-normal form, so that one number in two layouts, or a family name with and without a
-given name, stays one entity everywhere. Its surrogate follows from a keyed hash of
+Detected: e-mail addresses, IPv4 addresses, long account numbers, IBANs, telephone
+numbers, social security numbers, persons named with a title, and full names that
+stand with a title in any document. An entity is a type and a normal form, so that one
+number in two layouts, or a family name with and without a given name, in capitals or
+not, stays one entity everywhere. Its surrogate follows from a keyed hash of
 the entity and an attempt number.
 
 The collision check runs over the distinct entities of all documents: two entities of
@@ -36,7 +37,14 @@ SSN = "(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 ACCOUNT = "(?<![0-9])(?:[0-9][ -]?){12,18}[0-9](?![0-9])"
 PHONE = (
     r"(?<![0-9A-Za-z])(?:(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}"
-    r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
+    r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
+    # With blanks or without any layout, ten digits that no count of seconds and no padded number begins like.
+    r"|[2-9][0-9]{2}\x20[0-9]{3}\x20[0-9]{4}|[2-9][0-9]{9}(?![A-Za-z]))(?![0-9])"
+)
+# Ten digits at least; in groups of four, or without blanks.
+IBAN = (
+    r"(?<![A-Za-z0-9])(?=[A-Z]{2}(?:[A-Z\x20]{0,6}[0-9]){10})[A-Z]{2}[0-9]{2}"
+    r"(?:[A-Z0-9]{11,30}|\x20[A-Z0-9]{4}(?:\x20(?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}(?:\x20(?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 )
 # Titles by gender. Those of neither gender leave it open.
 TITLES = {
@@ -44,15 +52,23 @@ TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "Mme", "госпожа", "г-жа"),
     "n": ("Dr", "Prof"),
 }
-_NAME = r"\p{Lu}[\p{Ll}\p{Lo}'’]+(?:-\p{Lu}[\p{Ll}\p{Lo}'’]+)?"
+# An apostrophe and one letter at the end, as of a genitive, belong to no name.
+_PART = r"\p{Lu}(?:['’]\p{L}[\p{L}\p{M}]*|[\p{L}\p{M}]+)(?:['’]\p{L}{2,})*"
+_NAME = rf"{_PART}(?:-{_PART})?"
+_INITIALS = r"(?:\p{Lu}\.\x20?|\p{Lu}\x20)*"
 
 
 def _titles(words) -> str:
     return "(?:" + "|".join(sorted(words, key=len, reverse=True)) + ")"
 
 
-PERSON = rf"(?<![\p{{L}}\p{{N}}])({_titles(w for t in TITLES.values() for w in t)}\.?)\x20({_NAME})(?:\x20({_NAME}))?(?!\p{{L}})"
-ENTITY = "|".join(f"(?:{p})" for p in (EMAIL, IPV4, SSN, ACCOUNT, PHONE))
+PERSON = (
+    rf"(?<![\p{{L}}\p{{N}}])({_titles(w for t in TITLES.values() for w in t)}\.?)\x20{_INITIALS}({_NAME})(?![\p{{L}}\p{{M}}])"
+    rf"(?:\x20{_INITIALS}({_NAME})(?![\p{{L}}\p{{M}}]))?"
+)
+# A name and the one that follows it, initials between them or not; names overlap, so the second is only looked at.
+PAIR = rf"(?<![\p{{L}}\p{{N}}'’-])({_NAME})(?![\p{{L}}\p{{M}}])(?=\x20{_INITIALS}({_NAME})(?![\p{{L}}\p{{M}}]))"
+ENTITY = "|".join(f"(?:{p})" for p in (EMAIL, IPV4, SSN, IBAN, ACCOUNT, PHONE))
 NAME_WORD = rf"(?<![\p{{L}}\p{{N}}'’-]){_NAME}(?![\p{{L}}\p{{N}}])"
 
 # Syllables and endings by script; a surrogate name is built of them.
@@ -98,6 +114,12 @@ def _letters(norm: Column, numbers: Column) -> Column:
     return F.array_join(F.zip_with(_chars(norm), numbers, one), "")
 
 
+def _mod97(text: Column) -> Column:
+    """Remainder of the number that digits and letters (A is 10) of a text make."""
+    step = lambda a, c: F.when(c.between("0", "9"), a * 10 + c.cast("int")).otherwise(a * 100 + F.ascii(c) - 55) % 97
+    return F.aggregate(_chars(text), F.lit(0), step)
+
+
 def _more(numbers: Column, attempt: Column, after: int, alphabet: str) -> Column:
     """Nothing before attempt ``after``, then one character more at each."""
     count = F.least(F.greatest(attempt - (after - 1), F.lit(0)), F.lit(24))
@@ -114,17 +136,15 @@ def _name(norm: Column, kind: Column, numbers: Column, attempt: Column) -> Colum
     count = F.least(F.lit(4) + F.floor(attempt / 4).cast("int"), F.lit(20))
     return let(
         of,
-        lambda s: F.initcap(
-            F.concat(
-                F.array_join(F.transform(F.slice(numbers, F.lit(1), count), lambda b: let(F.element_at(parts, s), lambda p: F.element_at(p, b % F.size(p) + 1))), ""),
-                F.element_at(ends, F.concat(s, gender)),
-            )
+        lambda s: F.concat(
+            F.array_join(F.transform(F.slice(numbers, F.lit(1), count), lambda b: let(F.element_at(parts, s), lambda p: F.element_at(p, b % F.size(p) + 1))), ""),
+            F.element_at(ends, F.concat(s, gender)),
         ),
     )
 
 
 def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
-    """Surrogate of a normal form. ``kind`` is email, domain, ip, ssn, account, phone, given_m/f/n or family_x."""
+    """Surrogate of a normal form. ``kind`` is email, domain, ip, ssn, account, iban, phone, given_m/f/n or family_x; names are in lower case."""
     seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), norm)
 
     def made(b: Column) -> Column:
@@ -141,6 +161,9 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
         # The check digit is right if that of the original is.
         check = lambda d: F.pmod(10 - luhn(F.concat(d, F.array(F.lit(0)))) + F.when(luhn(own) == 0, 0).otherwise(1 + b[0] % 9), F.lit(10))
         account = let(first, lambda d: joined(F.concat(d, F.array(check(d).cast("int")))))
+        # Country kept, check digits right.
+        rest = _letters(F.substring(norm, F.lit(5), size), b)
+        iban = let(rest, lambda r: F.concat(F.substring(norm, 1, 2), F.lpad((98 - _mod97(F.concat(r, F.substring(norm, 1, 2), F.lit("00")))).cast("string"), 2, "0"), r))
         letters = _more(b, attempt, GROW, "abcdefghijklmnopqrstuvwxyz")
         figures = _more(b, attempt, GROW_NUMBERS, "0123456789")
         return (
@@ -149,6 +172,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
             .when(kind == "ip", F.concat(ip, F.when(figures != "", F.concat(F.lit("."), figures)).otherwise("")))
             .when(kind == "ssn", F.concat(ssn, figures))
             .when(kind == "account", F.concat(account, figures))
+            .when(kind == "iban", F.concat(iban, figures))
             .when(kind == "phone", F.concat(phone, figures))
             .otherwise(_name(norm, kind, b, attempt))
         )
@@ -166,12 +190,14 @@ def classify(match: Column) -> Column:
         F.when(match.contains("@"), "email")
         .when(match.rlike(f"^(?:{_OCTET}\\.){{3}}{_OCTET}$"), "ip")
         .when(match.rlike("^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "ssn")
+        .when(match.rlike("^[A-Z]"), "iban")
         .when(match.rlike("^(?:[0-9][ -]?){12,18}[0-9]$"), "account")
         .otherwise("phone")
     )
     norm = (
         F.when(kind == "email", F.lower(match))
         .when(kind == "ip", match)
+        .when(kind == "iban", F.replace(match, F.lit(" "), F.lit("")))
         .when(kind == "phone", F.substring(number, F.greatest(F.length(number) - 9, F.lit(1)), F.lit(10)))
         .otherwise(number)
     )
@@ -182,16 +208,16 @@ def domain_of(email: Column) -> Column:
     return F.substring_index(email, "@", -1)
 
 
-def laid_out(match: Column, digits: Column) -> Column:
+def laid_out(match: Column, digits: Column, places_of: str = "[0-9]") -> Column:
     """The digits put in the places of the last digits of ``match``; those beyond its places follow it."""
 
     def lay(pieces: Column) -> Column:
         places = F.size(pieces) - 1
         kept = F.greatest(places - F.length(digits), F.lit(0))
-        old = F.concat(F.slice(F.regexp_extract_all(match, F.lit("[0-9]"), F.lit(0)), F.lit(1), kept), _chars(F.substring(digits, F.lit(1), places)))
+        old = F.concat(F.slice(F.regexp_extract_all(match, F.lit(places_of), F.lit(0)), F.lit(1), kept), _chars(F.substring(digits, F.lit(1), places)))
         return F.concat(woven(pieces, old), F.substring(digits, places + 1, F.length(digits)))
 
-    return let(F.split(match, "[0-9]", -1), lay)
+    return let(F.split(match, places_of, -1), lay)
 
 
 def person_parts(text: Column) -> Column:
@@ -202,13 +228,38 @@ def person_parts(text: Column) -> Column:
         title = F.regexp_replace(p["0"], r"\.$", "")
         gender = F.when(title.rlike(f"^{_titles(TITLES['m'])}$"), "m").when(title.rlike(f"^{_titles(TITLES['f'])}$"), "f").otherwise("n")
         two = F.length(p["2"]) > 0
-        family = F.struct(F.lit("family_x").alias("kind"), F.when(two, p["2"]).otherwise(p["1"]).alias("norm"))
-        given = F.struct(F.concat(F.lit("given_"), gender).alias("kind"), p["1"].alias("norm"))
+        family = F.struct(F.lit("family_x").alias("kind"), F.lower(F.when(two, p["2"]).otherwise(p["1"])).alias("norm"))
+        given = F.struct(F.concat(F.lit("given_"), gender).alias("kind"), F.lower(p["1"]).alias("norm"))
         return F.when(two, F.array(given, family)).otherwise(F.array(family))
 
     return F.flatten(F.transform(F.arrays_zip(*groups), of)).cast(f"array<{_ENTITY}>")
 
 
+_FULL = "struct<given:string,family:string>"
+
+
+def pairs_of(text: Column) -> Column:
+    """Distinct pairs of names in a row, in lower case: a full name may be among them."""
+    groups = [F.regexp_extract_all(text, F.lit(PAIR), F.lit(g)) for g in (1, 2)]
+    pair = lambda p: F.struct(F.lower(p["0"]).alias("given"), F.lower(p["1"]).alias("family"))
+    found = F.array_distinct(F.transform(F.arrays_zip(*groups), pair)).cast(f"array<{_FULL}>")
+    return F.when(text.rlike(PAIR), found).otherwise(F.array().cast(f"array<{_FULL}>"))
+
+
+def full_names(text: Column) -> Column:
+    """Array of the full names with a title: kind of the given name, given and family name."""
+    parts = person_parts(text)
+    kind_of = "array<struct<kind:string,given:string,family:string>>"
+    # A given name stands right before its family name.
+    both = let(parts, lambda p: F.filter(F.zip_with(p, F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(0))), _full), lambda x: x.isNotNull()))
+    return F.when(text.rlike(PERSON), F.array_distinct(both).cast(kind_of)).otherwise(F.array().cast(kind_of))
+
+
+def _full(given: Column, family: Column) -> Column:
+    full = F.struct(given["kind"].alias("kind"), given["norm"].alias("given"), family["norm"].alias("family"))
+    return F.when(given["kind"].startswith("given_"), full)
+
+
 def entities_of(text: Column) -> Column:
     """Distinct entities of a text."""
     none = F.array().cast(f"array<{_ENTITY}>")
@@ -237,6 +288,7 @@ def replaced(text: Column, found: Column, attempts: Column, key: str) -> Column:
             return (
                 F.when(e["kind"] == "email", F.when(match == F.upper(match), F.upper(mail)).otherwise(mail))
                 .when(e["kind"] == "ip", made)
+                .when(e["kind"] == "iban", laid_out(match, made, "[A-Z0-9]"))
                 .otherwise(laid_out(match, made))
             )
 
@@ -247,10 +299,10 @@ def replaced(text: Column, found: Column, attempts: Column, key: str) -> Column:
 
         def word(people: Column):
             def swap(match: Column) -> Column:
-                known = F.filter(people, lambda e: e["norm"] == match)
-                return F.when(
-                    F.size(known) > 0, let(F.element_at(known, 1), lambda e: surrogate(e["kind"], e["norm"], _attempt(attempts, e["kind"], e["norm"]), key))
-                ).otherwise(match)
+                known = F.filter(people, lambda e: e["norm"] == F.lower(match))
+                cased = lambda new: F.when(match == F.upper(match), F.upper(new)).otherwise(F.initcap(new))
+                made = lambda e: let(surrogate(e["kind"], e["norm"], _attempt(attempts, e["kind"], e["norm"]), key), cased)
+                return F.when(F.size(known) > 0, let(F.element_at(known, 1), made)).otherwise(match)
 
             return woven(F.split(t, NAME_WORD, -1), F.transform(F.regexp_extract_all(t, F.lit(NAME_WORD), F.lit(0)), swap))
 
@@ -281,30 +333,54 @@ def attempts_table(entities: DataFrame, key: str) -> DataFrame:
         state = state.select("kind", "norm", (F.col("attempt") + F.coalesce("moved", F.lit(0))).alias("attempt"))
 
 
+def people_without_title(docs: DataFrame, text: Column, found: DataFrame) -> DataFrame:
+    """``tkey`` and ``e``: entities of the full names of a text that some text has with a title.
+
+    The full names are made distinct first; of several genders one is taken everywhere.
+    """
+    full = found.select(F.explode("full").alias("f")).select("f.*").groupBy("given", "family").agg(F.min("kind").alias("kind"))
+    full = materialize(full, "full-names")
+    rows = docs.select(F.md5(text.cast("binary")).alias("tkey"), pairs_of(text).alias("pairs"))
+    met = rows.select("tkey", F.explode("pairs").alias("p")).select("tkey", "p.*").distinct()
+    if full.isEmpty():
+        met = met.where(F.lit(False))
+    met = met.join(full, ["given", "family"])
+    given = F.struct("kind", F.col("given").alias("norm"))
+    family = F.struct(F.lit("family_x").alias("kind"), F.col("family").alias("norm"))
+    return materialize(met.select("tkey", F.explode(F.array(given, family).cast(f"array<{_ENTITY}>")).alias("e")).distinct(), "untitled")
+
+
 def pseudonymize(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", key: str = KEY) -> DataFrame:
     """All documents, all columns, with surrogates in the text, and ``n_entities``.
 
     Equal entities get equal surrogates in all documents, distinct ones distinct
     surrogates. Names without a title are replaced where the same text has them with
-    one. A null text stays null and has no entities; repeated rows stay repeated; an
+    one, and full names, given and family name, where any text has them with one. A null text stays null and has no entities; repeated rows stay repeated; an
     empty table gives an empty result. Where a text changed, ``length_col`` gets its
     new length. A column that is already called ``n_entities`` is replaced.
     """
     text = F.col(text_col)
-    found = docs.select(F.md5(text.cast("binary")).alias("tkey"), entities_of(text).alias("ents")).where(F.size("ents") > 0)
-    found = materialize(found, "entities")
+    found = docs.select(F.md5(text.cast("binary")).alias("tkey"), entities_of(text).alias("ents"), full_names(text).alias("full"))
+    found = materialize(found.where(F.size("ents") > 0), "entities")
     entities = found.select(F.explode("ents").alias("e")).select("e.*").distinct()
     later = attempts_table(materialize(entities, "entity-table"), key)
+    others = people_without_title(docs, text, found)
     # A text that many documents share counts once; texts without later attempts drop out.
-    needed = found.dropDuplicates(["tkey"]).select("tkey", F.explode("ents").alias("e")).select("tkey", "e.*").join(later, ["kind", "norm"])
+    own = found.dropDuplicates(["tkey"]).select("tkey", F.explode("ents").alias("e"))
+    needed = own.union(others).select("tkey", "e.*").distinct().join(later, ["kind", "norm"])
     pair = F.struct(F.concat_ws("|", "kind", "norm").alias("k"), F.col("attempt").alias("v"))
-    maps = materialize(needed.groupBy("tkey").agg(F.map_from_entries(F.collect_list(pair)).alias("attempts")), "attempt-maps")
+    maps = needed.groupBy("tkey").agg(F.map_from_entries(F.collect_list(pair)).alias("attempts"))
+    maps = materialize(maps.join(others.groupBy("tkey").agg(F.array_sort(F.collect_set("e")).alias("others")), "tkey", "full"), "attempt-maps")
     names = [c for c in docs.columns if c != "n_entities"]
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("doc"), F.md5(text.cast("binary")).alias("tkey"))
     rows = rows.join(maps, "tkey", "left")
     old = F.col("doc").getField(text_col)
     attempts = F.coalesce("attempts", F.create_map().cast("map<string,int>"))
-    rows = rows.select("doc", attempts.alias("attempts"), F.when(old.isNotNull(), entities_of(old)).alias("ents"))
+    rows = rows.select("doc", attempts.alias("attempts"), "others", F.when(old.isNotNull(), entities_of(old)).alias("ents"))
+    person = lambda e: e["kind"].startswith("given_") | (e["kind"] == "family_x")
+    # What the text itself says of a name goes first.
+    more = F.filter("others", lambda o: ~F.exists("ents", lambda e: person(e) & (e["norm"] == o["norm"])))
+    rows = rows.withColumn("ents", F.when(F.size("others") > 0, F.concat("ents", more)).otherwise(F.col("ents")))
     new = F.when(F.size("ents") > 0, replaced(old, F.col("ents"), F.col("attempts"), key)).otherwise(old)
     rows = rows.select("doc", new.alias("new"), F.coalesce(F.size("ents"), F.lit(0)).cast("long").alias("n"))
     out = {text_col: F.col("new")}
