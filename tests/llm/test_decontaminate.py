@@ -72,3 +72,14 @@ def test_drops_only_contaminated(spark):
     kept = decontaminate.drop_contaminated(cases.frame(spark), items)
     assert kept.columns == cases.SCHEMA.names
     assert sorted(map(repr, map(tuple, kept.collect()))) == sorted(repr(r) for r in cases.rows() if r[0] not in (1, 2))
+
+
+def test_repeated_and_long_items_stay_within_blocks(spark):
+    long = " ".join(f"w{i}" for i in range(2000))
+    rows = [("same", "one item that many rows of the benchmark repeat word by word")] * 500 + [("long", long)] + [(f"i{i}", f"item {i} " * 6) for i in range(100)]
+    blocks = list(decontaminate.benchmark_blocks(spark.createDataFrame(rows, "item_id string, text string"), "item_id", "text", 2000))
+    assert len(blocks) > 4 and max(sum(len(t) for _, t in b) for b in blocks) < 2 * 2000
+    assert sum(i == "same" for b in blocks for i, _ in b) == 1
+    windows = lambda text: [w for m in decontaminate.machines([("x", text)]) for w in m.windows]
+    cut = [w for b in blocks for i, t in b if i == "long" for w in windows(t)]
+    assert len(cut) == len(set(cut)) and set(cut) == set(windows(long.encode()))

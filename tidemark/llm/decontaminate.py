@@ -5,7 +5,8 @@ maps a block of up to two words to the distance that the search may skip, so mos
 positions are never looked at; a block that may end a window selects its suffix
 bucket by the window's first block, and the window is compared word by word.
 
-The benchmark is cut into blocks of about ``block_chars`` characters by hash. Only
+The benchmark is cut into blocks of about ``block_chars`` characters by hash, repeated
+items once, long items in pieces that share no window. Only
 one block at a time is collected and broadcast, so memory does not grow with the
 benchmark; beyond the first, the findings so far are written to the shared folder.
 Documents are never shuffled.
@@ -102,9 +103,36 @@ def merged(spans) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int):
-    """Lists of (id, text), each of about ``block_chars`` characters; a null id is an empty text."""
+def pieces(text: bytes, window: int, most: int) -> list[bytes]:
+    """A text of more than ``most`` bytes cut so that each of its windows lies in one piece and no piece has others."""
+    words = words_of(text) if len(text) > most else []
+    if len(words) <= window:
+        return [text]
+    out, start, last = [], 0, len(words) - window + 1
+    while start < last:
+        size, stop = 0, start
+        while stop < last and (stop == start or size + len(words[stop]) < most):
+            size += len(words[stop]) + 1
+            stop += 1
+        out.append(b" ".join(words[start : stop + window - 1]))
+        start = stop
+    return out
+
+
+def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int, window: int = WINDOW):
+    """Lists of (id, text), each of about ``block_chars`` characters; a null id is an empty text.
+
+    Equal items count once, and a long one is dealt in pieces.
+    """
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), utf8(F.col(text_col)).alias("body"))
+    most = max(1, block_chars // 8)
+
+    def cut(frames):
+        for pdf in frames:
+            found = [(item, piece) for item, body in zip(pdf["item"], pdf["body"]) for piece in pieces(bytes(body), window, most)]
+            yield pd.DataFrame(found, columns=["item", "body"])
+
+    items = materialize(items.distinct().mapInPandas(cut, "item string, body binary"), "benchmark")
     chars = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = -(-chars // block_chars)
     part = F.pmod(F.xxhash64("item", "body"), F.lit(max(1, blocks)))
@@ -135,7 +163,7 @@ def scanned(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str,
     spark = docs.sparkSession
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
     found = None
-    blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_chars)
+    blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_chars, window)
     for items in blocks:
         tables = spark.sparkContext.broadcast(machines(items, window))
         now = scan_column(F.col("doc").getField(text_col), tables)
