@@ -68,3 +68,9 @@ def test_odd_rows(spark):
     assert language.identify(cases.empty(spark), small_model()).collect() == []
     assert language.sample(cases.empty(spark), "doc_id", "text", "lang") == []
     assert {lang for lang, _ in language.sample(cases.frame(spark), "doc_id", "text", "lang")} == {"en", "de", "fr"}
+
+
+def test_every_language_is_sampled(spark):
+    rows = [(i, f"words of the language {i}", f"l{min(i, 1200)}") for i in range(1300)]
+    got = language.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    assert {lang for lang, _ in got} == {f"l{i}" for i in range(1201)}

@@ -25,7 +25,6 @@ UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 400
 PASSAGES = 8
 PASSAGE_CHARS = 200
-MAX_LANGUAGES = 1000
 MAX_REJECTED = 0.001
 MARGIN = 10.0  # in odds: a text may be much shorter than a passage
 BUCKETS = 1 << 16
@@ -155,11 +154,12 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_langu
     """Passages of the labelled rows of ``docs``, chosen by a hash of the row.
 
     Each language gives about ``per_language`` documents, as its share is set from its
-    count, and each document at most ``PASSAGES`` passages.
+    count, and each document at most ``PASSAGES`` passages. No language is left out: the
+    model has ``BUCKETS`` weights for each.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     rows = rows.where("lang is not null and text is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return []
     share = F.create_map(*(x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_language / r["count"])))))
