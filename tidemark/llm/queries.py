@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, discriminant, language, maxent, mixing, secret_scan, simhash, substring_dedup, supervision, surrogates, warc
+from tidemark.llm import decontaminate, discriminant, language, maxent, mixing, periodic_runs, secret_scan, simhash, substring_dedup, supervision, surrogates, warc
 from tidemark.llm.common import fold, read
 
 _BASE_HITS = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -58,6 +58,11 @@ def op10_discriminant(spark, sf_dir):
     return found.select("doc_id", (~F.col("trained")).alias("held_out"), "score", "predicted")
 
 
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic_runs.find_runs(periodic_runs.looped(read(spark, sf_dir, "documents")))
+    return found.select("doc_id", *[c.alias(n) for n, c in periodic_runs.digest(F.col("found")).items()])
+
+
 def op13_substring_dedup(spark, sf_dir):
     found = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -76,6 +81,7 @@ QUERIES = {
         op8_surrogates,
         op9_simhash,
         op10_discriminant,
+        op12_periodic_runs,
         op13_substring_dedup,
     )
 }
