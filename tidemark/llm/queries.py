@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, discriminant, language, maxent, mixing, periodic_runs, secret_scan, simhash, substring_dedup, supervision, surrogates, warc
+from tidemark.llm import decontaminate, discriminant, embedding_whitening, language, maxent, mixing, periodic_runs, secret_scan, simhash, substring_dedup, supervision, surrogates, warc
 from tidemark.llm.common import fold, read
 
 _BASE_HITS = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -58,6 +58,22 @@ def op10_discriminant(spark, sf_dir):
     return found.select("doc_id", (~F.col("trained")).alias("held_out"), "score", "predicted")
 
 
+def op11_whitening(spark, sf_dir):
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = embedding_whitening.fit(rows)
+    found = embedding_whitening.whiten(rows, model).select("vec_id", F.col("whitened.deviation").try_cast("long").alias("deviation"), F.posexplode("whitened.values"))
+    explained = F.array(*[F.lit(e) for e in model.explained]) if model else F.array().cast("array<double>")
+    return found.select(
+        "vec_id",
+        (F.col("pos") + 1).alias("component"),
+        F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation",
+        F.col("col").alias("whitened"),
+        F.get(explained, F.col("pos")).alias("explained"),
+        F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
 def op12_periodic_runs(spark, sf_dir):
     found = periodic_runs.find_runs(periodic_runs.looped(read(spark, sf_dir, "documents")))
     return found.select("doc_id", *[c.alias(n) for n, c in periodic_runs.digest(F.col("found")).items()])
@@ -81,6 +97,7 @@ QUERIES = {
         op8_surrogates,
         op9_simhash,
         op10_discriminant,
+        op11_whitening,
         op12_periodic_runs,
         op13_substring_dedup,
     )
