@@ -28,7 +28,7 @@ from tidemark.operators import audit, dedup, flow, incremental, lookup, upsert
 from tidemark.plans import bike, landing
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import files, sinks
-from tidemark.streaming import changes, trips
+from tidemark.streaming import changes, rides, state, trips
 
 # ---- sources ----
 
@@ -340,7 +340,8 @@ def run_changes(t: Tables) -> str:
     cut = FIRST_LOAD.strftime("%Y-%m-%d")
     for cond in (f"sent_at <= '{cut}'", f"sent_at > '{cut}'"):
         pushed(t).filter(cond).write.mode("append").json(inbox)
-        changes.change_stream(t.spark, inbox, out, checkpoint, stations, city).awaitTermination()
+        for query in changes.change_stream(t.spark, inbox, out, checkpoint, stations, city):
+            query.awaitTermination()
     return out
 
 
@@ -403,6 +404,22 @@ def _(t: Tables):
     return t.spark.read.parquet(out).drop("batch_id")
 
 
+@check("st_dedup_forever", f"select ride_id, city_sk, {ts('started_at')} as started_at from trips")
+def _(t: Tables):
+    """The second wave repeats every ride of the first one, thirty days later."""
+    out = scratch_path(t.spark, "dedup")
+    rows = t.trips.select("ride_id", "city_sk", "started_at", F.expr(f"started_at > {WAVE}").alias("second"))
+    again = rows.filter("not second").withColumns({"started_at": F.expr("started_at + interval 30 days"), "second": F.lit(True)})
+
+    def start(stream, checkpoint):
+        kept = trips.dedup_stream(stream, ["city_sk", "ride_id"], "started_at", None)
+        writer = kept.writeStream.foreachBatch(trips.store_by_batch(out)).option("checkpointLocation", checkpoint)
+        return state.on_rocksdb(writer)
+
+    two_waves(t, rows.unionByName(again), "not second", "second", start)
+    return t.spark.read.parquet(out).drop("batch_id", "second")
+
+
 @check(
     "st_late_backlog",
     f"""select ride_id, start_station_sk, end_station_sk, {PENDING} as waits from (select ride_id, start_station_id,
@@ -468,14 +485,13 @@ NDS_COLUMNS = [
 
 
 def refreshed(t: Tables, after_wave=None) -> str:
-    """Fact folder after both waves; ``after_wave`` is called with it after each.
+    """Folder of the streamed fact after both waves; ``after_wave`` is called with it after each.
 
     The second wave repeats rides of the first one, some as they were and some that were
     stored with another hour, station and rider.
     """
-    legs, fact = scratch_path(t.spark, "legs"), scratch_path(t.spark, "fact")
+    root, inbox = scratch_path(t.spark, "rides"), scratch_path(t.spark, "wave")
     rows = t.nds_trips.select(*NDS_COLUMNS)
-    inbox, checkpoint = scratch_path(t.spark, "wave"), scratch_path(t.spark, "checkpoint")
     moved = F.col("ride_id").cast("bigint") % 10 == 3
     earlier = {
         "started_at": F.col("started_at") - F.expr("interval 3 hours"),
@@ -487,11 +503,10 @@ def refreshed(t: Tables, after_wave=None) -> str:
     again = rows.filter("cast(ride_id as bigint) % 5 = 3")
     for wave in (wrong.filter(BEFORE), again.filter(BEFORE).unionByName(rows.filter(AFTER))):
         wave.write.mode("append").parquet(inbox)
-        stream = t.spark.readStream.schema(rows.schema).parquet(inbox)
-        trips.run_once(stream, trips.refresh_store(legs, fact), checkpoint, "append").awaitTermination()
+        rides.refresh(t.spark.readStream.schema(rows.schema).parquet(inbox), root)
         if after_wave is not None:
-            after_wave(fact)
-    return fact
+            after_wave(root)
+    return root
 
 
 @check(
@@ -499,7 +514,7 @@ def refreshed(t: Tables, after_wave=None) -> str:
     f"select city_sk, source_station_id, {ts('date_hour')} as date_hour, {BALANCE} from balance",
 )
 def _(t: Tables):
-    return t.spark.read.parquet(refreshed(t)).drop("day")
+    return rides.fact(t.spark, refreshed(t), t.nds_trips)
 
 
 @check(
@@ -517,8 +532,8 @@ def _(t: Tables):
     """Totals of the fact after each wave: the delay shows, and the end equals a full build."""
     states: list[DataFrame] = []
 
-    def note(path: str) -> None:
-        now = t.spark.read.parquet(path).agg(
+    def note(root: str) -> None:
+        now = rides.fact(t.spark, root, t.nds_trips).agg(
             F.lit(len(states) + 1).alias("wave"),
             F.count(F.lit(1)).alias("grains"),
             F.sum("trips_started").alias("trips_started"),

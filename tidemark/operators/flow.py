@@ -66,6 +66,11 @@ def balance_legs(legs: DataFrame) -> DataFrame:
         F.sum(F.when(is_start & member, minutes)).alias("__member_minutes"),
         F.sum(F.when(is_start & casual, minutes)).alias("__casual_minutes"),
     )
+    return balance_sums(sums)
+
+
+def balance_sums(sums: DataFrame) -> DataFrame:
+    """Flow measures from the sums of each grain."""
     net = F.col("trips_ended") - F.col("trips_started")
 
     def average(total: str, count: str):

@@ -63,3 +63,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder; none if it does not exist."""
+    fs, at = _folder(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library wrote."""
+    fs, at = _folder(spark, path)
+    fs.delete(at, True)

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidemark.functions import clean
-from tidemark.operators.dedup import dedup_first
 from tidemark.operators.lookup import lookup, lookup_current
 from tidemark.operators.upsert import upsert
 from tidemark.plans.bike import station_push_checks
-from tidemark.sources.sinks import replace_partitions
+from tidemark.streaming import changelog
+from tidemark.streaming.state import on_rocksdb
+from tidemark.streaming.trips import store_by_batch
 
 EVENT_SCHEMA = (
     "operation string, sent_at string, data struct<source_city_code: string, gbfs_station_id: string, "
@@ -65,9 +67,11 @@ def judge_events(events: DataFrame, station: DataFrame, city: DataFrame) -> Data
 
 
 def last_accepted(judged: DataFrame) -> DataFrame:
-    """The latest accepted event per station."""
-    accepted = judged.filter("http_status = 200").select(*STAGING_COLUMNS)
-    return dedup_first(accepted, KEY, [F.desc("sent_at"), "operation", "station_name"])
+    """The latest accepted event per station, ties by operation and name; the same for a stream."""
+    body = [c for c in STAGING_COLUMNS if c not in (*KEY, "sent_at", "operation", "station_name")]
+    accepted = judged.filter("http_status = 200")
+    last = accepted.groupBy(*KEY).agg(F.max(F.struct("sent_at", "operation", "station_name", *body)).alias("last"))
+    return last.select(*KEY, "last.*").select(*STAGING_COLUMNS)
 
 
 def apply_change_events(
@@ -75,31 +79,41 @@ def apply_change_events(
 ) -> tuple[DataFrame, DataFrame]:
     """(new staging snapshot, one response per event); the same function for a batch."""
     judged = judge_events(events, station, city)
-    responses = judged.select(*KEY, "operation", "sent_at", "http_status", "message")
-    return upsert(staging, last_accepted(judged), KEY), responses
+    return upsert(staging, last_accepted(judged), KEY), responses_of(judged)
 
 
-def change_stream(
-    spark: SparkSession, in_path: str, out_path: str, checkpoint: str, station: DataFrame, city: DataFrame
-) -> StreamingQuery:
-    """File stream of JSON events into ``<out>/staging`` and ``<out>/responses``.
+def responses_of(judged: DataFrame) -> DataFrame:
+    return judged.select(*KEY, "operation", "sent_at", "http_status", "message")
 
-    A batch writes its own accepted stations and responses only and replaces them when it
-    is run again after a failure; ``latest_staging`` puts the batches together.
-    """
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        judged = judge_events(flatten(batch), station, city)
-        responses = judged.select(*KEY, "operation", "sent_at", "http_status", "message")
-        for name, rows in (("staging", last_accepted(judged)), ("responses", responses)):
-            replace_partitions(rows.withColumn("batch_id", F.lit(batch_id)), f"{out_path}/{name}", ["batch_id"])
+def change_stream(
+    spark: SparkSession, in_path: str, out_path: str, checkpoint: str, station: DataFrame, city: DataFrame, once: bool = True
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """File stream of JSON events into ``<out>/staging`` and ``<out>/responses``, a query for each.
 
-    events = spark.readStream.schema(EVENT_SCHEMA).json(in_path)
+    The last accepted event of each station is held as state: an event that arrives late
+    does not replace a later one, and a batch reads nothing but its events and their
+    stations' state. The stations that it moves are appended to a change table.
+    """
+    judged = judge_events(flatten(spark.readStream.schema(EVENT_SCHEMA).json(in_path)), station, city)
+    staging = last_accepted(judged).writeStream.outputMode("update").foreachBatch(changelog.store_changes(f"{out_path}/staging"))
+    answers = responses_of(judged).writeStream.foreachBatch(store_by_batch(f"{out_path}/responses"))
     return (
-        events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        on_rocksdb(staging.option("checkpointLocation", f"{checkpoint}/staging"), once),
+        on_rocksdb(answers.option("checkpointLocation", f"{checkpoint}/responses"), once),
     )
 
 
+def _staging_schema(spark: SparkSession) -> StructType:
+    events = flatten(spark.createDataFrame([], EVENT_SCHEMA)).withColumn("http_status", F.lit(200))
+    return last_accepted(events).schema
+
+
 def latest_staging(spark: SparkSession, out_path: str) -> DataFrame:
     """The last accepted event of each station."""
-    return dedup_first(spark.read.parquet(f"{out_path}/staging"), KEY, [F.desc("batch_id")]).drop("batch_id")
+    return changelog.latest(spark, f"{out_path}/staging", KEY, _staging_schema(spark))
+
+
+def compact_staging(spark: SparkSession, out_path: str) -> int | None:
+    """Folds the changes of the stations; run it while no reader is at work."""
+    return changelog.compact(spark, f"{out_path}/staging", KEY, _staging_schema(spark))

@@ -1,4 +1,4 @@
-"""Trip streams: hourly flow, duplicates, late masters and fact refresh."""
+"""Trip streams: hourly flow, duplicates and late masters."""
 
 from __future__ import annotations
 
@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import flow, lookup
+from tidemark.operators import lookup
 from tidemark.operators.dedup import dedup_first
 from tidemark.session import materialize
-from tidemark.sources.sinks import replace_partitions, truncate, write_replace
+from tidemark.sources.sinks import replace_partitions, write_replace
 
 # Fixed value: lookback of the pulled sources, used as the lateness bound.
 DELAY = "3 days"
@@ -59,8 +59,15 @@ def hourly_flow(trips: DataFrame, delay: str = DELAY, start: str = "started_at",
     )
 
 
-def dedup_stream(trips: DataFrame, keys: Sequence[str], ts: str, delay: str = DELAY) -> DataFrame:
-    """First arrival of each key; keys are forgotten ``delay`` after their event time."""
+def dedup_stream(trips: DataFrame, keys: Sequence[str], ts: str, delay: str | None = DELAY) -> DataFrame:
+    """First arrival of each key; keys are forgotten ``delay`` after their event time.
+
+    Without ``delay`` no key is ever forgotten, so a repeat is dropped however late it comes.
+    The keys are the whole state; start such a stream with ``state.on_rocksdb``, which keeps
+    them on disk.
+    """
+    if delay is None:
+        return trips.dropDuplicates(list(keys))
     timed = trips.withColumn("__event_time", as_instant(ts)).withWatermark("__event_time", delay)
     return timed.dropDuplicatesWithinWatermark(list(keys)).drop("__event_time")
 
@@ -114,64 +121,3 @@ def backlog_store(
         write_replace(pending.select(*batch.columns), f"{out_path}/backlog/snapshot={batch_id % 2}")
 
     return store
-
-
-RIDE = ["city_sk", "ride_id"]
-BUCKETS = 256
-
-
-def refresh_store(
-    root: str, fact_path: str, version: str = "loaded_at", buckets: int = BUCKETS
-) -> Callable[[DataFrame, int], None]:
-    """Keep the last version of each ride and re-aggregate the station-hours that change.
-
-    ``root`` gets two stores, both written by batch: versions of rides, by hash bucket of
-    the ride, and signed legs, by day. A version that replaces another one writes the
-    other's legs again with the opposite sign, so the hours that a ride leaves are found
-    and refreshed too. The version with the greatest ``version`` holds, ties by arrival.
-    Ride keys must not be NULL. A batch reads the buckets and days it touches; one that is
-    repeated replaces its own partitions and changes nothing.
-    """
-    rides_path, legs_path = f"{root}/rides", f"{root}/legs"
-
-    def signed(trips: DataFrame, sign: int) -> DataFrame:
-        ride = F.struct(*RIDE, version).alias("ride")
-        return flow.trip_legs(trips, [ride]).withColumn("sign", F.lit(sign))
-
-    def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        bucket = F.pmod(F.xxhash64(*RIDE), F.lit(buckets)).cast("int")
-        order = [F.desc(version), F.desc("batch_id"), F.xxhash64(*batch.columns)]
-        tagged = batch.withColumns({"bucket": bucket, "batch_id": F.lit(batch_id)})
-        fresh = materialize(dedup_first(tagged, RIDE, order), "fresh")
-        replace_partitions(fresh, rides_path, ["bucket", "batch_id"])
-        touched = [r[0] for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets``
-        known = spark.read.schema(fresh.schema).parquet(rides_path)
-        known = known.filter(F.col("bucket").isin(touched) & (F.col("batch_id") < batch_id))
-        before = materialize(dedup_first(known.join(fresh.select(*RIDE), RIDE, "left_semi"), RIDE, order), "before")
-        now = dedup_first(before.unionByName(fresh), RIDE, order).filter(F.col("batch_id") == batch_id)
-        now = materialize(now, "now")
-        gone = before.join(now.select(*RIDE), RIDE, "left_semi")
-        legs = signed(now, 1).unionByName(signed(gone, -1))
-        legs = materialize(legs.withColumns({"day": F.to_date("date_hour"), "batch_id": F.lit(batch_id)}), "legs")
-        replace_partitions(legs, legs_path, ["day", "batch_id"])
-
-        grains = materialize(legs.select("day", *flow.GRAIN).distinct(), "grains")
-        days = [r[0] for r in grains.select("day").distinct().collect()]  # the days of a batch
-        stored = spark.read.schema(legs.schema).parquet(legs_path)
-        stored = stored.filter(F.col("day").isin(days) & (F.col("batch_id") <= batch_id))
-        stored = stored.join(grains, ["day", *flow.GRAIN], "left_semi")
-        leg = [c for c in legs.columns if c not in ("sign", "day", "batch_id")]
-        standing = stored.groupBy(*leg).agg(F.sum("sign").alias("sign")).filter("sign > 0")
-        fresh_rows = flow.balance_legs(standing).withColumn("day", F.to_date("date_hour"))
-        if batch_id > 0:
-            old = spark.read.schema(fresh_rows.schema).parquet(fact_path).filter(F.col("day").isin(days))
-            kept = old.join(grains, ["day", *flow.GRAIN], "left_anti")
-            fresh_rows = fresh_rows.unionByName(kept.select(*fresh_rows.columns))
-        fresh_rows = materialize(fresh_rows, "fact-days")
-        replace_partitions(fresh_rows, fact_path, ["day"])
-        left = {r[0] for r in fresh_rows.select("day").distinct().collect()}
-        for day in set(days) - left:
-            truncate(spark, f"{fact_path}/day={day}", fresh_rows.drop("day").schema)
-
-    return store
