@@ -227,3 +227,76 @@ def test_a_late_master_resolves_stored_trips(spark):
     updates, grains = loads.reresolve(trips, station, ctx(3))
     assert [(r["ride_id"], r["end_station_sk"]) for r in updates.collect()] == [("t1", 9)]
     assert {r["source_station_id"] for r in grains.collect()} == {"a", "b"}
+
+
+def test_a_run_reads_the_months_that_its_keys_name(spark, monkeypatch):
+    """A ride that moves from January to March is found; February is not read for it."""
+    root, read = scratch_path(spark, "wh"), []
+    plain = warehouse.Warehouse._monthly
+
+    def noted(self, name, index, side="", schema=None):
+        out = plain(self, name, index, side, schema)
+        if name == "trip" and not side:
+            read.append({f.partition("trip_month=")[2].partition("/")[0] for f in out.inputFiles()})
+        return out
+
+    def months(*rides):
+        return [(r, "classic_bike", "08:05", "08:20", "6602.05", "5514.01", "member", "NYC") for r in rides]
+
+    def landed(parts, stations=STATIONS):
+        out = None
+        for (month, last), trips in parts.items():
+            one = raw(spark, trips, stations, day=f"2026-{month}-{last}")
+            one["trips:citibike_trips:CITI"] = one["trips:citibike_trips:CITI"].withColumn("trip_month", F.lit(f"2026{month}"))
+            out = one if out is None else {k: out[k].unionByName(one[k]) if k.startswith("trips") else out[k] for k in out}
+        return out
+
+    parts = {("01", "10"): months("a", "b"), ("02", "10"): months("c", "d"), ("03", "10"): months("e")}
+    one = warehouse.Warehouse(spark, root, "r1")
+    at = datetime(2026, 3, 20)
+    warehouse.daily_run(one, landed(parts), RunContext("r1", at, cet=at, lset=datetime(2026, 1, 1)))
+    assert one.now("trip").count() == 5
+    index = spark.read.parquet(f"{root}/trip_keys/run=r1")
+    assert index.filter("kind = 'ride'").selectExpr("sum(size(prints))").first()[0] == 5
+    assert {str(r[0]) for r in index.select("trip_month").distinct().collect()} == {"202601", "202602", "202603"}
+
+    two = warehouse.Warehouse(spark, root, "r2", previous="r1")
+    later = datetime(2026, 3, 21)
+    monkeypatch.setattr(warehouse.Warehouse, "_monthly", noted)
+    ctx2 = RunContext("r2", later, cet=later, lset=datetime(2026, 3, 1))
+    warehouse.stage(two, landed({("03", "19"): months("a", "f")}), ctx2)
+    read.clear()
+    warehouse.normalise(two, ctx2)
+    assert {"202601"} in read and not any("202602" in names for names in read)
+    monkeypatch.setattr(warehouse.Warehouse, "_monthly", plain)
+    report = warehouse.publish(two, ctx2)
+    got = {r["ride_id"]: r["trip_month"] for r in two.now("trip").collect()}
+    assert got == {"b": "202601", "a": "202603", "c": "202602", "d": "202602", "e": "202603", "f": "202603"}
+    assert {k: v[:3] for k, v in fact_rows(two).items()} == rebuilt(two)
+    assert {r["status"] for r in report.collect()} == {"OK"}
+
+
+def test_open_station_keys_are_indexed(spark):
+    """Stored trips without a known station are found through the months that the index names."""
+    root = scratch_path(spark, "wh")
+    wh = warehouse.Warehouse(spark, root, "r1")
+    full = spark.createDataFrame([], warehouse.SCHEMAS["trip"])
+    at = datetime(2026, 1, 5, 8)
+    rows = [
+        {"city_sk": 1, "ride_id": "t1", "start_station_id": "a", "end_station_id": "b", "start_station_sk": 5, "trip_month": "202601"},
+        {"city_sk": 1, "ride_id": "t2", "start_station_id": "c", "end_station_id": None, "start_station_sk": None, "trip_month": "202602"},
+        {"city_sk": 1, "ride_id": "t3", "start_station_id": "a", "end_station_id": None, "start_station_sk": 5, "trip_month": "202603"},
+    ]
+    filled = [tuple(r.get(f.name, at if f.name in ("started_at", "ended_at") else None) for f in full.schema) for r in rows]
+    trips = spark.createDataFrame(filled, full.schema)
+    wh.replace_months("trip", trips, trips.select("trip_month").distinct())
+    two = warehouse.Warehouse(spark, root, "r2", previous="r1")
+
+    def named(kind, *keys):
+        cols = ["city_sk", "ride_id"] if kind == "ride" else ["city_sk", "source_station_id"]
+        wanted = spark.createDataFrame([(1, k) for k in keys], f"city_sk bigint, {cols[1]} string")
+        return {r["month"] for r in two.months_holding("trip", kind, wanted).collect()}
+
+    assert named("open", "b") == {"202601"} and named("open", "c", "a") == {"202602"} and named("open", "a") == set()
+    assert named("ride", "t3", "t1", "x") == {"202601", "202603"}
+    assert warehouse.Warehouse(spark, root, "r0").months_holding("trip", "ride", trips).count() == 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.checks.registry import check
 from tidemark.checks.views import CTX, FIRST_LOAD, SECOND_LOAD, Tables, day, num, ts
 from tidemark.functions import measures
-from tidemark.operators import audit, cdc, dedup, dims, flow, incremental, keys, leakage, lookup, match, reconcile, rules
+from tidemark.operators import audit, cdc, dedup, dims, flow, incremental, keyindex, keys, leakage, lookup, match, reconcile, rules
 from tidemark.operators import scd, upsert
 from tidemark.plans import bike, loads
 from tidemark.session import materialize
@@ -749,12 +749,53 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """The first load as a full build, then the touched grains only: equals a full build."""
-    first = t.nds_trips.filter(BEFORE)
-    fact = flow.station_hour_balance(first)
+    legs = materialize(flow.trip_legs(t.nds_trips, ["loaded_at"]), "legs")
+    fact = flow.balance_legs(legs.filter(BEFORE))
+    grains = materialize(legs.filter(AFTER).select(*GRAIN).distinct(), "grains")
+    fresh = flow.balance_legs(legs.join(grains, GRAIN, "left_semi"))
+    return incremental.replace_grains(fact, fresh, grains)
+
+
+@check(
+    "inc_refresh_fact",
+    f"select city_sk, source_station_id, {ts('date_hour')} as date_hour, {BALANCE} from balance",
+)
+def _(t: Tables):
+    """The same from trips, as the operators take them."""
+    fact = flow.station_hour_balance(t.nds_trips.filter(BEFORE))
     grains = materialize(incremental.affected_grains(t.nds_trips.filter(AFTER)), "grains")
     return incremental.refresh_fact(fact, t.nds_trips, grains)
 
 
+MONTH = "strftime(started_at, '%Y%m')"
+
+
+@check(
+    "ix_months_holding",
+    f"select {MONTH} as trip_month, count(*) as rides from trips where {MONTH} in (select {MONTH} from trips"
+    " where event_id % 397 = 5) group by 1",
+)
+def _(t: Tables):
+    """The months that hold some of the given rides, named by the key index, and their rides."""
+    stored = materialize(t.trips.select("city_sk", "ride_id", F.date_format("started_at", "yyyyMM").alias("trip_month")), "trips")
+    index = materialize(keyindex.key_index(stored, ["city_sk", "ride_id"], ["trip_month"]), "keys")
+    wanted = t.trips.filter("cast(ride_id as bigint) % 397 = 5")
+    months = keyindex.parts_holding(index, wanted, ["city_sk", "ride_id"], ["trip_month"])
+    return stored.join(months, "trip_month", "left_semi").groupBy("trip_month").agg(F.count(F.lit(1)).alias("rides"))
+
+
+@check("ix_stored_versions", "select city_sk, ride_id from trips where event_id % 397 = 5")
+def _(t: Tables):
+    """Stored rows of rides whose new version says another month, read from the named months only."""
+    stored = materialize(t.trips.select("city_sk", "ride_id", F.date_format("started_at", "yyyyMM").alias("trip_month")), "trips")
+    index = keyindex.key_index(stored, ["city_sk", "ride_id"], ["trip_month"], 64)
+    moved = t.trips.filter("cast(ride_id as bigint) % 397 = 5").select("city_sk", "ride_id")
+    never = moved.select("city_sk", F.concat(F.lit("new"), "ride_id").alias("ride_id"))
+    source = materialize(moved.unionByName(never), "source")
+    months = keyindex.parts_holding(index, source, ["city_sk", "ride_id"], ["trip_month"], 64)
+    return stored.join(months, "trip_month", "left_semi").join(source, ["city_sk", "ride_id"], "left_semi").drop("trip_month")
+
+
 @check(
     "inc_upsert_fact",
     f"select city_sk, source_station_id, {ts('date_hour')} as date_hour, trips_started, trips_ended, net_flow,"
@@ -772,9 +813,10 @@ def _(t: Tables):
     def seen(df, at):
         return df.withColumn("seen_at", F.lit(str(at)).cast("timestamp_ntz")).select(*cols)
 
-    fact = seen(flow.station_hour_balance(t.nds_trips.filter(BEFORE)), FIRST_LOAD)
-    grains = materialize(incremental.affected_grains(t.nds_trips.filter(AFTER)), "grains")
-    fresh = seen(incremental.reaggregate(t.nds_trips, grains), SECOND_LOAD)
+    legs = materialize(flow.trip_legs(t.nds_trips, ["loaded_at"]), "legs")
+    fact = seen(flow.balance_legs(legs.filter(BEFORE)), FIRST_LOAD)
+    grains = materialize(legs.filter(AFTER).select(*flow.GRAIN).distinct(), "grains")
+    fresh = seen(flow.balance_legs(legs.join(grains, flow.GRAIN, "left_semi")), SECOND_LOAD)
     return upsert.upsert(fact, fresh, GRAIN)
 
 

@@ -115,7 +115,11 @@ def reaggregate(trips: DataFrame, grains: DataFrame) -> DataFrame:
 
 def refresh_fact(fact: DataFrame, trips: DataFrame, grains: DataFrame) -> DataFrame:
     """New fact snapshot: touched grains replaced, emptied grains removed."""
-    fresh = reaggregate(trips, grains)
+    return replace_grains(fact, reaggregate(trips, grains), grains)
+
+
+def replace_grains(fact: DataFrame, fresh: DataFrame, grains: DataFrame) -> DataFrame:
+    """``fact`` with the rows of ``fresh`` in place of the given grains."""
     return fact.join(grains, GRAIN, "left_anti").unionByName(fresh.select(*fact.columns))
 
 

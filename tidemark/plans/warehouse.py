@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.context import RunContext
 from tidemark.functions import clean, measures
-from tidemark.operators import audit, cdc, dims, flow, incremental, leakage, lookup, match, reconcile, rules, upsert
+from tidemark.operators import audit, cdc, dims, flow, incremental, keyindex, leakage, lookup, match, reconcile, rules, upsert
 from tidemark.operators.dedup import union_all
 from tidemark.plans import bike, loads
 from tidemark.session import materialize
@@ -57,6 +57,16 @@ SCHEMAS = {
     "grains": "city_sk bigint, source_station_id string, date_hour timestamp_ntz",
 }
 MONTHLY = {"trip": "trip_month", "fact": "month"}
+# Key indexes beside a monthly table, by kind: the rows that are indexed, and the key.
+INDEXED = {
+    "trip": {
+        "ride": [("true", {c: c for c in loads.TRIP_KEY})],
+        "open": [
+            (f"{sk} is null and {source_id} is not null", {"city_sk": "city_sk", source_id: "source_station_id"})
+            for source_id, sk in loads.ID_TO_SK.items()
+        ],
+    }
+}
 # The hours that the rows of a month reach; a trip may end in a later month. NULL times are passed over.
 REACH = {
     "trip": ("least(started_at, ended_at)", "greatest(started_at, ended_at)"),
@@ -86,13 +96,15 @@ class Warehouse:
             return self.spark.createDataFrame([], INDEX)
         return self.spark.read.schema(INDEX).parquet(self.path(f"{name}_months", run))
 
-    def _monthly(self, name: str, index: DataFrame) -> DataFrame:
-        col, base = MONTHLY[name], f"{self.root}/{name}"
+    def _monthly(self, name: str, index: DataFrame, side: str = "", schema: str | None = None) -> DataFrame:
+        """The indexed months of a table, or of what lies beside it."""
+        col, base, schema = MONTHLY[name], f"{self.root}/{name}{side}", schema or SCHEMAS[name]
         paths = [f"{base}/run={r['run']}/{col}={r['month']}" for r in index.collect()]  # months only
+        empty = self.spark.createDataFrame([], schema)
         if not paths:
-            return self._empty(name)
-        every = self.spark.read.schema(SCHEMAS[name]).option("basePath", base).parquet(*paths)
-        return every.select(*self._empty(name).columns)
+            return empty
+        every = self.spark.read.schema(schema).option("basePath", base).parquet(*paths)
+        return every.select(*empty.columns)
 
     def _of(self, name: str, run: str | None, hours: DataFrame | None) -> DataFrame:
         index = self.index(name, run)
@@ -120,6 +132,23 @@ class Warehouse:
         """The given months of a monthly table as the run found it."""
         return self._monthly(name, self.index(name, self.previous).join(months.toDF("month"), "month", "left_semi"))
 
+    def months_holding(self, name: str, kind: str, wanted: DataFrame) -> DataFrame:
+        """Months of the table as the run found it that may hold a key of ``wanted``, by the index alone."""
+        keys, col = list(INDEXED[name][kind][0][1].values()), MONTHLY[name]
+        schema = f"kind string, {keyindex.SCHEMA}, {col} string"
+        stored = self._monthly(name, self.index(name, self.previous), "_keys", schema).filter(F.col("kind") == kind)
+        found = keyindex.parts_holding(stored, wanted.select(*keys), keys, [col])
+        return materialize(found.withColumnRenamed(col, "month"), f"{name}-months")
+
+    def _write_keys(self, name: str, written: DataFrame) -> None:
+        """The key indexes of the months that the run wrote."""
+        col, every = MONTHLY[name], []
+        for kind, sources in INDEXED[name].items():
+            rows = [written.filter(cond).select(col, *[F.col(c).alias(a) for c, a in keys.items()]) for cond, keys in sources]
+            index = keyindex.key_index(union_all(*rows), list(sources[0][1].values()), [col])
+            every.append(index.withColumn("kind", F.lit(kind)))
+        write_replace(union_all(*every), f"{self.root}/{name}_keys/run={self.run}", [col])
+
     def write(self, name: str, df: DataFrame) -> DataFrame:
         if name in SCHEMAS:
             want = self._empty(name).schema
@@ -137,6 +166,8 @@ class Warehouse:
         written = self.spark.read.schema(SCHEMAS[name]).parquet(out)
         new = written.groupBy(F.col(col).alias("month")).agg(F.min(F.expr(low)).alias("low"), F.max(F.expr(high)).alias("high"))
         new = new.withColumn("run", F.lit(self.run)).select("month", "run", "low", "high")
+        if name in INDEXED:
+            self._write_keys(name, written)
         kept = self.index(name, self.previous).join(touched.toDF("month"), "month", "left_anti")
         write_replace(kept.unionByName(new), self.path(f"{name}_months"))
 
@@ -222,12 +253,14 @@ def normalise(wh: Warehouse, ctx: RunContext) -> None:
     ready, pending = lookup.split_pending(resolved, loads.ID_TO_SK)
     source = ready.select(*loads.TRIP_COLUMNS)
     if not arrived.isEmpty():
-        late, _ = loads.reresolve(wh.before("trip"), station.join(arrived, loads.STATION_KEY, "left_semi"), ctx)
+        waiting = wh.months("trip", wh.months_holding("trip", "open", arrived))
+        late, _ = loads.reresolve(waiting, station.join(arrived, loads.STATION_KEY, "left_semi"), ctx)
         late = late.join(ready.select(*loads.TRIP_KEY), loads.TRIP_KEY, "left_anti")
         source = source.unionByName(late.select(*loads.TRIP_COLUMNS))
     source = materialize(source, "source")
-    # A ride may lie in another month than its new version, so its key is looked up in all of them.
-    old = wh.before("trip").join(source.select(*loads.TRIP_KEY), loads.TRIP_KEY, "left_semi")
+    # A ride may lie in another month than its new version: the months that the key index names are read.
+    stored = wh.months("trip", wh.months_holding("trip", "ride", source))
+    old = stored.join(source.select(*loads.TRIP_KEY), loads.TRIP_KEY, "left_semi")
     old = materialize(old, "old")
     touched = materialize(union_all(source.select("trip_month"), old.select("trip_month")).distinct(), "months")
     after, _ = loads.load_trips(wh.months("trip", touched), source, ctx)
