@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.checks.views import Tables
-from tidemark.operators import cdc, incremental, keys, lookup, match, ordered, rules, scd, skew, upsert
+from tidemark.operators import cdc, incremental, keys, lookup, match, ordered, ranged, rules, scd, skew, upsert
 from tidemark.operators.dedup import dedup_best, dedup_first
 from tidemark.plans import bike
 
@@ -52,7 +52,7 @@ def test_sliced_history_equals_plain_history_and_brute_force(spark):
             log[k, ts] = max(v, log.get((k, ts), -1))
     changes = spark.createDataFrame([(k, t, v) for (k, t), v in log.items()], "k string, ts timestamp_ntz, v int")
     plain = scd.scd2_from_changes(changes, ["k"], ["v"], "ts")
-    sliced = scd.scd2_from_changes(changes, ["k"], ["v"], "ts", slice_by=F.weekofyear("ts"))
+    sliced = scd.scd2_from_changes(changes, ["k"], ["v"], "ts", long_keys=True, partitions=7)
     shown = ("k", "v", "effective_from", "effective_to", "is_current", "version")
     want = []
     for key in {k for k, _ in log}:
@@ -128,8 +128,8 @@ def versions(spark):
     return spark.createDataFrame(data, "k string, effective_from timestamp_ntz, effective_to timestamp_ntz, sk int")
 
 
-@pytest.mark.parametrize("slice_months", [False, True])
-def test_as_of_bounds(spark, slice_months):
+@pytest.mark.parametrize("way", ["join", "months", "merge"])
+def test_as_of_bounds(spark, way):
     asked = [
         ("a", datetime(2023, 12, 31, 23), None),
         ("a", datetime(2024, 1, 1), 1),
@@ -143,10 +143,77 @@ def test_as_of_bounds(spark, slice_months):
         ("a", None, None),
     ]
     facts = spark.createDataFrame([(i, k, t) for i, (k, t, _) in enumerate(asked)], "i int, k string, t timestamp_ntz")
-    found = lookup.scd2_lookup(facts, versions(spark), ["k"], "t", ["sk"], slice_months=slice_months)
+    if way == "merge":
+        found = lookup.merge_asof(facts, versions(spark), ["k"], "t", ["sk"], partitions=5)
+    else:
+        found = lookup.scd2_lookup(facts, versions(spark), ["k"], "t", ["sk"], slice_months=way == "months")
     assert rows(found, "i", "sk") == sorted([(i, sk) for i, (_, _, sk) in enumerate(asked)], key=repr)
 
 
+def test_merged_as_of_equals_the_join_on_hot_keys(spark):
+    """Half the facts share one key, many share one time; versions leave gaps; names clash with helpers."""
+    rng = random.Random(7)
+    day = lambda d: datetime(2024, 1, 1) + timedelta(hours=d)
+    dim = []
+    for key in ["hot", *[f"k{i}" for i in range(30)]]:
+        at = rng.randrange(50)
+        for i in range(200 if key == "hot" else rng.randrange(4)):
+            end = at + rng.randrange(1, 6)
+            dim.append((key, day(at), None if i == 199 else day(end), i))
+            at = end + rng.choice([0, 0, 2])
+    dim = spark.createDataFrame(dim + [(None, day(0), None, 9)], "k string, effective_from timestamp_ntz, effective_to timestamp_ntz, sk int")
+    facts = [
+        (i, rng.choice(["hot", None, f"k{rng.randrange(40)}", "hot"]), None if i % 97 == 0 else day(rng.choice([100, rng.randrange(1200)])))
+        for i in range(4000)
+    ]
+    facts = spark.createDataFrame(facts, "__at int, k string, t timestamp_ntz").repartition(5)
+    want = rows(lookup.scd2_lookup(facts, dim, ["k"], "t", {"sk": "sk2", "effective_from": "since"}), "__at", "sk2", "since")
+    got = lookup.merge_asof(facts, dim, ["k"], "t", {"sk": "sk2", "effective_from": "since"}, partitions=9)
+    assert got.columns == ["__at", "k", "t", "sk2", "since"] and rows(got, "__at", "sk2", "since") == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange rangepartitioning") == 0
+    assert lookup.merge_asof(facts.limit(0), dim, ["k"], "t", ["sk"]).count() == 0
+    none = lookup.merge_asof(facts, dim.limit(0), ["k"], "t", ["sk"])
+    assert none.count() == 4000 and none.filter("sk is not null").count() == 0
+
+
+def test_a_hot_key_is_laid_over_many_partitions(spark):
+    data = [(1 if i % 3 else i, i % 500, i) for i in range(9000)]
+    laid = ranged.lay(spark.createDataFrame(data, "k int, t int, v int").repartition(4), ["k"], ["t"], partitions=12)
+    sizes = [r["count"] for r in laid.table.groupBy(ranged.PART).count().collect()]
+    assert max(sizes) < 3 * 9000 / 12
+    assert laid.table.filter("k = 1").select(ranged.PART).distinct().count() >= 6
+
+
+def test_carried_totals_and_ends(spark):
+    """Sums, last and first values over partitions, against plain lists; one key lies in all of them."""
+    rng = random.Random(2)
+    data = [(rng.choice(["a", "b", "b", "b", "c"]), i, rng.randrange(9)) for i in range(300)]
+    laid = ranged.lay(spark.createDataFrame(data, "k string, t int, v int"), ["k"], ["t"], partitions=11)
+    n = F.row_number().over(laid.inside()).cast("bigint")
+    scanned = laid.table.withColumn("n", n)
+    odd = scanned.filter("v % 2 = 1")
+    full = laid.carry(scanned, scanned, total={"n": "sofar"})
+    full = laid.carry(full, odd, last={"v": "last_odd"}, first={"v": "next_odd"})
+    for r in full.collect():
+        mine = sorted((t, v) for k, t, v in data if k == r["k"])
+        place = [t for t, _ in mine].index(r["t"])
+        assert r["n"] + (r["sofar"] or 0) == place + 1
+    part = {(r["k"], r["t"]): r[ranged.PART] for r in full.collect()}
+    for r in full.collect():
+        before = [v for k, t, v in sorted(data, key=lambda x: x[1]) if k == r["k"] and part[k, t] < r[ranged.PART] and v % 2]
+        later = [v for k, t, v in sorted(data, key=lambda x: x[1]) if k == r["k"] and part[k, t] > r[ranged.PART] and v % 2]
+        assert r["last_odd"] == (before[-1] if before else None) and r["next_odd"] == (later[0] if later else None)
+
+
+def test_long_histories_are_shuffled_once(spark):
+    df, _ = skewed(spark)
+    changes = df.filter("k is not null").groupBy("k", "ts").agg(F.max("v").alias("v"))
+    built = scd.scd2_from_changes(changes, ["k"], ["v"], "ts", long_keys=True)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == plan.count("Exchange rangepartitioning") == 0
+
+
 @pytest.mark.parametrize("salts", [0, 3])
 def test_lookup_keeps_every_row(spark, salts):
     df, data = skewed(spark)

@@ -33,7 +33,7 @@ def _(t: Tables):
 
 
 def versions(t: Tables) -> DataFrame:
-    return scd.scd2_from_changes(t.changes, ["o_custkey"], ["priority"], "ts", slice_by=F.year("ts"))
+    return scd.scd2_from_changes(t.changes, ["o_custkey"], ["priority"], "ts", long_keys=True)
 
 
 @check(
@@ -62,17 +62,38 @@ def _(t: Tables):
     )
 
 
-@check(
-    "jn_asof",
+ASOF = (
     "select l_orderkey, l_linenumber, l_partkey, version from (select l.*, o_custkey from lineitem l join orders on"
     " o_orderkey = l_orderkey) l left join versions v on v.o_custkey = l.o_custkey and l_shipdate >= effective_from"
-    " and l_shipdate < coalesce(effective_to, timestamp '9999-12-31')",
+    " and l_shipdate < coalesce(effective_to, timestamp '9999-12-31')"
 )
-def _(t: Tables):
-    lines = t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).select(
+
+
+def shipped(t: Tables) -> DataFrame:
+    return t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "o_custkey"
     )
-    found = lookup.scd2_lookup(lines, versions(t), ["o_custkey"], "l_shipdate", ["version"], slice_months=True, bounds=t.lineitem)
+
+
+@check("jn_asof", ASOF)
+def _(t: Tables):
+    found = lookup.scd2_lookup(shipped(t), versions(t), ["o_custkey"], "l_shipdate", ["version"])
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", "version")
+
+
+@check("jn_asof_months", ASOF)
+def _(t: Tables):
+    """The same with versions repeated by month."""
+    found = lookup.scd2_lookup(
+        shipped(t), versions(t), ["o_custkey"], "l_shipdate", ["version"], slice_months=True, bounds=t.lineitem
+    )
+    return found.select("l_orderkey", "l_linenumber", "l_partkey", "version")
+
+
+@check("jn_asof_merge", ASOF)
+def _(t: Tables):
+    """The same by merging both sides in ranges of key and time."""
+    found = lookup.merge_asof(shipped(t), materialize(versions(t), "versions"), ["o_custkey"], "l_shipdate", ["version"])
     return found.select("l_orderkey", "l_linenumber", "l_partkey", "version")
 
 

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean
+from tidemark.operators import ranged
 from tidemark.operators.dedup import dedup_first
+from tidemark.operators.skew import any_null
 
 
 def lookup(
@@ -115,6 +117,52 @@ def scd2_lookup(
     return joined.select(*[df[c] for c in df.columns], *[F.col(f"__v_{c}").alias(n) for c, n in cols.items()])
 
 
+def merge_asof(
+    df: DataFrame,
+    dim: DataFrame,
+    keys: Mapping[str, str] | Sequence[str],
+    ts: str,
+    cols: Mapping[str, str] | Sequence[str],
+    effective: tuple[str, str] = ("effective_from", "effective_to"),
+    partitions: int | None = None,
+) -> DataFrame:
+    """``scd2_lookup`` for keys with very many facts or versions: a merge of both sides.
+
+    Facts and versions are laid together in ranges of (key, time), and each fact takes the
+    version that came last before it. Both sides are shuffled once; no version is repeated,
+    and a hot key is spread by time. Facts with a NULL key or time find nothing.
+    """
+    keys = keys if isinstance(keys, Mapping) else {k: k for k in keys}
+    cols = cols if isinstance(cols, Mapping) else {c: c for c in cols}
+    begin, end = effective
+    names = [f"__k{i}" for i in range(len(keys))]
+    row = [f"__c{i}" for i in range(len(df.columns))]
+    body = F.struct(F.col(end).alias("__to"), *[F.col(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    starts = dim.filter(~any_null([*keys.values(), begin])).select(
+        *[F.col(d).alias(n) for d, n in zip(keys.values(), names)],
+        F.col(begin).alias("__at"),
+        F.lit(0).alias("__kind"),
+        F.lit(0).cast("bigint").alias("__spread"),
+        body.alias("__version"),
+    )
+    facts = df.select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)],
+        F.col(ts).alias("__at"),
+        F.lit(1).alias("__kind"),
+        F.xxhash64(*[df[c] for c in df.columns]).alias("__spread"),
+        *[df[c].alias(r) for c, r in zip(df.columns, row)],
+    )
+    both = facts.unionByName(starts, allowMissingColumns=True)
+    laid = ranged.lay(both, names, ["__at", "__kind"], ["__spread"], partitions)
+    seen = F.last("__version", True).over(laid.inside().rowsBetween(Window.unboundedPreceding, 0))
+    scanned = laid.table.withColumn("__seen", seen).filter("__kind = 1")
+    full = laid.carry(scanned, laid.table.filter("__kind = 0"), last={"__version": "__earlier"})
+    last = F.coalesce("__seen", "__earlier")
+    inside = F.col("__at").isNotNull() & (last["__to"].isNull() | (F.col("__at") < last["__to"]))
+    found = [F.when(inside, last[f"v{i}"]).alias(n) for i, n in enumerate(cols.values())]
+    return full.select(*[F.col(r).alias(c) for c, r in zip(df.columns, row)], *found)
+
+
 def _month_number(ts: Column) -> Column:
     return F.year(ts) * 12 + F.month(ts)
 

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import skew
-from tidemark.operators.ordered import LAYOUT, number_intervals, previous_value
+from tidemark.operators import ranged, skew
+from tidemark.operators.ordered import number_intervals, previous_value
 from tidemark.operators.upsert import upsert
 
 # Fixed value: start of the first version when the change time is not to be used.
@@ -44,16 +44,21 @@ def scd2_from_changes(
     keys: Sequence[str],
     tracked: Sequence[str],
     ts: str,
-    slice_by: Column | None = None,
+    long_keys: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """All versions from a change log with one row per (key, ts).
 
-    ``slice_by`` (monotone in ``ts``, e.g. its month) splits long histories over tasks.
+    ``long_keys``: histories that may be too long for one task are dealt by ranges of (key,
+    time). The log is shuffled once; the value before, the start after and the versions so
+    far are carried from partition to partition.
     """
-    seen = previous_value(changes, keys, ts, signature(tracked), "__prev", slice_by)
-    layout = [c for c in seen.columns if c in LAYOUT]
-    starts = seen.filter(~F.col("__prev").eqNullSafe(signature(tracked))).select(*keys, *tracked, ts, *layout)
-    numbered = number_intervals(starts, keys, ts, "effective_to", "version", slice_by)
+    if long_keys:
+        numbered = _numbered_in_ranges(changes.select(*keys, *tracked, ts), keys, tracked, ts, partitions)
+    else:
+        seen = previous_value(changes, keys, ts, signature(tracked), "__prev")
+        starts = seen.filter(~F.col("__prev").eqNullSafe(signature(tracked))).select(*keys, *tracked, ts)
+        numbered = number_intervals(starts, keys, ts, "effective_to", "version")
     return numbered.select(
         *keys,
         *tracked,
@@ -64,6 +69,24 @@ def scd2_from_changes(
     )
 
 
+def _numbered_in_ranges(changes: DataFrame, keys: Sequence[str], tracked: Sequence[str], ts: str, partitions: int | None) -> DataFrame:
+    """Changes that start a version, with its end and number."""
+    laid = ranged.lay(changes, keys, [ts], partitions=partitions)
+    rows, window = laid.table.withColumn("__now", signature(tracked)), laid.inside()
+    seen = laid.carry(rows.withColumn("__prev", F.lag("__now").over(window)), rows, last={"__now": "__earlier"})
+    starts = seen.filter(~F.coalesce("__prev", "__earlier").eqNullSafe(F.col("__now"))).select(ranged.PART, *keys, *tracked, ts)
+    starts = starts.withColumns(
+        {"__start": F.col(ts), "__nth": F.row_number().over(window).cast("bigint"), "__next": F.lead(ts).over(window)}
+    )
+    numbered = laid.carry(starts, starts, total={"__nth": "__sofar"}, first={"__start": "__later"})
+    return numbered.withColumns(
+        {
+            "effective_to": F.coalesce("__next", "__later"),
+            "version": F.col("__nth") + F.coalesce("__sofar", F.lit(0).cast("bigint")),
+        }
+    )
+
+
 def scd2_apply(
     dim: DataFrame,
     source: DataFrame,

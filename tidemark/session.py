@@ -65,6 +65,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, col: str, buckets: int, label: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``col``, and read with that layout.
+
+    Windows, groups and joins by ``col`` (and more) then need no shuffle.
+    """
+    spark = df.sparkSession
+    name = f"tidemark_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, col).option("path", scratch_path(spark, label)).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"drop table {name}")  # the files stay; what was read keeps the layout
+    return out
+
+
 def _folder(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
