@@ -336,6 +336,64 @@ def test_scd2_late_changes_that_meet_their_neighbours(spark):
     assert got.filter("effective_to < effective_from").count() == 0
 
 
+def history(spark, rows_):
+    """Versions of one key from (value, start day, end day, surrogate key)."""
+    day = lambda d: d and datetime(2024, 1, d)
+    kind = "k int, v string, effective_from timestamp_ntz, effective_to timestamp_ntz, is_current boolean, version bigint, sk int"
+    return spark.createDataFrame([(1, v, day(a), day(b), b is None, i + 1, sk) for i, (v, a, b, sk) in enumerate(rows_)], kind)
+
+
+@pytest.mark.parametrize(
+    "stored,change,want",
+    [
+        # A correction at the start of the current, of an older and of the first version.
+        ([("a", 1, 10, 10), ("b", 10, None, 11)], ("c", 10), [("a", 1, 10, 10), ("c", 10, None, 11)]),
+        ([("a", 1, 5, 10), ("b", 5, 9, 11), ("a", 9, None, 12)], ("c", 5), [("a", 1, 5, 10), ("c", 5, 9, 11), ("a", 9, None, 12)]),
+        ([("a", 1, 10, 10), ("b", 10, None, 11)], ("c", 1), [("c", 1, 10, 10), ("b", 10, None, 11)]),
+        # It makes neighbours equal: they join, and the earlier key holds.
+        ([("a", 1, 5, 10), ("b", 5, 9, 11), ("c", 9, None, 12)], ("a", 5), [("a", 1, 9, 10), ("c", 9, None, 12)]),
+        ([("a", 1, 5, 10), ("b", 5, 9, 11), ("c", 9, None, 12)], ("c", 5), [("a", 1, 5, 10), ("c", 5, None, 11)]),
+        ([("a", 1, 5, 10), ("b", 5, 9, 11), ("a", 9, None, 12)], ("a", 5), [("a", 1, None, 10)]),
+        # An older change: later versions keep their keys; equal to the next one, that begins earlier.
+        ([("a", 1, 10, 10), ("b", 10, None, 11)], ("c", 5), [("a", 1, 5, 10), ("c", 5, 10, None), ("b", 10, None, 11)]),
+        ([("a", 1, 10, 10), ("b", 10, None, 11)], ("b", 5), [("a", 1, 5, 10), ("b", 5, None, 11)]),
+        ([("a", 3, 10, 10), ("b", 10, None, 11)], ("c", 2), [("c", 2, 3, None), ("a", 3, 10, 10), ("b", 10, None, 11)]),
+        # Gaps: inside one, at its start and after the end; a stored end stays.
+        ([("a", 1, 5, 10), ("b", 10, None, 11)], ("c", 7), [("a", 1, 5, 10), ("c", 7, 10, None), ("b", 10, None, 11)]),
+        ([("a", 1, 5, 10), ("b", 10, None, 11)], ("a", 5), [("a", 1, 10, 10), ("b", 10, None, 11)]),
+        ([("a", 1, 5, 10)], ("b", 9), [("a", 1, 5, 10), ("b", 9, None, None)]),
+        ([("a", 1, 5, 10)], ("b", 3), [("a", 1, 3, 10), ("b", 3, 5, None)]),
+        # Nothing new; two stored versions that say the same stay apart.
+        ([("a", 1, 5, 10), ("a", 5, None, 11)], ("a", 9), [("a", 1, 5, 10), ("a", 5, None, 11)]),
+        ([("a", 1, None, 10)], ("a", 1), [("a", 1, None, 10)]),
+        ([("a", 1, None, 10)], (None, 4), [("a", 1, 4, 10), (None, 4, None, None)]),
+    ],
+)
+def test_versions_keep_their_keys(spark, stored, change, want):
+    source = spark.createDataFrame([(1, change[0], datetime(2024, 1, change[1])), (None, "x", None)], "k int, v string, ts timestamp_ntz")
+    got = scd.scd2_apply(history(spark, stored), source, ["k"], ["v"], "ts", extra=["sk"]).orderBy("effective_from").collect()
+    assert [(r["v"], r["effective_from"].day, r["effective_to"] and r["effective_to"].day, r["sk"]) for r in got] == want
+    assert [r["version"] for r in got] == list(range(1, len(want) + 1))
+    assert [r["is_current"] for r in got] == [w[2] is None for w in want]
+
+
+@pytest.mark.parametrize(
+    "before,after,want",
+    [
+        ([("a", 1, 10, 10), ("b", 10, None, 11)], [("a", 1, 5, 10), ("c", 5, 10, 12), ("b", 10, None, 11)], [(5, 10)]),
+        ([("a", 1, 10, 10), ("b", 10, None, 11)], [("a", 1, 5, 10), ("b", 5, None, 11)], [(5, 10)]),
+        ([("a", 1, 5, 10), ("b", 5, 9, 11), ("c", 9, None, 12)], [("a", 1, 9, 10), ("c", 9, None, 12)], [(5, 9)]),
+        ([("a", 1, 5, 10), ("b", 5, 9, 11), ("a", 9, None, 12)], [("a", 1, None, 10)], [(5, None)]),
+        ([("a", 1, None, 10)], [("a", 1, 8, 10), ("b", 8, None, 13)], [(8, None)]),
+        ([("a", 1, None, 10)], [("a", 1, 8, 10)], []),
+        ([], [("a", 1, None, 10)], []),
+    ],
+)
+def test_intervals_that_changed_their_version(spark, before, after, want):
+    got = scd.gained_intervals(history(spark, before), history(spark, after), ["k"], "sk").collect()
+    assert sorted((r["low"].day, r["high"] and r["high"].day) for r in got) == want
+
+
 def test_the_second_spelling_matches(spark):
     master = spark.createDataFrame([("c", None, "Main St"), ("c", "m1", "Main St"), ("c", "m2", None)], "city string, mid string, mname string")
     legs = spark.createDataFrame([("c", "e1", "A street", "main st."), ("c", "m2", None, "Other")], "city string, id string, one string, two string")

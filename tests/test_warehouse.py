@@ -300,3 +300,41 @@ def test_open_station_keys_are_indexed(spark):
     assert named("open", "b") == {"202601"} and named("open", "c", "a") == {"202602"} and named("open", "a") == set()
     assert named("ride", "t3", "t1", "x") == {"202601", "202603"}
     assert warehouse.Warehouse(spark, root, "r0").months_holding("trip", "ride", trips).count() == 0
+
+
+def test_an_older_change_of_a_station_moves_its_stored_hours(spark):
+    """Version C enters between A and B: the hours of its time are refreshed and the others are not."""
+    root = scratch_path(spark, "wh")
+    wh = warehouse.Warehouse(spark, root, "r1")
+    at = lambda m, d, h=0: datetime(2026, m, d, h)
+    cols = {f.name: f.dataType for f in spark.createDataFrame([], warehouse.SCHEMAS["dim_station"]).schema}
+
+    def dim(*versions):
+        rows = [
+            {"station_sk": sk, "city_sk": 1, "source_station_id": "s", "station_name": name, "station_status": "open",
+             "effective_from": a, "effective_to": b, "is_current": b is None, "version": i + 1}
+            for i, (sk, name, a, b) in enumerate(versions)
+        ]
+        return spark.createDataFrame([tuple(r.get(c) for c in cols) for r in rows], warehouse.SCHEMAS["dim_station"])
+
+    stored = dim((10, "A", at(1, 1), at(2, 10)), (11, "B", at(2, 10), None))
+    wh.write("dim_station", stored)
+    hours = [(10, at(1, 20, 8)), (10, at(2, 4, 9)), (10, at(2, 6, 9)), (10, at(2, 9, 23)), (11, at(2, 10)), (11, at(3, 1, 5))]
+    empty = spark.createDataFrame([], warehouse.SCHEMAS["fact"])
+    facts = spark.createDataFrame([(sk, int(t.strftime("%Y%m%d%H")), t.strftime("%Y%m")) for sk, t in hours], "station_sk bigint, datetime_sk int, month string")
+    facts = empty.unionByName(facts, allowMissingColumns=True)
+    wh.replace_months("fact", facts, facts.select("month").distinct())
+
+    two = warehouse.Warehouse(spark, root, "r2", previous="r1")
+    station = spark.createDataFrame(
+        [(5, 1, "s", "C", "open", "active", True, at(2, 5), None, at(2, 5))],
+        "station_sk bigint, city_sk bigint, source_station_id string, station_name string, station_status string, row_status string,"
+        " is_current boolean, effective_from timestamp_ntz, effective_to timestamp_ntz, loaded_at timestamp_ntz",
+    ).selectExpr("*", "cast(null as decimal(12,8)) as latitude", "cast(null as decimal(12,8)) as longitude", "cast(null as int) as capacity")
+    now = loads.load_dim_station(two.before("dim_station"), station, at(1, 1), at(2, 6))
+    got = {r["station_name"]: (r["station_sk"], r["effective_from"], r["effective_to"]) for r in now.collect()}
+    assert got == {"A": (10, at(1, 1), at(2, 5)), "C": (12, at(2, 5), at(2, 10)), "B": (11, at(2, 10), None)}
+    moved = warehouse.moved_grains(two, now).collect()
+    assert sorted(r["date_hour"] for r in moved) == [at(2, 6, 9), at(2, 9, 23)]
+    spans = spark.createDataFrame([(at(2, 5), at(2, 10))], "low timestamp_ntz, high timestamp_ntz")
+    assert [r["month"] for r in two.spanning("fact", spans).collect()] == ["202602"]

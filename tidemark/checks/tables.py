@@ -560,10 +560,10 @@ def empty_versions(t: Tables) -> DataFrame:
 
 
 def applied(t: Tables) -> DataFrame:
-    dim = empty_versions(t)
-    for cond in (EARLY, LATE):
-        dim = scd.scd2_apply(dim, half_year(t, cond), ["o_custkey"], ["priority"], "ts", scd.FIRST_FROM)
-    return dim
+    def load(dim: DataFrame, cond: str) -> DataFrame:
+        return scd.scd2_apply(dim, half_year(t, cond), ["o_custkey"], ["priority"], "ts", scd.FIRST_FROM)
+
+    return load(materialize(load(empty_versions(t), EARLY), "dim"), LATE)
 
 
 @check(
@@ -593,10 +593,31 @@ def _(t: Tables):
     eras = eras.withColumn("priority", F.concat(F.lit("era "), F.col("era").cast("string")))
     dim = empty_versions(t)
     for era in (2, 3, 1):
-        dim = scd.scd2_apply(dim, eras.filter(F.col("era") == era), ["o_custkey"], ["priority"], "ts")
+        dim = materialize(scd.scd2_apply(dim, eras.filter(F.col("era") == era), ["o_custkey"], ["priority"], "ts"), "dim")
     return dim
 
 
+@check(
+    "scd2_keys",
+    f"""select o_custkey, case era when 2 then 'era 2 fixed' else 'era ' || era end as priority,
+  case era when 1 then 'third load' when 2 then 'first load' else 'second load' end as sk, {ts('ts')} as effective_from,
+  {ts('lead(ts) over w')} as effective_to, row_number() over w as version
+from (select *, min(o_orderdate) over (partition by o_custkey, era) as ts from (select *, {ERA} as era from orders) o)
+  c group by o_custkey, era, ts
+window w as (partition by o_custkey order by ts)""",
+)
+def _(t: Tables):
+    """Newer, older and correcting changes: every version keeps the key of the load that brought it."""
+    eras = t.orders.withColumn("era", F.expr(ERA)).groupBy("o_custkey", "era").agg(F.min("o_orderdate").alias("ts"))
+    eras = materialize(eras.withColumn("priority", F.concat(F.lit("era "), F.col("era").cast("string"))), "eras")
+    dim = empty_versions(t).withColumn("sk", F.lit(None).cast("string"))
+    fixed = eras.withColumn("priority", F.concat("priority", F.lit(" fixed")))
+    for load, era, changes in (("first", 2, eras), ("second", 3, eras), ("third", 1, eras), ("fourth", 2, fixed)):
+        dim = scd.scd2_apply(dim, changes.filter(F.col("era") == era), ["o_custkey"], ["priority"], "ts", extra=["sk"])
+        dim = materialize(dim.withColumn("sk", F.coalesce("sk", F.lit(f"{load} load"))), "dim")
+    return dim.drop("is_current")
+
+
 @check(
     "scd2_softclose",
     f"""select v.o_custkey, priority, case when is_current and g.o_custkey is not null then {ts("timestamp '2001-09-01'")}

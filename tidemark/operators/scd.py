@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import ranged, skew
@@ -94,95 +94,95 @@ def scd2_apply(
     tracked: Sequence[str],
     ts: str,
     first_from: str | None = None,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """Apply one batch (one row per key): close changed versions, open new ones.
 
     ``dim`` holds keys, tracked, effective_from, effective_to, is_current, version.
-    ``first_from`` replaces the change time for the first version of a key. A change that
-    is older than the current version goes into the history: it splits the version that
-    was valid at its time, or precedes the first one, and later versions move up one
-    number. No interval ends before it begins. A change to what was valid anyway, or one
-    at the very time of a stored version's start, changes nothing.
+    ``first_from`` replaces the change time for the first version of a key. ``extra`` columns
+    of ``dim``, such as its surrogate key, stay with their version and are NULL for new ones.
+
+    A version is known by its key and start; ``version`` is only its place. A change older
+    than the current version goes into the history: it splits the version valid at its time,
+    fills a gap, or precedes the first one. A change at the very start of a version corrects
+    it. A change to what was valid anyway changes nothing, and one that makes two neighbours
+    equal joins them: the earlier start and the earlier stored ``extra`` hold. No interval
+    is empty. A change without a time is passed over.
     """
     cols = [*keys, *tracked, "effective_from", "effective_to", "is_current", "version"]
-    version = dim.schema["version"].dataType
-    s = source.select(
-        *[F.col(k).alias(f"s_{k}") for k in keys], *[F.col(c).alias(f"s_{c}") for c in tracked], F.col(ts).alias("s__ts")
-    )
-    on = F.lit(True)
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"s_{k}"))
-    # What the change meets in the history of its key: the version valid at its time, and the next one.
-    at = F.col("s__ts")
-    covers = (F.col("effective_from") <= at) & (F.col("effective_to").isNull() | (at < F.col("effective_to")))
+    key = list(keys)
     body = F.struct(*tracked)
-    heads = (
-        dim.select(*cols)
-        .join(s, on)
-        .groupBy(*keys)
-        .agg(
-            F.max("version").alias("__last"),
-            F.max("effective_from").alias("__newest"),
-            F.max("effective_to").alias("__ended"),
-            F.max("is_current").alias("__open"),
-            F.max_by(body, "version").alias("__head"),
-            F.max_by(F.struct("effective_from", "effective_to", "version", body.alias("body")), F.when(covers, F.col("effective_from"))).alias("__at"),
-            F.min_by(F.struct("effective_from", "version", body.alias("body")), F.when(F.col("effective_from") > at, F.col("effective_from"))).alias("__next"),
-        )
+    asked = source.filter(F.col(ts).isNotNull() & ~skew.any_null(keys)).select(*key, F.col(ts).alias("__ts"), body.alias("__body"))
+    here = F.struct(*extra) if extra else F.struct(F.lit(True).alias("__stored"))
+    touched = dim.join(asked.select(*key, F.lit(True).alias("__hit")), key, "left")
+    others = touched.filter("__hit is null").select(*cols, *extra)
+    mine = touched.filter("__hit")
+
+    # The history of the touched keys as events, shuffled once: stored ends, stored starts, changes.
+    def event(at: Column, rank: int, values: Column, kept: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(rank).alias("rank"), values.alias("body"), kept.alias("extra"))
+
+    shape = dim.select(body.alias("b"), here.alias("e")).schema
+    none = {c: F.lit(None).cast(shape[c].dataType) for c in ("b", "e")}
+    starts = event(F.col("effective_from"), 1, body, here)
+    ends = F.when(F.col("effective_to").isNotNull(), event(F.col("effective_to"), 0, none["b"], none["e"]))
+    stored = mine.select(*key, F.explode(F.array_compact(F.array(starts, ends))).alias("__event"))
+    changes = asked.select(*key, event(F.col("__ts"), 2, F.col("__body"), none["e"]).alias("__event"))
+    events = stored.unionByName(changes).repartition(*key).select(*key, "__event.*")
+    if first_from is not None:
+        known = F.min("rank").over(Window.partitionBy(*key)) < 2
+        events = events.withColumn("at", F.when(known, F.col("at")).otherwise(F.lit(first_from).cast("timestamp_ntz")))
+    # One event per time: a change before a stored start before an end.
+    states = events.groupBy(*key, F.col("at").alias("__at")).agg(
+        F.max("rank").alias("__rank"), F.max_by("body", "rank").alias("__body"), F.max_by("extra", F.when(F.col("rank") == 1, 1)).alias("__extra")
     )
-    known = s.join(heads, on, "left")
-    mine = F.struct(*[F.col(f"s_{c}").alias(c) for c in tracked])
-    new_key = F.col("__last").isNull()
-    newest = (at >= F.col("__newest")) & (F.col("__open") | (at >= F.col("__ended")))
-    late = ~new_key & ~newest
-    differs_head = ~F.col("__head").eqNullSafe(mine)
-    opens = new_key | (newest & (~F.col("__open") | differs_head))
-    # An older change counts if it differs from what was valid and does not fall on a stored start.
-    differs_at = F.col("__at").isNull() | ~F.col("__at.body").eqNullSafe(mine)
-    splits = late & differs_at & ~F.coalesce(F.col("__at.effective_from") == at, F.lit(False))
-    # Equal to the next version, it only makes that one begin earlier.
-    merges = splits & F.coalesce(F.col("__next.body").eqNullSafe(mine), F.lit(False))
-    facts = known.select(
-        *[F.col(f"s_{k}").alias(k) for k in keys],
-        mine.alias("__mine"),
-        at.alias("__ts"),
-        opens.alias("__opens"),
-        F.coalesce(splits, F.lit(False)).alias("__splits"),
-        F.coalesce(merges, F.lit(False)).alias("__merges"),
-        "__last",
-        F.col("__at.version").alias("__at_version"),
-        F.col("__at.effective_to").alias("__at_to"),
-        F.col("__next.version").alias("__next_version"),
-        F.col("__next.effective_from").alias("__next_from"),
-    ).filter("__opens or __splits")
-    joined = dim.select(*cols).join(facts, list(keys), "left")
-    closes = F.col("is_current") & F.coalesce("__opens", F.lit(False)) & ~body.eqNullSafe(F.col("__mine"))
-    cut = F.coalesce(F.col("__splits") & (F.col("version") == F.col("__at_version")), F.lit(False))
-    pulled = F.coalesce(F.col("__merges") & (F.col("version") == F.col("__next_version")), F.lit(False))
-    moved = F.coalesce(F.col("__splits") & ~F.col("__merges") & (F.col("version") >= F.col("__next_version")), F.lit(False))
-    kept = joined.select(
-        *keys,
-        *tracked,
-        F.when(pulled, F.col("__ts")).otherwise(F.col("effective_from")).alias("effective_from"),
-        F.when(closes | cut, F.col("__ts")).otherwise(F.col("effective_to")).alias("effective_to"),
-        (F.col("is_current") & ~closes & ~cut).alias("is_current"),
-        F.when(moved, F.col("version") + 1).otherwise(F.col("version")).cast(version).alias("version"),
+    w = Window.partitionBy(*key).orderBy("__at")
+    live = F.col("__rank") > 0
+    before = states.withColumns({"__was": F.lag("__body").over(w), "__by": F.lag("__rank").over(w)})
+    # Two stored versions side by side stay apart, whatever they say.
+    opens = F.col("__by").isNull() | ~F.col("__body").eqNullSafe(F.col("__was")) | ((F.col("__rank") == 1) & (F.col("__by") == 1))
+    grouped = before.withColumn("__nth", F.sum(opens.cast("int")).over(w)).groupBy(*key, "__nth").agg(
+        F.min("__at").alias("__at"),
+        F.min_by("__body", "__at").alias("__body"),
+        F.max(live).alias("__live"),
+        F.min_by("__extra", F.when(F.col("__extra").isNotNull(), F.col("__at"))).alias("__extra"),
     )
-    start = F.col("__ts")
-    if first_from is not None:
-        start = F.when(F.col("__last").isNull(), F.lit(first_from).cast("timestamp_ntz")).otherwise(start)
-    inserted = facts.filter("__opens or not __merges").select(
-        *keys,
-        *[F.col(f"__mine.{c}").alias(c) for c in tracked],
-        start.alias("effective_from"),
-        F.when(F.col("__splits"), F.coalesce("__at_to", "__next_from")).alias("effective_to"),
-        F.col("__opens").alias("is_current"),
-        F.when(F.col("__splits"), F.coalesce("__next_version", F.col("__at_version") + 1))
-        .otherwise(F.coalesce("__last", F.lit(0)) + 1)
-        .cast(version)
-        .alias("version"),
+    w = Window.partitionBy(*key).orderBy("__at")
+    numbered = grouped.withColumns(
+        {"effective_to": F.lead("__at").over(w), "version": F.sum(F.col("__live").cast("int")).over(w)}
+    ).filter("__live")
+    rebuilt = numbered.select(
+        *key,
+        *[F.col(f"__body.{c}").alias(c) for c in tracked],
+        F.col("__at").alias("effective_from"),
+        "effective_to",
+        F.col("effective_to").isNull().alias("is_current"),
+        F.col("version").cast(dim.schema["version"].dataType).alias("version"),
+        *[F.col(f"__extra.{c}").alias(c) for c in extra],
+    )
+    return others.unionByName(rebuilt.select(*others.columns))
+
+
+def gained_intervals(before: DataFrame, after: DataFrame, keys: Sequence[str], sk: str) -> DataFrame:
+    """Times that a version took over from another one of its key: keys, ``low`` and ``high`` (NULL: open).
+
+    Stored facts of these times point to the version that was valid before. Keys that
+    ``before`` lacks have no such facts.
+    """
+    old = before.select(F.col(sk).alias("__sk"), F.col("effective_from").alias("__from"), F.col("effective_to").alias("__to"))
+    known = before.select(*keys).distinct()
+    joined = after.join(known, list(keys), "left_semi").join(old, F.col(sk) == F.col("__sk"), "left")
+    span = lambda low, high: F.struct(low.alias("low"), high.alias("high"))
+    new, start, end = F.col("__sk").isNull(), F.col("effective_from"), F.col("effective_to")
+    longer = F.col("__to").isNotNull() & (end.isNull() | (end > F.col("__to")))
+    spans = F.array_compact(
+        F.array(
+            F.when(new, span(start, end)),
+            F.when(~new & (start < F.col("__from")), span(start, F.col("__from"))),
+            F.when(~new & longer, span(F.col("__to"), end)),
+        )
     )
-    return kept.unionByName(inserted.select(*cols))
+    return joined.select(*keys, F.explode(spans).alias("span")).select(*keys, "span.low", "span.high")
 
 
 def deleted_only(master: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -171,13 +171,13 @@ def load_dim_station(dim: DataFrame, station: DataFrame, lset, cet, first_from:
     active = recent.filter("is_current and row_status = 'active'")
     changes = active.withColumn("__ts", F.greatest("effective_from", "loaded_at"))
     core = ["city_sk", "source_station_id", *TRACKED, "effective_from", "effective_to", "is_current", "version"]
-    versions = scd.scd2_apply(dim.select(*core), changes, STATION_KEY, TRACKED, "__ts", first_from)
+    dim_cols = dim.select(*core, "station_sk")
+    versions = scd.scd2_apply(dim_cols, changes, STATION_KEY, TRACKED, "__ts", first_from, ["station_sk"])
     gone = scd.deleted_only(station, STATION_KEY)
     closed = scd.scd2_close(versions, gone, STATION_KEY)
-    kept = lookup.lookup(closed, dim, [*STATION_KEY, "version"], ["station_sk"])
-    old = kept.filter("station_sk is not null").select(*dim.columns)
-    new = kept.filter("station_sk is null").drop("station_sk")
-    return old.unionByName(allocate_keys(new, dim, "station_sk", [*STATION_KEY, "version"]).select(*dim.columns))
+    old = closed.filter("station_sk is not null").select(*dim.columns)
+    new = closed.filter("station_sk is null").drop("station_sk")
+    return old.unionByName(allocate_keys(new, dim, "station_sk", [*STATION_KEY, "effective_from"]).select(*dim.columns))
 
 
 @dataclass(frozen=True)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.context import RunContext
 from tidemark.functions import clean, measures
-from tidemark.operators import audit, cdc, dims, flow, incremental, keyindex, leakage, lookup, match, reconcile, rules, upsert
+from tidemark.operators import audit, cdc, dims, flow, incremental, keyindex, leakage, lookup, match, reconcile, rules, scd, upsert
 from tidemark.operators.dedup import union_all
 from tidemark.plans import bike, loads
 from tidemark.session import materialize
@@ -132,6 +132,12 @@ class Warehouse:
         """The given months of a monthly table as the run found it."""
         return self._monthly(name, self.index(name, self.previous).join(months.toDF("month"), "month", "left_semi"))
 
+    def spanning(self, name: str, spans: DataFrame) -> DataFrame:
+        """Months of the table as the run found it that reach into ``low`` to ``high`` (NULL: open) of some span."""
+        s = spans.agg(F.min("low").alias("__low"), F.max(F.coalesce("high", F.lit(lookup.END_OF_TIME).cast("timestamp_ntz"))).alias("__high"))
+        found = self.index(name, self.previous).crossJoin(s)  # one row
+        return found.filter("high >= __low and low < __high").select("month")
+
     def months_holding(self, name: str, kind: str, wanted: DataFrame) -> DataFrame:
         """Months of the table as the run found it that may hold a key of ``wanted``, by the index alone."""
         keys, col = list(INDEXED[name][kind][0][1].values()), MONTHLY[name]
@@ -299,12 +305,23 @@ def fact_grains(wh: Warehouse, wet: DataFrame) -> DataFrame:
     return hours.join(wh.before("dim_station").select("station_sk", *loads.STATION_KEY), "station_sk")
 
 
+def moved_grains(wh: Warehouse, dim: DataFrame) -> DataFrame:
+    """Station-hours of the stored fact for which another version of the station is valid now."""
+    before = wh.before("dim_station")
+    spans = materialize(scd.gained_intervals(before, dim, loads.STATION_KEY, "station_sk"), "gained")
+    fact = wh.months("fact", wh.spanning("fact", spans)).select("station_sk", F.expr(REACH["fact"][0]).alias("date_hour"))
+    hours = fact.join(before.select("station_sk", *loads.STATION_KEY), "station_sk")
+    inside = (F.col("date_hour") >= F.col("low")) & (F.col("high").isNull() | (F.col("date_hour") < F.col("high")))
+    return hours.join(spans, loads.STATION_KEY).filter(inside).select("city_sk", "source_station_id", "date_hour")
+
+
 def publish(wh: Warehouse, ctx: RunContext, missing_weather: str = "zero") -> DataFrame:
     """Dimensions and the touched part of the fact; gives the reconciliation report."""
     city, station, weather = (wh.now(n) for n in ("city", "station", "weather"))
     wh.write("dim_city", upsert.upsert(wh.before("city"), city, ["city_code"]))
     dim = wh.write("dim_station", loads.load_dim_station(wh.before("dim_station"), station, ctx.lset, ctx.cet))
-    grains = wh.now("grains")
+    grains = wh.now("grains").unionByName(moved_grains(wh, dim)).distinct()
+    grains = materialize(grains, "grains")
     trips = wh.now("trip", grains)
     days = wh.now("calendar_day").agg(
         F.min("calendar_date").alias("first_day"), F.max("calendar_date").alias("last_day")
@@ -316,10 +333,15 @@ def publish(wh: Warehouse, ctx: RunContext, missing_weather: str = "zero") -> Da
     month = F.substring(F.col("datetime_sk").cast("string"), 1, 6)
     rows = materialize(rows.withColumn("month", month), "fact-rows")
 
-    # A touched grain without legs any more leaves the fact.
-    keyed = grains.withColumn("datetime_sk", measures.datetime_sk("date_hour"))
-    keyed = lookup.scd2_lookup(keyed, dim, loads.STATION_KEY, "date_hour", ["station_sk"])
-    keyed = materialize(keyed.select(*loads.FACT_KEY).filter("station_sk is not null"), "touched-keys")
+    # A touched grain without legs any more leaves the fact, and so does the key of a version no longer valid then.
+    hourly = grains.withColumn("datetime_sk", measures.datetime_sk("date_hour"))
+    keyed = union_all(
+        *[
+            lookup.scd2_lookup(hourly, d, loads.STATION_KEY, "date_hour", ["station_sk"]).select(*loads.FACT_KEY)
+            for d in (dim, wh.before("dim_station"))
+        ]
+    )
+    keyed = materialize(keyed.filter("station_sk is not null").distinct(), "touched-keys")
     touched = materialize(keyed.select(month.alias("month")).distinct(), "fact-months")
     target = wh.months("fact", touched)
     emptied = keyed.join(rows.select(*loads.FACT_KEY), loads.FACT_KEY, "left_anti")
