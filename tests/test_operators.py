@@ -8,9 +8,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.checks.views import Tables
-from tidemark.operators import cdc, incremental, keys, lookup, match, ordered, ranged, rules, scd, skew, upsert
+from tidemark.operators import cdc, incremental, keys, lookup, match, ordered, profile, ranged, rules, scd, skew, upsert
 from tidemark.operators.dedup import dedup_best, dedup_first
 from tidemark.plans import bike
+from tidemark.session import materialize, scratch_path
 
 
 def rows(df, *cols):
@@ -76,6 +77,79 @@ def test_duplicate_rows(spark):
     assert rows(found, "id") == sorted(want, key=repr)
 
 
+def shuffled_bytes(df):
+    """Bytes that the run of a frame wrote to shuffles, by the metrics of its final plan."""
+    df.collect()
+    qe = df._jdf.queryExecution()
+    total, todo, seen = 0, [qe.executedPlan()], set()
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            node = node.executedPlan()
+        if node.nodeName().endswith("QueryStage"):
+            node = node.plan()
+        metrics = node.metrics()
+        if node.nodeName() == "Exchange" and node.id() not in seen and metrics.contains("shuffleBytesWritten"):
+            seen.add(node.id())
+            total += metrics.apply("shuffleBytesWritten").value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_details_shuffle_keys_and_findings_only(spark):
+    """Wide rows stay where they are: what is shuffled grows with the repeated rows."""
+    path = scratch_path(spark, "raw")
+    wide = [f"concat('{c}', repeat(md5(cast(id as string)), 30)) as {c}" for c in ("start_station_name", "end_station_name")]
+    n = 20_000
+    spark.range(n).selectExpr(
+        "concat('r', if(id % 1000 = 0, 0, id)) as ride_id", "'2024-01-05 10:00:00' as started_at", "'2024-01-05 10:05:00' as ended_at",
+        "'a' as start_station_id", "'b' as end_station_id", "'member' as member_casual", "'classic_bike' as rideable_type", *wide,
+        "'1' as start_lat", "'1' as start_lng", "'1' as end_lat", "'1' as end_lng", "'202401' as trip_month", "'NYC' as source_city_code",
+        "'r' as load_run_id", "'f' as source_file", "id as source_row_number",
+    ).repartition(4).write.parquet(path)
+    raw = spark.read.parquet(path)
+    rule_set = bike.trip_rules("CITI", "c")
+    found = rules.dq_details(raw, rule_set)
+    moved = shuffled_bytes(found)
+    assert found.count() == n // 1000
+    assert 0 < moved < 60 * n  # a row is two thousand bytes wide
+    rows_ = rules.duplicate_rows(raw, list(rule_set.duplicate.keys))
+    assert 0 < shuffled_bytes(rows_) < 60 * n and rows_.count() == n // 1000
+
+
+def test_a_full_filter_changes_nothing(spark):
+    """With a handful of bits nearly every row is a candidate; the join still decides."""
+    df, data = skewed(spark)
+    known = profile.repeated_keys(df, [F.col("k"), F.col("v")])
+    marked = profile.mark_repeated(df.withColumn("key", skew.struct_key([F.col("k"), F.col("v")])), "key", known, "maybe", bits=64)
+    size = {}
+    for _, k, _, v in data:
+        size[k, v] = size.get((k, v), 0) + 1
+    sure = {i for i, k, _, v in data if size[k, v] > 1}
+    assert sure <= {r["id"] for r in marked.filter("maybe").collect()} and marked.count() == len(data)
+
+
+def test_measured_values_and_repeated_keys(spark):
+    df, data = skewed(spark)
+    df = df.withColumn("source_file", F.concat(F.lit("f"), F.col("v")))
+    metrics = {"n": F.count(F.lit(1)), "hot": F.count_if(F.col("k") == "hot")}
+    out, values = profile.measured(df, metrics, lambda d: materialize(d.filter("v = 1"), "x"))
+    assert values == {"n": len(data), "hot": sum(d[1] == "hot" for d in data)} and out.count() == sum(d[3] == 1 for d in data)
+    out, values = profile.measured(df.limit(0), metrics, lambda d: materialize(d, "x"))
+    assert values == {"n": 0, "hot": 0} and out.count() == 0
+    seen = profile.profile(df, {"copies": skew.struct_key(["k", "v"]), "odd": F.when(F.col("v") % 2 == 1, F.struct("k"))}, ["ts"])
+    assert rows(profile.fingerprints(seen), "source_file", "row_count", "fingerprint") == rows(
+        cdc.fingerprint(df, ["source_file"], ["ts"]), "source_file", "row_count", "fingerprint"
+    )
+    counts = {}
+    for _, k, _, v in data:
+        if v % 2:
+            counts[k] = counts.get(k, 0) + 1
+    got = {r["__key"]["k"]: r["n_rows"] for r in profile.repeated(seen, "odd").collect()}
+    assert got == {k: n for k, n in counts.items() if n > 1}
+
+
 def test_a_hot_key_is_dealt_over_many_tasks(spark):
     df, _ = skewed(spark)
     df = df.repartition(6)

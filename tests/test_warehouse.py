@@ -338,3 +338,38 @@ def test_an_older_change_of_a_station_moves_its_stored_hours(spark):
     assert sorted(r["date_hour"] for r in moved) == [at(2, 6, 9), at(2, 9, 23)]
     spans = spark.createDataFrame([(at(2, 5), at(2, 10))], "low timestamp_ntz, high timestamp_ntz")
     assert [r["month"] for r in two.spanning("fact", spans).collect()] == ["202602"]
+
+
+def test_staging_reads_a_source_three_times(spark, tmp_path):
+    """A counting filter in front of each landed source tells how often its rows are read."""
+    counted = {}
+
+    def watched(name, df):
+        path = str(tmp_path / name.replace(":", "-"))
+        df.write.parquet(path)
+        seen = spark.sparkContext.accumulator(0)
+
+        @F.udf("boolean")
+        def look(_):
+            seen.add(1)
+            return True
+
+        counted[name] = (seen, df.count())
+        return spark.read.parquet(path).filter(look.asNondeterministic()("source_file"))
+
+    landed = {k: watched(k, v) for k, v in raw(spark, TRIPS + TRIPS[:2]).items()}
+    wh = warehouse.Warehouse(spark, scratch_path(spark, "wh"), "r1")
+    warehouse.stage(wh, landed, ctx(1))
+    assert {name: seen.value / n for name, (seen, n) in counted.items()} == {name: 3.0 for name in counted}
+    found = spark.read.parquet(f"{wh.root}/dq_details/citibike_trips")
+    assert found.filter("rule_code = 'CITI_DUPLICATE_RIDE'").count() == 4
+    balance = {r["source_name"]: r for r in wh.now("stage_balance").collect()}
+    assert balance["citibike_trips"]["duplicate_rows"] == 2 and {r["difference"] for r in balance.values()} == {0}
+
+
+def test_an_empty_source_is_staged(spark):
+    wh = warehouse.Warehouse(spark, scratch_path(spark, "wh"), "r1")
+    empty = {k: v.limit(0) for k, v in raw(spark).items()}
+    warehouse.stage(wh, empty, ctx(1))
+    assert {r["raw_rows"] for r in wh.now("stage_balance").collect()} == {0}
+    assert wh.now("stg_trips").count() == 0 and wh.now("changes").count() == 0

@@ -17,6 +17,8 @@ from tidemark.checks.rows import (
     ODD_STARTS,
     REPORT_BAD,
     STATION_ID,
+    SUMMARY_SQL,
+    TRIP_RULES,
     WEATHER_ID,
     WEATHER_NUM,
 )
@@ -24,7 +26,7 @@ from tidemark.checks.tables import AFTER, BALANCE, BEFORE, FIRST, GRAIN, PENDING
 from tidemark.checks.views import CTX, FIRST_LOAD, Tables, num, ts
 from tidemark.context import RunContext
 from tidemark.functions import clean
-from tidemark.operators import audit, dedup, flow, incremental, lookup, upsert
+from tidemark.operators import audit, cdc, dedup, flow, incremental, lookup, rules, upsert
 from tidemark.plans import bike, landing
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import files, sinks
@@ -593,8 +595,7 @@ from (select coalesce({accepted}, false) as a, coalesce({inside}, false) as i, {
 IN_RUN = "between timestamp '2024-01-01' and timestamp '2024-07-01'"
 
 
-@check(
-    "stage_balance",
+STAGE_BALANCE = (
     balance_sql("citibike_trips", ODD_TRIPS, ACCEPT_TRIPS, f"{START} {IN_RUN}", "(trim(source_city_code), trim(ride_id))")
     + " union all "
     + balance_sql(
@@ -612,8 +613,11 @@ IN_RUN = "between timestamp '2024-01-01' and timestamp '2024-07-01'"
         f"{STATION_ID} and not coalesce({CAP_BAD}, false) and not coalesce({COORD_BAD}, false)",
         "true",
         "(source_city_code, coalesce(nullif(trim(short_name), ''), nullif(trim(gbfs_station_id), '')))",
-    ),
+    )
 )
+
+
+@check("stage_balance", STAGE_BALANCE)
 def _(t: Tables):
     """Every raw row of every source is staged, a duplicate, rejected or outside the window."""
     trip_rules, weather_rules, station_rules = bike.trip_rules("CITI", "citibike_trips"), bike.weather_rules(), bike.station_rules()
@@ -625,6 +629,42 @@ def _(t: Tables):
     )
 
 
+def feeds(t: Tables):
+    yield odd_trips(t), "trips", bike.trip_rules("CITI", "citibike_trips")
+    yield odd_weather(t), "weather", bike.weather_rules()
+    yield t.raw_stations, "stations", bike.station_rules()
+
+
+@check("stage_balance_measured", STAGE_BALANCE)
+def _(t: Tables):
+    """The same from counts taken while the rows are staged."""
+    done = [(bike.stage_measured(raw, kind, rule_set, CTX), rule_set) for raw, kind, rule_set in feeds(t)]
+    return dedup.union_all(*[bike.measured_balance(staged, rule_set) for staged, rule_set in done])
+
+
+@check("dq_summary_measured", SUMMARY_SQL)
+def _(t: Tables):
+    """The summary of a staging run, without a pass of its own."""
+    rule_set = TRIP_RULES("CITI", "citibike_trips")
+    staged = bike.stage_measured(t.raw_trips, "trips", rule_set, CTX)
+    return rules.dq_summary(t.raw_trips, rule_set, "run", staged.counts, staged.repeated()).drop("source_name", "load_run_id")
+
+
+@check(
+    "cdc_fingerprint_measured",
+    f"select coalesce(f, '(unknown)') as source_file, n as row_count, true as same"
+    f" from (select source_file as f, count(*) as n from {ODD_TRIPS} r group by source_file) g",
+)
+def _(t: Tables):
+    """Files of a staging run: their fingerprints are those of a pass of their own."""
+    raw, kind, rule_set = next(iter(feeds(t)))
+    mine = bike.stage_measured(raw, kind, rule_set, CTX).fingerprints()
+    own = cdc.fingerprint(raw, ["source_file"], bike.LINEAGE_COLUMNS)
+    both = mine.join(own.withColumnsRenamed({"row_count": "n", "fingerprint": "print"}), "source_file", "full")
+    same = F.coalesce((F.col("fingerprint") == F.col("print")) & (F.col("row_count") == F.col("n")), F.lit(False))
+    return both.select("source_file", "row_count", same.alias("same"))
+
+
 @check(
     "land_trips",
     "select nullif(trim(ride_id), '') as ride_id, nullif(trim(started_at), '') as started_at,"

@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from tidemark.context import RunContext
 
 
-def load_counts(raw: DataFrame, staged: DataFrame, source_name: str, table_name: str, raw_cond=None, staged_cond=None):
-    """Raw rows of the window against staged rows. FAILED only if nothing arrived."""
+def load_counts(
+    raw: DataFrame | int, staged: DataFrame, source_name: str, table_name: str, raw_cond=None, staged_cond=None
+) -> DataFrame:
+    """Raw rows of the window, or their number, against staged rows. FAILED only if nothing arrived."""
     true = F.lit(True)
-    a = raw.agg(F.count_if(true if raw_cond is None else raw_cond).alias("total_rows_count"))
+    if isinstance(raw, int):  # counted already
+        a = staged.sparkSession.range(1).select(F.lit(raw).cast("bigint").alias("total_rows_count"))
+    else:
+        a = raw.agg(F.count_if(true if raw_cond is None else raw_cond).alias("total_rows_count"))
     b = staged.agg(F.count_if(true if staged_cond is None else staged_cond).alias("success_rows_count"))
     both = a.crossJoin(b)  # one row each
     failed = F.greatest(F.col("total_rows_count") - F.col("success_rows_count"), F.lit(0).cast("bigint"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import clean
-from tidemark.operators import skew
+from tidemark.operators import profile, skew
 
 
 @dataclass(frozen=True)
@@ -76,6 +76,15 @@ class RuleSet:
         return listed
 
 
+def accepted(rules: RuleSet) -> Column:
+    """Whether a row breaks no reject rule."""
+    out = F.lit(True)
+    for rule in rules.rules:
+        if rule.severity == "reject":
+            out = out & ~F.coalesce(rule.fails, F.lit(False))
+    return out
+
+
 def accept_rows(df: DataFrame, rules: RuleSet) -> DataFrame:
     """Rows that break no reject rule. Duplicates stay; the dedup step keeps one.
 
@@ -101,40 +110,33 @@ def _verdict(rule, rules: RuleSet) -> list[Column]:
     ]
 
 
-def _keyed(df: DataFrame, keys: Sequence[Column], drop_null: bool = True) -> DataFrame:
-    """Add the key as one struct column ``__key``; optionally without NULL keys."""
-    return (_complete(df, keys) if drop_null else df).withColumn("__key", skew.struct_key(keys))
-
-
-def _complete(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
+def _complete(keys: Sequence[Column]) -> Column:
+    out = F.lit(True)
     for k in keys:
-        df = df.filter(k.isNotNull())
-    return df
+        out = out & k.isNotNull()
+    return out
 
 
 def duplicate_rows(df: DataFrame, keys: Sequence[Column], group_keys: Sequence[Column] | None = None) -> DataFrame:
     """Every member of a key group with more than one row; NULL keys never match.
 
-    With ``group_keys`` the rows are looked up by ``keys`` in the groups of those.
+    With ``group_keys`` the rows are looked up by ``keys`` in the groups of those. A narrow
+    pass counts the keys; of the rows themselves only candidates are shuffled.
     """
-    return skew.with_key_counts(_complete(df, keys), keys, "n_rows", 2, _totals(df, keys, group_keys)).drop("n_rows")
-
-
-def _totals(df: DataFrame, keys: Sequence[Column], group_keys: Sequence[Column] | None) -> DataFrame | None:
-    """Group sizes by ``group_keys`` where these differ from ``keys``."""
-    if group_keys is None or [str(k) for k in group_keys] == [str(k) for k in keys]:
-        return None
-    return skew.key_counts(_keyed(df, group_keys), ["__key"])
+    known = profile.repeated_keys(df, keys if group_keys is None else group_keys)
+    marked = profile.mark_repeated(df.withColumn("__key", F.when(_complete(keys), skew.struct_key(keys))), "__key", known, "__maybe")
+    return marked.filter("__maybe").join(known, "__key", "left_semi").select(*df.columns)
 
 
 def dq_details(
-    df: DataFrame, rules: RuleSet, with_payload: bool = True, codes: Sequence[str] | None = None
+    df: DataFrame, rules: RuleSet, with_payload: bool = True, codes: Sequence[str] | None = None, repeated: DataFrame | None = None
 ) -> DataFrame:
     """One row per (row, failed rule), for the rules in ``codes`` (default: all).
 
-    Row rules are evaluated in one pass without a shuffle. The duplicate rule adds a pass
-    over the keys, and the rows are then dealt once. Nothing runs before the result is
-    asked for.
+    All rules are evaluated in one pass over the rows without a shuffle. The duplicate rule
+    needs the repeated keys, from a narrow pass of their own or given as ``repeated``; rows
+    that may hold one are told by a broadcast filter, and only the findings are then joined
+    with the keys. Nothing runs before the result is asked for.
     """
     if codes is not None:
         dup = rules.duplicate if rules.duplicate is not None and rules.duplicate.code in codes else None
@@ -147,36 +149,59 @@ def dq_details(
     fails = [r.detail_fails() for r in rules.rules]
     tested = list(rules.rules)
     if (dup := rules.duplicate) is not None:
-        complete = F.lit(True)
-        for k in dup.keys:
-            complete = complete & k.isNotNull()
-        df = skew.with_key_counts(df, dup.keys, "__copies", 0, _totals(df, dup.keys, dup.group_keys))
-        fails.append(complete & (F.col("__copies") > 1))
+        known = _repeated(df, dup) if repeated is None else repeated
+        df = df.withColumn("__key", F.when(_complete(dup.keys), skew.struct_key(dup.keys)))
+        df = profile.mark_repeated(df, "__key", known, "__maybe")
+        fails.append(F.col("__maybe"))
         tested.append(dup)
+        shown.append(F.col("__key"))
     # Positions of the failed rules; the texts are looked up for failing rows only.
     failed = F.array(*[F.when(f, F.lit(i + 1)) for i, f in enumerate(fails)])
     texts = F.array(*[F.struct(*_verdict(r, rules)) for r in tested])
-    hits = df.select("*", F.explode(failed).alias("__i")).filter("__i is not null")
-    return hits.select(*shown, F.element_at(texts, F.col("__i")).alias("__v")).select("*", "__v.*").drop("__v")
+    hits = df.select("*", F.explode(failed).alias("__i")).filter("__i is not null").select(*shown, "__i")
+    if dup is not None:
+        # Findings of other rules match nothing; their second join key spreads them.
+        mine = F.col("__i") == len(fails)
+        spread = F.when(mine, 0).otherwise(1 + F.pmod(F.xxhash64(*LINEAGE), F.lit(skew.SALTS))).cast("int")
+        sure = known.select("__key", F.lit(0).alias("__salt"), F.lit(True).alias("__sure"))
+        hits = hits.withColumn("__salt", spread).join(sure, ["__key", "__salt"], "left")
+        hits = hits.filter(~mine | F.col("__sure")).drop("__key", "__salt", "__sure")
+    names = [c for c in hits.columns if c != "__i"]
+    return hits.select(*names, F.element_at(texts, F.col("__i")).alias("__v")).select(*names, "__v.*")
 
 
-def duplicate_row_count(df: DataFrame, rule: DuplicateRule) -> DataFrame:
-    """One row: how many rows sit in groups of more than one."""
+def _repeated(df: DataFrame, rule: DuplicateRule) -> DataFrame:
+    return profile.repeated_keys(df, rule.keys if rule.group_keys is None else rule.group_keys)
+
+
+def summary_metrics(rules: RuleSet) -> dict[str, Column]:
+    """What the summary counts over all rows, to be taken while these are written."""
+    return {"__total": F.count(F.lit(1)), **{f"__c{i}": F.count_if(r.summary_fails()) for i, r in enumerate(rules.rules)}}
+
+
+def duplicate_row_count(repeated: DataFrame, rule: DuplicateRule) -> DataFrame:
+    """One row: how many rows sit in groups of more than one, from the repeated ``summary_keys``."""
     if rule.summary_skips_null:
-        df = df.filter(rule.summary_keys[-1].isNotNull())
-    counts = skew.key_counts(_keyed(df, rule.summary_keys, drop_null=False), ["__key"])
-    return counts.agg(F.coalesce(F.sum(F.when(F.col("n_rows") > 1, F.col("n_rows"))), F.lit(0)).alias("__dup"))
+        repeated = repeated.filter(F.col("__key")[f"k{len(rule.summary_keys) - 1}"].isNotNull())
+    return repeated.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("__dup"))
 
 
-def dq_summary(df: DataFrame, rules: RuleSet, load_run_id: str = "run") -> DataFrame:
-    """Passed, failed and warning counts per rule."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("__total"),
-        *[F.count_if(r.summary_fails()).alias(f"__c{i}") for i, r in enumerate(rules.rules)],
-    )
+def dq_summary(
+    df: DataFrame, rules: RuleSet, load_run_id: str = "run", counts: Mapping[str, int] | None = None, repeated: DataFrame | None = None
+) -> DataFrame:
+    """Passed, failed and warning counts per rule.
+
+    ``counts`` (of ``summary_metrics``) and ``repeated`` (the repeated ``summary_keys``)
+    spare the passes over ``df`` where they are known.
+    """
+    if counts is None:
+        row = df.agg(*[c.alias(n) for n, c in summary_metrics(rules).items()])
+    else:
+        row = df.sparkSession.range(1).select(*[F.lit(counts[n]).cast("bigint").alias(n) for n in summary_metrics(rules)])
     position = {id(r): f"__c{i}" for i, r in enumerate(rules.rules)}
-    if rules.duplicate is not None:
-        counts = counts.crossJoin(duplicate_row_count(df, rules.duplicate))  # one row each
+    if (dup := rules.duplicate) is not None:
+        repeated = profile.repeated_keys(df, dup.summary_keys) if repeated is None else repeated
+        row = row.crossJoin(duplicate_row_count(repeated, dup))  # one row each
     entries = []
     for r in rules.all_rules():
         hits = F.col(position.get(id(r), "__dup")).cast("bigint")
@@ -193,7 +218,7 @@ def dq_summary(df: DataFrame, rules: RuleSet, load_run_id: str = "run") -> DataF
             )
         )
     return (
-        counts.select(F.explode(F.array(*entries)).alias("s"))
+        row.select(F.explode(F.array(*entries)).alias("s"))
         .select("s.*")
         .withColumns({"source_name": F.lit(rules.source_name), "load_run_id": F.lit(load_run_id)})
     )

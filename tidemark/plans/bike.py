@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.context import RunContext
 from tidemark.functions import clean, measures
+from tidemark.operators import profile, skew
 from tidemark.operators.dedup import dedup_first
 from tidemark.operators.incremental import in_window
-from tidemark.operators.rules import DuplicateRule, Rule, RuleSet, accept_rows
+from tidemark.operators.rules import DuplicateRule, Rule, RuleSet, accept_rows, accepted, summary_metrics
+from tidemark.session import materialize
 
 TRIP_FIELDS = [
     "ride_id",
@@ -318,14 +323,104 @@ def window_balance(raw: DataFrame, staged: DataFrame, rules: RuleSet, ts: Column
     return out.withColumn("difference", F.col("raw_rows") - parts)
 
 
-def stage_balance(raw: DataFrame, staged: DataFrame, rules: RuleSet, kind: str, ctx: RunContext) -> DataFrame:
-    """``window_balance`` of a feed: ``trips``, ``weather`` or ``stations``."""
+def balance_inputs(rules: RuleSet, kind: str, ctx: RunContext) -> tuple[Column, Column, Column]:
+    """Of a feed (``trips``, ``weather`` or ``stations``): whether a row is in the window, whether it is accepted, its key.
+
+    The window is judged by the column ``__ts``, as ``timed`` adds it.
+    """
+    if kind == "stations":
+        inside = F.lit(True)
+    else:
+        inside = F.coalesce(in_window("__ts", ctx.lset, ctx.cet, ctx.lookback_days), F.lit(False))
+        if kind == "trips" and ctx.month != "ALL":
+            inside = inside & F.coalesce(F.col("trip_month") == ctx.month, F.lit(False))
+    return inside, accepted(rules), F.struct(*_stage_key(kind))
+
+
+def timed(raw: DataFrame, kind: str) -> DataFrame:
+    """``raw`` with the time that decides the window as ``__ts``."""
+    if kind == "stations":
+        return raw
+    return raw.withColumn("__ts", clean.ts_seconds("started_at") if kind == "trips" else clean.ts_iso("observation_ts"))
+
+
+def _stage_key(kind: str) -> list[Column]:
     city = clean.blank_to_null("source_city_code")
     if kind == "trips":
-        return window_balance(raw, staged, rules, clean.ts_seconds("started_at"), [city, clean.blank_to_null("ride_id")], ctx)
+        return [city, clean.blank_to_null("ride_id")]
     if kind == "weather":
-        return window_balance(raw, staged, rules, clean.ts_iso("observation_ts"), [city, clean.ts_iso("observation_ts")], ctx)
-    return window_balance(raw, staged, rules, None, [city, clean.first_filled("short_name", "gbfs_station_id")], ctx)
+        return [city, clean.ts_iso("observation_ts")]
+    return [city, clean.first_filled("short_name", "gbfs_station_id")]
+
+
+def stage_balance(raw: DataFrame, staged: DataFrame, rules: RuleSet, kind: str, ctx: RunContext) -> DataFrame:
+    """``window_balance`` of a feed: ``trips``, ``weather`` or ``stations``."""
+    ts = {"trips": clean.ts_seconds("started_at"), "weather": clean.ts_iso("observation_ts")}.get(kind)
+    return window_balance(raw, staged, rules, ts, _stage_key(kind), ctx)
+
+
+@dataclass(frozen=True)
+class Staged:
+    """Staged rows, the counts taken while they were written, and the profile of what was landed."""
+
+    rows: DataFrame
+    counts: Mapping[str, int]
+    profile: DataFrame
+
+    def repeated(self) -> DataFrame:
+        """The repeated keys of the duplicate rule."""
+        return profile.repeated(self.profile, "copies")
+
+    def fingerprints(self) -> DataFrame:
+        return profile.fingerprints(self.profile)
+
+
+def stage_measured(landed: DataFrame, kind: str, rules: RuleSet, ctx: RunContext) -> Staged:
+    """Stage a feed (``trips``, ``weather`` or ``stations``) and measure it, in two passes over the landed rows.
+
+    The first pass writes the staged rows and counts, on its way, what summary, load counts
+    and balance need. The second groups keys and files. Only the findings need a third.
+    """
+    if kind == "trips":
+        load = lambda df: stage_trips(df, rules, ctx)
+    else:
+        load = lambda df: (stage_weather if kind == "weather" else stage_stations)(df, ctx, rules)
+    inside, fine, key = balance_inputs(rules, kind, ctx)
+    offered = F.lit(True) if kind == "stations" else in_window("__ts", ctx.lset, ctx.cet, ctx.lookback_days)
+    timed_rows = timed(landed, kind)
+    metrics = {
+        **summary_metrics(rules),
+        "offered": F.count_if(F.coalesce(offered, F.lit(False))),
+        "accepted_rows": F.count_if(fine),
+        "outside_rows": F.count_if(fine & ~inside),
+    }
+    rows, counts = profile.measured(timed_rows, metrics, lambda df: materialize(load(df), f"staged-{kind}"))
+    dup = rules.duplicate
+    keys = {"copies": skew.struct_key(dup.keys if dup.group_keys is None else dup.group_keys), "staged": F.when(fine & inside, key)}
+    lineage = [c for c in (*LINEAGE_COLUMNS, "__ts") if c in timed_rows.columns]
+    return Staged(rows, {**counts, "raw_rows": counts["__total"]}, materialize(profile.profile(timed_rows, keys, lineage), "profile"))
+
+
+# What a landed row says of its load, not of its source.
+LINEAGE_COLUMNS = ("raw_loaded_at", "load_run_id", "source_row_number")
+
+
+def measured_balance(staged: Staged, rules: RuleSet) -> DataFrame:
+    """``window_balance`` of a measured load; duplicates come from the repeated keys of accepted rows in the window."""
+    repeated = profile.repeated(staged.profile, "staged")
+    spare = repeated.agg(F.coalesce(F.sum(F.col("n_rows") - 1), F.lit(0)).alias("duplicate_rows"))
+    one = spare.crossJoin(staged.rows.agg(F.count(F.lit(1)).alias("staged_rows")))  # one row each
+    known = {c: F.lit(staged.counts[c]).cast("bigint") for c in ("raw_rows", "accepted_rows", "outside_rows")}
+    out = one.withColumns(known).select(
+        F.lit(rules.source_name).alias("source_name"),
+        "raw_rows",
+        "staged_rows",
+        "duplicate_rows",
+        (F.col("raw_rows") - F.col("accepted_rows")).alias("rejected_rows"),
+        "outside_rows",
+    )
+    parts = F.col("staged_rows") + F.col("duplicate_rows") + F.col("rejected_rows") + F.col("outside_rows")
+    return out.withColumn("difference", F.col("raw_rows") - parts)
 
 
 def stage_weather(raw: DataFrame, ctx: RunContext, rules: RuleSet | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.context import RunContext
-from tidemark.functions import clean, measures
+from tidemark.functions import measures
 from tidemark.operators import audit, cdc, dims, flow, incremental, keyindex, leakage, lookup, match, reconcile, rules, scd, upsert
 from tidemark.operators.dedup import union_all
 from tidemark.plans import bike, loads
@@ -197,32 +197,19 @@ def stage(wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext, pushes:
         days = 0 if kind == "stations" else ctx.lookback_days
         window = incremental.read_watermark(control, rule_set.source_name, table, ctx)
         window = window.with_watermark(min(window.lset, window.cet), days)
+        staged = bike.stage_measured(landed, kind, rule_set, window)
         if kind == "trips":
-            staged = bike.stage_trips(landed, rule_set, window)
-            in_run = incremental.in_window("__ts", window.lset, window.cet, days)
-            offered = landed.withColumn("__ts", clean.ts_seconds("started_at"))
-        elif kind == "weather":
-            staged = bike.stage_weather(landed, window, rule_set)
-            in_run = incremental.in_window("__ts", window.lset, window.cet, days)
-            offered = landed.withColumn("__ts", clean.ts_iso("observation_ts"))
-        else:
-            staged, in_run, offered = bike.stage_stations(landed, window, rule_set), F.lit(True), landed
-        name = "trips" if kind == "trips" else kind
-        part = materialize(staged, f"staged-{name}")
-        if kind == "trips":
-            staged_trips.append(part)
+            staged_trips.append(staged.rows)
         else:
             pushed = kind == "stations" and pushes is not None
-            wh.write(f"stg_{kind}", bike.with_pushes(part, pushes, window) if pushed else part)
-        replace_run(rules.dq_details(landed, rule_set), f"{wh.root}/dq_details/{rule_set.source_name}")
-        summaries.append(rules.dq_summary(landed, rule_set, ctx.load_run_id))
-        counts = audit.load_counts(offered, part, rule_set.source_name, table, F.coalesce(in_run, F.lit(False)))
-        runs.append(counts)
-        balances.append(bike.stage_balance(landed, part, rule_set, kind, window))
-        lineage = ["raw_loaded_at", "load_run_id", "source_row_number"]
-        prints.append(
-            cdc.fingerprint(landed, ["source_file"], lineage).withColumn("source_name", F.lit(rule_set.source_name))
-        )
+            wh.write(f"stg_{kind}", bike.with_pushes(staged.rows, pushes, window) if pushed else staged.rows)
+        # The third and last pass over the landed rows.
+        findings = rules.dq_details(landed, rule_set, repeated=staged.repeated())
+        replace_run(findings, f"{wh.root}/dq_details/{rule_set.source_name}")
+        summaries.append(rules.dq_summary(landed, rule_set, ctx.load_run_id, staged.counts, staged.repeated()))
+        runs.append(audit.load_counts(staged.counts["offered"], staged.rows, rule_set.source_name, table))
+        balances.append(bike.measured_balance(staged, rule_set))
+        prints.append(staged.fingerprints().withColumn("source_name", F.lit(rule_set.source_name)))
     # Trips that wait for their master are offered again; a newer version wins.
     fresh = union_all(*staged_trips)
     waiting = wh.before("backlog").join(fresh, ["source_city_code", "ride_id"], "left_anti")
