@@ -29,7 +29,7 @@ from tidemark.functions import clean
 from tidemark.operators import audit, cdc, dedup, flow, incremental, lookup, rules, upsert
 from tidemark.plans import bike, landing
 from tidemark.session import materialize, scratch_path
-from tidemark.sources import files, sinks
+from tidemark.sources import files, jsonarray, sinks
 from tidemark.streaming import changes, rides, state, trips
 
 # ---- sources ----
@@ -88,6 +88,34 @@ def _(t: Tables):
     return files.read_json_feed(t.spark, path).select("station_id", "name", "capacity", "lat")
 
 
+@check(
+    "src_json_array",
+    f"select o_orderkey as order_key, o_orderpriority as priority, {num('o_totalprice')} as price, o_custkey as customer from orders",
+)
+def _(t: Tables):
+    """One document with all orders in an array, read by ranges; the priorities end in a brace and a quote there."""
+    path = scratch_path(t.spark, "document")
+    order = F.struct(
+        F.col("o_orderkey").alias("order_key"),
+        F.concat(F.col("o_orderpriority"), F.lit('}{"')).alias("priority"),
+        F.struct(F.col("o_totalprice").cast("double").alias("price"), F.struct(F.col("o_custkey").alias("id")).alias("by")).alias("sold"),
+    )
+    first = t.orders.agg(F.min("o_orderkey").alias("first"))  # one row
+    lead = F.when(F.col("o_orderkey") == F.col("first"), F.lit("")).otherwise(F.lit(","))
+    rows = t.orders.crossJoin(first).select(F.col("o_orderkey").alias("at"), F.concat(lead, F.to_json(order)).alias("value"))
+    edges = [(-1, '{"orders": [{"order_key": 0}], "data": {"count": 1, "orders": ['), (1 << 62, "]}}")]
+    every = rows.unionByName(t.spark.createDataFrame(edges, "at bigint, value string"))
+    every.repartition(1).sortWithinPartitions("at").select("value").write.text(path)
+    schema = "order_key bigint, priority string, sold struct<price: double, by: struct<id: bigint>>"
+    found = jsonarray.read_json_array(t.spark, path, schema, "data.orders")
+    return found.select(
+        "order_key",
+        F.regexp_replace("priority", r'\}\{"$', "").alias("priority"),
+        F.col("sold.price").alias("price"),
+        F.col("sold.by.id").alias("customer"),
+    )
+
+
 @check(
     "src_jsonl",
     "select event_id::varchar as event_id, event_type, json_extract_string(props, '$.k') as k,"
