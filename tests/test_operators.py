@@ -548,11 +548,29 @@ def test_fuzzy_match_equals_all_pairs(spark):
             prev = line
         return prev[-1]
 
-    for limit in (1, 2):
-        got = match.fuzzy_match(df, df, "city", "name", "name", limit)
+    for limit, long_name in ((1, 32), (2, 32), (1, 0), (2, 0), (3, 0), (2, 3)):
+        got = match.fuzzy_match(df, df, "city", "name", "name", limit, long_name)
         want = {(a, b, distance(a, b)) for a in names for b in names if distance(a, b) <= limit}
         assert rows(got, "left_name", "right_name", "distance") == sorted(want, key=repr)
 
+    # Long names with up to four edits, a few of them in many places; the number of signatures is small.
+    base = ["".join(rnd.choice("abcdefgh") for _ in range(200)) for _ in range(6)]
+    long_names = list(base)
+    for text in base:
+        for edits in (1, 2, 3, 4):
+            chars = list(text)
+            for _ in range(edits):
+                at, kind = rnd.randrange(len(chars)), rnd.randrange(3)
+                chars[at : at + (kind != 1)] = [] if kind == 0 else ["z"]
+            long_names.append("".join(chars))
+    df = spark.createDataFrame([("c", n) for n in long_names], "city string, name string")
+    for limit in (1, 2, 3):
+        got = match.fuzzy_match(df, df, "city", "name", "name", limit)
+        want = {(a, b, distance(a, b)) for a in long_names for b in long_names if distance(a, b) <= limit}
+        assert rows(got, "left_name", "right_name", "distance") == sorted(want, key=repr)
+    sizes = df.select(F.size(match.met_segments(F.col("name"), 2)).alias("n"), F.size(match.own_segments(F.col("name"), 2)).alias("m"))
+    assert sizes.agg(F.max("n"), F.max("m")).first()[:] <= (25, 3)
+
 
 def test_shared_names_do_not_multiply(spark):
     master = spark.createDataFrame([("c", f"m{i:03}", "Same Name") for i in range(50)], "city string, mid string, mname string")

@@ -1019,6 +1019,24 @@ def _(t: Tables):
     return match.fuzzy_match(t.part, t.part, "p_size", "p_name", "p_name", max_distance=2)
 
 
+LONG_NAMES = (
+    "select distinct p_size, regexp_replace(lower(case when p_partkey % 3 = 1 then 'z' else '' end || repeat(p_name, 9)"
+    " || case when p_partkey % 4 = 2 then 'y' else '' end), '[^a-z0-9]+', '', 'g') as name from part"
+)
+
+
+@check(
+    "em_fuzzy_long",
+    f"select l.p_size, l.name as left_name, r.name as right_name, levenshtein(l.name, r.name) as distance from"
+    f" ({LONG_NAMES}) l join ({LONG_NAMES}) r on l.p_size = r.p_size where levenshtein(l.name, r.name) <= 2",
+)
+def _(t: Tables):
+    """Names of sixty to a hundred characters, some matched by deletions, some by segments, some by both."""
+    edge = lambda n, k, c: F.when(F.col("p_partkey") % n == k, c).otherwise("")
+    parts = t.part.select("p_size", F.concat(edge(3, 1, "z"), F.repeat("p_name", 9), edge(4, 2, "y")).alias("long_name"))
+    return match.fuzzy_match(parts, parts, "p_size", "long_name", "long_name", max_distance=2)
+
+
 # ---- leakage, reconciliation, audit ----
 
 TRAIN_END, VALID_END, TEST_END = datetime(2024, 3, 1), datetime(2024, 4, 1), datetime(2024, 5, 1)

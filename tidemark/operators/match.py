@@ -89,6 +89,56 @@ def deletion_variants(text: Column, distance: int) -> Column:
     return out
 
 
+# Longer names are matched by segments: their deletion variants would be too many.
+LONG_NAME = 64
+
+
+def _segment(length: Column, i: Column, parts: int) -> tuple[Column, Column]:
+    """Start (from 0) and length of segment ``i`` of a text cut into ``parts`` even segments, the longer ones last."""
+    base, first_longer = F.floor(length / parts).cast("int"), parts - length % parts
+    return base * i + F.greatest(i - first_longer, F.lit(0)), base + (i >= first_longer).cast("int")
+
+
+def _named(length: Column, i: Column, piece: Column) -> Column:
+    # The colons keep it apart from normalised names, which have none.
+    return F.concat(length.cast("string"), F.lit(":"), i.cast("string"), F.lit(":"), piece)
+
+
+def own_segments(text: Column, distance: int) -> Column:
+    """The ``distance`` + 1 segments of a text, each with its number and the length of the text."""
+
+    def one(i: Column) -> Column:
+        start, size = _segment(F.length(text), i, distance + 1)
+        return _named(F.length(text), i, F.substring(text, start + 1, size))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(distance)), one)
+
+
+def met_segments(text: Column, distance: int) -> Column:
+    """Pieces of a text that are a segment of every text within the distance: of one of its lengths, near its place.
+
+    Of the segments of another text at least one stays whole under ``distance`` edits. The
+    i-th can have moved by at most i places if all edits before it count against it, and by
+    what is left for those after it. The number of pieces does not depend on the length.
+    """
+    places = [
+        (longer, i, shift)  # how much longer this text is than the other, the segment, how far it moved
+        for longer in range(-distance, distance + 1)
+        for i in range(distance + 1)
+        for shift in range(max(-i, longer - (distance - i)), min(i, longer + (distance - i)) + 1)
+    ]
+
+    def one(p: Column) -> Column:
+        length = F.length(text) - p["longer"]
+        start, size = _segment(length, p["i"], distance + 1)
+        at = start + p["shift"]
+        fits = (length >= 0) & (at >= 0) & (at + size <= F.length(text))
+        return F.when(fits, _named(length, p["i"], F.substring(text, at + 1, size)))
+
+    known = F.expr("array(" + ", ".join(f"named_struct('longer', {a}, 'i', {b}, 'shift', {c})" for a, b, c in places) + ")")
+    return F.array_distinct(F.array_compact(F.transform(known, one)))
+
+
 def fuzzy_match(
     left: DataFrame,
     right: DataFrame,
@@ -96,23 +146,32 @@ def fuzzy_match(
     left_name: str,
     right_name: str,
     max_distance: int = 1,
+    long_name: int = LONG_NAME,
 ) -> DataFrame:
     """Distinct normalised names of a block within an edit distance, exactly.
 
-    Two names at distance d share a text after removing at most d characters from each,
-    so the names are joined on those variants and then checked. No pair of a block is
-    formed unless it shares a variant, and repeated names are reduced first.
+    Two names at distance d share a text after removing at most d characters from each, and
+    one of the d + 1 segments of the one lies unchanged in the other. Names up to
+    ``long_name`` characters are joined on the first, longer ones on the second, so that a
+    name has few signatures whatever its length; those on the border have both. Pairs are
+    then checked. No pair of a block is formed unless it shares a signature, and repeated
+    names are reduced first.
     """
 
-    def variants(df: DataFrame, name: str, out: str) -> DataFrame:
+    def signed(df: DataFrame, name: str, out: str, segments) -> DataFrame:
         names = df.select(block, normalize_name(name).alias(out)).filter(F.col(out).isNotNull()).distinct()
-        return names.withColumn("__v", F.explode(deletion_variants(F.col(out), max_distance)))
-
-    pairs = variants(left, left_name, "left_name").join(variants(right, right_name, "right_name"), [block, "__v"])
-    distance = F.levenshtein("left_name", "right_name")
+        size, text = F.length(out), F.col(out)
+        none = F.array().cast("array<string>")
+        short = F.when(size <= long_name + max_distance, deletion_variants(text, max_distance)).otherwise(none)
+        long_ = F.when(size > long_name, segments(text, max_distance)).otherwise(none)
+        return names.withColumn("__v", F.explode(F.concat(short, long_)))
+
+    one, other = signed(left, left_name, "left_name", own_segments), signed(right, right_name, "right_name", met_segments)
+    distance = F.levenshtein("left_name", "right_name", max_distance)  # -1 beyond
     return (
-        pairs.withColumn("distance", distance)
-        .filter(F.col("distance") <= max_distance)
+        one.join(other, [block, "__v"])
+        .withColumn("distance", distance)
+        .filter("distance >= 0")
         .select(block, "left_name", "right_name", "distance")
         .distinct()
     )
