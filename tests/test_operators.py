@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.checks.views import Tables
-from tidemark.operators import cdc, incremental, keys, lookup, match, ordered, profile, ranged, rules, scd, skew, upsert
+from tidemark.operators import cdc, incremental, keys, lookup, match, ordered, profile, ranged, rules, scd, skew, snapshots, upsert
 from tidemark.operators.dedup import dedup_best, dedup_first
 from tidemark.plans import bike
 from tidemark.session import materialize, scratch_path
@@ -631,3 +631,42 @@ def test_window_bounds(spark):
     span = (datetime(2024, 1, 10), datetime(2024, 1, 20))
     assert rows(incremental.incremental(df, "t", *span), "t") == [(at[3],)]
     assert rows(incremental.incremental(df, "t", *span, lookback_days=3), "t") == sorted([(t,) for t in at[1:4]], key=repr)
+
+
+# ---- snapshots ----
+
+
+def test_unchanged_snapshots_are_compared_by_digests(spark):
+    data = [(i, f"c{i % 7}", None if i % 5 == 0 else float(i)) for i in range(500)]
+    kind = "id int, city string, value double"
+    rows_ = spark.createDataFrame(data, kind)
+    old = snapshots.write_snapshot(rows_, scratch_path(spark, "snap"), ["id"], 32)
+    # Another order of rows and columns is the same snapshot.
+    again = snapshots.write_snapshot(rows_.orderBy(F.desc("id")).select("value", "id", "city"), scratch_path(spark, "snap"), ["id"], 32)
+    assert snapshots.changed_buckets(old, again) == []
+    same = snapshots.diff_snapshots(old, again, ["city", "value"])
+    assert same.inputFiles() == [] and same.count() == 0 and snapshots.deleted_rows(old, again).count() == 0
+
+    changed = [(i, "new" if i == 17 else c, v) for i, c, v in data if i != 401] + [(999, "c", 1.0)]
+    new = snapshots.write_snapshot(spark.createDataFrame(changed, kind), scratch_path(spark, "snap"), ["id"], 32)
+    hit = {r[0] for r in rows_.unionByName(spark.createDataFrame(changed, kind)).filter("id in (17, 401, 999)").select(F.pmod(F.xxhash64("id"), F.lit(32))).collect()}
+    assert set(snapshots.changed_buckets(old, new)) == hit
+    found = snapshots.diff_snapshots(old, new, ["city", "value"])
+    assert {int(f.partition("key_bucket=")[2].partition("/")[0]) for f in found.inputFiles()} == hit
+    assert rows(found, "id", "change_type", "changed_columns") == sorted(
+        [(17, "CHANGED", "city"), (401, "DELETED", ""), (999, "INSERTED", "")], key=repr
+    )
+    assert rows(snapshots.deleted_rows(old, new), "id") == [(401,)]
+    assert old.rows().count() == 500
+
+
+def test_a_repeated_row_changes_the_digest(spark):
+    one = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    two = one.unionByName(one.filter("id = 1")).unionByName(one.filter("id = 1"))
+    a, b = (snapshots.write_snapshot(df, scratch_path(spark, "snap"), ["id"], 4) for df in (one, two))
+    assert len(snapshots.changed_buckets(a, b)) == 1
+    empty = snapshots.write_snapshot(one.limit(0), scratch_path(spark, "snap"), ["id"], 4)
+    assert rows(snapshots.deleted_rows(a, empty), "id") == [(1,), (2,)] and snapshots.changed_buckets(empty, empty) == []
+    other = snapshots.write_snapshot(one, scratch_path(spark, "snap"), ["id"], 8)
+    with pytest.raises(ValueError, match="laid out"):
+        snapshots.changed_buckets(a, other)

@@ -11,9 +11,9 @@ from tidemark.checks.registry import check
 from tidemark.checks.views import CTX, FIRST_LOAD, SECOND_LOAD, Tables, day, num, ts
 from tidemark.functions import measures
 from tidemark.operators import audit, cdc, dedup, dims, flow, incremental, keyindex, keys, leakage, lookup, match, reconcile, rules
-from tidemark.operators import scd, upsert
+from tidemark.operators import scd, snapshots, upsert
 from tidemark.plans import bike, loads
-from tidemark.session import materialize
+from tidemark.session import materialize, scratch_path
 
 GRAIN = flow.GRAIN
 FIRST = "timestamp '2024-01-20 00:00:00'"
@@ -939,13 +939,16 @@ def _(t: Tables):
     return cdc.detect_deleted(source, t.orders, ["o_orderkey"]).select("o_orderkey", "o_custkey")
 
 
-@check(
-    "cdc_row_hash",
-    """select coalesce(a.ride_id, b.ride_id) as ride_id, coalesce(a.city_sk, b.city_sk) as city_sk,
+ROW_DIFF = """select coalesce(a.ride_id, b.ride_id) as ride_id, coalesce(a.city_sk, b.city_sk) as city_sk,
   case when a.ride_id is null then 'INSERTED' when b.ride_id is null then 'DELETED' else 'CHANGED' end as change_type,
   case when a.ride_id is null or b.ride_id is null then '' else 'rideable_type' end as changed_columns
 from first_load a full join second_load b on a.city_sk = b.city_sk and a.ride_id = b.ride_id
-where a.ride_id is null or b.ride_id is null or a.rideable_type is distinct from b.rideable_type""",
+where a.ride_id is null or b.ride_id is null or a.rideable_type is distinct from b.rideable_type"""
+
+
+@check(
+    "cdc_row_hash",
+    ROW_DIFF,
     **LOADS,
 )
 def _(t: Tables):
@@ -953,6 +956,26 @@ def _(t: Tables):
     return cdc.diff_rows(first, second, TRIP_KEY, ["rideable_type", "start_station_id"])
 
 
+@check("cdc_snapshot_diff", ROW_DIFF, **LOADS)
+def _(t: Tables):
+    """The same between stored snapshots, by the buckets whose digests differ."""
+    stored = [
+        snapshots.write_snapshot(load.select(*TRIP_KEY, "rideable_type", "start_station_id"), scratch_path(t.spark, "snapshot"), TRIP_KEY, 64)
+        for load in two_loads(t)
+    ]
+    return snapshots.diff_snapshots(*stored, ["rideable_type", "start_station_id"])
+
+
+@check("cdc_snapshot_deleted", "select o_orderkey, o_custkey from orders where o_orderkey % 911 = 7")
+def _(t: Tables):
+    """Rows that the second snapshot lacks."""
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    old = snapshots.write_snapshot(orders, scratch_path(t.spark, "snapshot"), ["o_orderkey"], 64)
+    left = orders.filter("o_orderkey % 911 <> 7").orderBy(F.desc("o_custkey"))
+    new = snapshots.write_snapshot(left, scratch_path(t.spark, "snapshot"), ["o_orderkey"], 64)
+    return snapshots.deleted_rows(old, new)
+
+
 @check(
     "cdc_schema_drift",
     "select 'ts' as column_name, 'RETYPED' as problem, 'timestamp -> timestamp_ntz' as detail, count(*) as row_count"
