@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.context import RunContext
 from tidemark.operators import flow
 from tidemark.plans import bike, kpi, loads, warehouse
-from tidemark.session import scratch_path
+from tidemark.session import list_names, scratch_path, work_dir
 
 TRIPS = [
     ("CHI_RIDE_001", "classic_bike", "08:05", "08:20", "CHI10001", "CHI10002", "member", "CHI"),
@@ -100,6 +100,28 @@ def test_first_load_gives_the_hand_computed_fact(first):
     assert float(empty["temperature"]) == 0.0
     assert {r["status"] for r in wh.now("control").collect()} == {"SUCCESS"}
     assert {r["change_type"] for r in wh.now("changes").collect()} == {"NEW"}
+    checks = {r["check_name"]: r["bad_rows"] for r in wh.now("fact_checks").collect()}
+    assert len(checks) == 7 and set(checks.values()) == {0}
+    star = wh.now("control").filter("source_name = 'star'").first()
+    assert (star["lset"], star["cet"], star["row_count"]) == (datetime(2026, 2, 16), datetime(2026, 2, 16), 9)
+
+
+def test_a_run_leaves_no_scratch(spark, first):
+    """Staging and intermediate results of the first run are gone."""
+    assert not [n for n in list_names(spark, work_dir(spark)) if n.startswith("run-")]
+    assert not any(list_names(spark, first[0].path(n)) for n in ("stg_trips", "stg_weather", "stg_stations"))
+
+
+def test_leakage_over_training_periods(spark):
+    wh = warehouse.Warehouse(spark, scratch_path(spark, "wh"), "r1")
+    at = lambda h, m=0: datetime(2026, 2, 15, h, m)
+    run = RunContext("r1", at(23), cet=datetime(2026, 2, 16), lset=datetime(2026, 1, 1), splits=(at(8, 21), at(8, 21), at(12)))
+    warehouse.stage(wh, raw(spark), run)
+    warehouse.assess(wh, run)
+    got = {(r["source_name"], r["rule_code"]): (r["checked_count"], r["leak_count"], r["status"]) for r in wh.now("leakage").collect()}
+    assert got["trips", "TRIP_END_CROSSES_TRAIN_CUTOFF"] == (8, 2, "WARNING")
+    assert got["mining_split", "TEMPORAL_SPLIT_ORDER"] == (1, 1, "FAIL")
+    assert got["trips", "FUTURE_RECORD_AFTER_ETL_CUTOFF"] == (8, 0, "PASS")
 
 
 def test_kpis_of_the_first_load(first):

@@ -23,6 +23,8 @@ class RunContext:
     lset: datetime = DEFAULT_LSET
     lookback_days: int = DEFAULT_LOOKBACK_DAYS
     month: str = "ALL"
+    # Ends of the training, validation and test periods, where a run checks for leakage.
+    splits: tuple[datetime, datetime, datetime] | None = None
 
     @classmethod
     def start(cls, now: datetime, **over) -> RunContext:

@@ -21,7 +21,7 @@ from tidemark.functions import measures
 from tidemark.operators import audit, cdc, dims, flow, incremental, keyindex, leakage, lookup, match, reconcile, rules, scd, upsert
 from tidemark.operators.dedup import union_all
 from tidemark.plans import bike, loads
-from tidemark.session import materialize
+from tidemark.session import delete, materialize, run_folder
 from tidemark.sources.sinks import replace_run, write_replace
 
 SCHEMAS = {
@@ -306,7 +306,9 @@ def publish(wh: Warehouse, ctx: RunContext, missing_weather: str = "zero") -> Da
     """Dimensions and the touched part of the fact; gives the reconciliation report."""
     city, station, weather = (wh.now(n) for n in ("city", "station", "weather"))
     wh.write("dim_city", upsert.upsert(wh.before("city"), city, ["city_code"]))
-    dim = wh.write("dim_station", loads.load_dim_station(wh.before("dim_station"), station, ctx.lset, ctx.cet))
+    # The star has a watermark of its own: it takes up what changed since its last success.
+    own = incremental.read_watermark(wh.before("control"), *STAR, ctx)
+    dim = wh.write("dim_station", loads.load_dim_station(wh.before("dim_station"), station, min(own.lset, ctx.lset), ctx.cet))
     grains = wh.now("grains").unionByName(moved_grains(wh, dim)).distinct()
     grains = materialize(grains, "grains")
     trips = wh.now("trip", grains)
@@ -335,7 +337,25 @@ def publish(wh: Warehouse, ctx: RunContext, missing_weather: str = "zero") -> Da
     target = upsert.delete_matching(target, emptied, loads.FACT_KEY)
     wh.replace_months("fact", loads.load_fact(target, rows), touched)
     log_counts(wh, ctx, "publish", audit.candidate_counts({"grain": grains, "fact": rows}, emptied))
-    return reconcile_window(wh, ctx)
+    verify(wh, touched)
+    report = reconcile_window(wh, ctx)
+    advance_star(wh, ctx, rows)
+    return report
+
+
+def advance_star(wh: Warehouse, ctx: RunContext, rows: DataFrame) -> None:
+    """The last step of a run: the star's watermark moves to its extraction time."""
+    control = materialize(wh.now("control"), "control")
+    stamp = F.lit(str(ctx.cet)).cast("timestamp_ntz")
+    done = rows.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(STAR[0]).alias("source_name"),
+        F.lit(STAR[1]).alias("table_name"),
+        stamp.alias("cet"),
+        F.lit("SUCCESS").alias("status"),
+        "row_count",
+        F.lit(ctx.lookback_days).alias("lookback_days"),
+    )
+    wh.write("control", incremental.advance_watermark(control, done))
 
 
 def reconcile_window(wh: Warehouse, ctx: RunContext) -> DataFrame:
@@ -364,14 +384,17 @@ def reconcile_window(wh: Warehouse, ctx: RunContext) -> DataFrame:
 
 
 def cleanup(wh: Warehouse) -> None:
-    """Staged trips that reached the normalised layer leave staging; the others stay for the next run."""
-    staged = wh.now("stg_trips")
-    kept = upsert.matching(staged, wh.now("backlog"), ["source_city_code", "ride_id"])
-    wh.write("stg_left", kept)
+    """Staging of the run is freed; trips that wait for their master stay, as the backlog."""
+    for name in ("stg_trips", "stg_weather", "stg_stations"):
+        delete(wh.spark, wh.path(name))
 
 
 def assess(wh: Warehouse, ctx: RunContext) -> None:
-    """Match the station names of the staged trips with the master, and look for rows from the future."""
+    """Match the station names of the staged trips with the master, and check for leakage.
+
+    Rows from the future are looked for always; trips across the end of training, and the
+    order of the periods, where the context names these.
+    """
     trips = wh.now("stg_trips")
     legs = [{"id": f"{end}_station_id", "name": f"{end}_station_name"} for end in ("start", "end")]
     found = match.entities(trips, legs, ["source_city_code"])
@@ -382,17 +405,50 @@ def assess(wh: Warehouse, ctx: RunContext) -> None:
         leakage.leak_future(trips, "started_at", ctx.cet, "trips"),
         leakage.leak_future(wh.now("stg_weather"), "observation_ts", ctx.cet, "weather"),
     ]
+    if ctx.splits is not None:
+        ends = ("train_end", "valid_end", "test_end")
+        cutoffs = wh.spark.range(1).select(*[F.lit(str(t)).cast("timestamp_ntz").alias(n) for n, t in zip(ends, ctx.splits)])
+        checks.append(leakage.leak_crosses(trips, "started_at", "ended_at", ctx.splits[0], "trips"))
+        checks.append(leakage.leak_split_order(cutoffs))
     wh.write("leakage", leakage.leak_status(union_all(*checks)))
 
 
+def verify(wh: Warehouse, months: DataFrame) -> DataFrame:
+    """Identities of the fact in the months that the run wrote: check_name, bad_rows."""
+    fact = wh._monthly("fact", wh.index("fact", wh.run).join(months.toDF("month"), "month", "left_semi"))
+    counts = ("trips_started", "trips_ended", "member_trip_count", "casual_trip_count", "electric_trip_count", "classic_trip_count")
+    negative = F.lit(False)
+    for c in counts:
+        negative = negative | (F.col(c) < 0)
+    known = F.col("member_trip_count") + F.col("casual_trip_count")
+    rows = rules.check_constraints(
+        fact,
+        {
+            "null key": F.col("station_sk").isNull() | F.col("datetime_sk").isNull() | F.col("weather_condition_sk").isNull(),
+            "net flow": F.col("net_flow") != F.col("trips_ended") - F.col("trips_started"),
+            "imbalance": F.col("abs_imbalance") != F.abs("net_flow"),
+            "riders": known > F.col("trips_started"),
+            "negative count": negative,
+            "average without trips": (F.col("member_trip_count") == 0) & F.col("avg_duration_member_minutes").isNotNull()
+            | (F.col("casual_trip_count") == 0) & F.col("avg_duration_casual_minutes").isNotNull(),
+        },
+    )
+    return wh.write("fact_checks", rows.unionByName(rules.check_unique(fact, loads.FACT_KEY, "repeated key")))
+
+
+STAR = ("star", "fact")
+
+
 def daily_run(
     wh: Warehouse, raw: Mapping[str, DataFrame], ctx: RunContext, pushes: DataFrame | None = None
 ) -> DataFrame:
-    stage(wh, raw, ctx, pushes)
-    assess(wh, ctx)
-    normalise(wh, ctx)
-    report = publish(wh, ctx)
-    cleanup(wh)
+    """All steps; what they leave behind for each other is deleted at the end."""
+    with run_folder(wh.spark):
+        stage(wh, raw, ctx, pushes)
+        assess(wh, ctx)
+        normalise(wh, ctx)
+        report = publish(wh, ctx)
+        cleanup(wh)
     return report
 
 

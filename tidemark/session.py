@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,9 +51,27 @@ def work_dir(spark: SparkSession) -> str:
     return base
 
 
+_RUN = ContextVar("tidemark_run", default="")
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Intermediate results of the block go to a folder of their own, deleted when it ends.
+
+    What the block returns must not read them any more.
+    """
+    folder = f"{work_dir(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        delete(spark, folder)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below the shared work folder."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name below the shared work folder, or that of the current run."""
+    return f"{_RUN.get() or work_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
