@@ -9,8 +9,10 @@ from tidemark.checks.registry import check
 from tidemark.checks.views import Tables
 from tidemark.functions.measures import ratio
 from tidemark.operators.ordered import rank_rows
+from tidemark.plans import cells
 from tidemark.plans import cube as olap
 from tidemark.plans import kpi
+from tidemark.session import scratch_path
 
 # ---- cube over the bike star, and over the order tables ----
 
@@ -174,6 +176,26 @@ def _(t: Tables):
     return olap.cube_all(orders_cube(t), ["region", "band", "year"])
 
 
+@check(
+    "olap_cells_daily",
+    "select case when grouping(region) = 1 then 'All' else region end as region, case when grouping(band) = 1 then 'All'"
+    " else band end as band, case when grouping(year) = 1 then 'All' else year::varchar end as year,"
+    f" {ORDER_SUMS} from ({ORDER_STAR}) s group by cube (region, band, year)",
+)
+def _(t: Tables):
+    """The cube of all orders from cells kept by load: two loads, a correction of a tenth of the rows, a fold between."""
+    star = orders_cube(t).star
+    kept = cells.cells_of(star, scratch_path(t.spark, "cells"), ["region", "band", "year"], ["revenue", "orders"])
+    tenth = F.col("customer") % 10 == 3
+    wrong = star.withColumns({"revenue": F.when(tenth, F.col("revenue") + 5).otherwise(F.col("revenue")).cast("decimal(18,2)"),
+                              "year": F.when(tenth, F.col("year") - 1).otherwise(F.col("year"))})
+    kept.add(1, wrong.filter("month <= 6"))
+    kept.add(2, star.filter("month > 6"))
+    kept.fold()
+    kept.add(3, star.filter(tenth & (F.col("month") <= 6)), wrong.filter(tenth & (F.col("month") <= 6)))
+    return olap.cube_all(kept.cube(), ["region", "band", "year"])
+
+
 # ---- KPIs; the thresholds fit the sparse synthetic trips ----
 
 SETTINGS = kpi.KpiSettings(serious=2, depleted_hours=2)

@@ -61,13 +61,18 @@ def latest(spark: SparkSession, path: str, keys: Sequence[str], schema: StructTy
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str], schema: StructType) -> int | None:
     """Folds all changes so far into a new base; gives its last batch, or None if there was nothing new."""
+    return fold(spark, path, schema, lambda seen: dedup_first(seen, keys, [F.desc(BATCH)]))
+
+
+def fold(spark: SparkSession, path: str, schema: StructType, merge: Callable[[DataFrame], DataFrame]) -> int | None:
+    """``compact`` with ``merge`` to put the changes together; it gives rows of the same columns."""
     seen = changes(spark, path, schema)
     bases = _bases(spark, path)
     upto = seen.agg(F.max(BATCH)).first()[0]
     if upto is None or (bases and upto <= bases[-1]):
         return None
-    folded = dedup_first(seen.filter(F.col(BATCH) <= upto), keys, [F.desc(BATCH)])
-    folded.write.mode("overwrite").parquet(f"{path}/base-{upto}")
+    folded = merge(seen.filter(F.col(BATCH) <= upto)).withColumn(BATCH, F.lit(upto).cast("long"))
+    folded.select(*seen.columns).write.mode("overwrite").parquet(f"{path}/base-{upto}")
     for base in bases:
         delete(spark, f"{path}/base-{base}")
     for name in list_names(spark, f"{path}/changes"):
