@@ -548,7 +548,7 @@ def test_fuzzy_match_equals_all_pairs(spark):
             prev = line
         return prev[-1]
 
-    for limit, long_name in ((1, 32), (2, 32), (1, 0), (2, 0), (3, 0), (2, 3)):
+    for limit, long_name in ((1, 64), (2, 0), (3, 0), (2, 3)):
         got = match.fuzzy_match(df, df, "city", "name", "name", limit, long_name)
         want = {(a, b, distance(a, b)) for a in names for b in names if distance(a, b) <= limit}
         assert rows(got, "left_name", "right_name", "distance") == sorted(want, key=repr)
@@ -564,7 +564,7 @@ def test_fuzzy_match_equals_all_pairs(spark):
                 chars[at : at + (kind != 1)] = [] if kind == 0 else ["z"]
             long_names.append("".join(chars))
     df = spark.createDataFrame([("c", n) for n in long_names], "city string, name string")
-    for limit in (1, 2, 3):
+    for limit in (1, 3):
         got = match.fuzzy_match(df, df, "city", "name", "name", limit)
         want = {(a, b, distance(a, b)) for a in long_names for b in long_names if distance(a, b) <= limit}
         assert rows(got, "left_name", "right_name", "distance") == sorted(want, key=repr)
