@@ -1,6 +1,7 @@
 """Operators against brute force on small, skewed inputs."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -572,6 +573,15 @@ def test_fuzzy_match_equals_all_pairs(spark):
     assert sizes.agg(F.max("n"), F.max("m")).first()[:] <= (25, 3)
 
 
+def test_signatures_of_few_names_are_not_sent_to_the_driver(spark):
+    """Some names are small, their thousands of deletion variants are not: that join is a shuffle."""
+    df = spark.createDataFrame([("c", f"{i:04}" * 15) for i in range(8)], "city string, name string")
+    got = match.fuzzy_match(df, df, "city", "name", "name", 2)
+    assert rows(got, "left_name", "right_name", "distance") == [(f"{i:04}" * 15, f"{i:04}" * 15, 0) for i in range(8)]
+    joins = re.findall(r"(\w+Join) \[city#\d+, __v#\d+L?\]", executed(got))
+    assert set(joins) == {"SortMergeJoin"}
+
+
 def test_shared_names_do_not_multiply(spark):
     master = spark.createDataFrame([("c", f"m{i:03}", "Same Name") for i in range(50)], "city string, mid string, mname string")
     found = spark.createDataFrame([("c", f"e{i}", "same  name!") for i in range(50)],

@@ -153,25 +153,35 @@ def fuzzy_match(
     Two names at distance d share a text after removing at most d characters from each, and
     one of the d + 1 segments of the one lies unchanged in the other. Names up to
     ``long_name`` characters are joined on the first, longer ones on the second, so that a
-    name has few signatures whatever its length; those on the border have both. Pairs are
-    then checked. No pair of a block is formed unless it shares a signature, and repeated
-    names are reduced first.
+    name has few signatures whatever its length; those on the border have both. No pair of a
+    block is formed unless it shares a signature, and repeated names are reduced first.
+
+    Signatures and names are joined as hashes, and each pair found is checked once, on the
+    names themselves: equal hashes of different texts cost a comparison and change nothing.
     """
+    # A name has up to some thousand signatures: their join must not be planned by the size of the names.
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def signed(df: DataFrame, name: str, out: str, segments) -> DataFrame:
+    def known(df: DataFrame, name: str, out: str) -> DataFrame:
         names = df.select(block, normalize_name(name).alias(out)).filter(F.col(out).isNotNull()).distinct()
+        return names.withColumn(f"__{out}", F.xxhash64(out))
+
+    def signed(names: DataFrame, out: str, segments) -> DataFrame:
         size, text = F.length(out), F.col(out)
         none = F.array().cast("array<string>")
         short = F.when(size <= long_name + max_distance, deletion_variants(text, max_distance)).otherwise(none)
         long_ = F.when(size > long_name, segments(text, max_distance)).otherwise(none)
-        return names.withColumn("__v", F.explode(F.concat(short, long_)))
+        dealt = names.repartition(parts, block, f"__{out}").withColumn("__v", F.explode(F.concat(short, long_)))
+        return dealt.select(block, f"__{out}", F.xxhash64("__v").alias("__v"))
 
-    one, other = signed(left, left_name, "left_name", own_segments), signed(right, right_name, "right_name", met_segments)
+    one, other = known(left, left_name, "left_name"), known(right, right_name, "right_name")
+    met = signed(one, "left_name", own_segments).hint("merge").join(signed(other, "right_name", met_segments), [block, "__v"])
+    pairs = met.select(block, "__left_name", "__right_name").distinct()
     distance = F.levenshtein("left_name", "right_name", max_distance)  # -1 beyond
     return (
-        one.join(other, [block, "__v"])
+        pairs.join(one, [block, "__left_name"])
+        .join(other, [block, "__right_name"])
         .withColumn("distance", distance)
         .filter("distance >= 0")
         .select(block, "left_name", "right_name", "distance")
-        .distinct()
     )
