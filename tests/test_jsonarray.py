@@ -5,6 +5,8 @@ import random
 
 import pytest
 
+from tidemark.checks import files
+from tidemark.checks.registry import QUERIES, as_query
 from tidemark.session import scratch_path
 from tidemark.sources import jsonarray
 
@@ -86,6 +88,18 @@ def test_a_large_document_is_read_by_many_tasks(spark, small_ranges):
     assert spark.read.option("lineSep", "}").text(path).rdd.getNumPartitions() > 15
 
 
+def test_orders_beyond_one_document_make_several(spark, tmp_path, monkeypatch):
+    """No task sorts or holds all orders; every order is read once, from documents that are whole."""
+    monkeypatch.setattr(files, "DOCUMENT_ORDERS", 400, raising=False)
+    made = spark.range(0, 1000, 1, 6).selectExpr(
+        "id as o_orderkey", "if(id % 7 = 0, null, concat('p', id % 3)) as o_orderpriority", "id / 2 as o_totalprice", "id % 10 as o_custkey"
+    )
+    made.write.parquet(f"{tmp_path}/orders.parquet")
+    got = as_query(QUERIES["src_json_array"])(spark, str(tmp_path))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, made.collect())))
+    assert 1 < len(got.inputFiles()) <= 6
+
+
 def test_scan_from_an_unknown_place():
     scan = jsonarray.Scan()
     list(scan.tokens(b'"a": 1}, {"b": [1, {"c": "]}'))

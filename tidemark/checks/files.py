@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,9 @@ from tidemark.streaming import changes, rides, state, trips
 
 # ---- sources ----
 
+# Orders in a JSON document: some 260 MB, several ranges of the default size.
+DOCUMENT_ORDERS = 2_000_000
+
 
 @check(
     "src_csv_glob",
@@ -93,19 +97,28 @@ def _(t: Tables):
     f"select o_orderkey as order_key, o_orderpriority as priority, {num('o_totalprice')} as price, o_custkey as customer from orders",
 )
 def _(t: Tables):
-    """One document with all orders in an array, read by ranges; the priorities end in a brace and a quote there."""
+    """All orders in the array of a document, read by ranges; the priorities end in a brace and a quote there.
+
+    A task writes a document while it reads: up to two million orders give one, more give several.
+    """
     path = scratch_path(t.spark, "document")
     order = F.struct(
         F.col("o_orderkey").alias("order_key"),
         F.concat(F.col("o_orderpriority"), F.lit('}{"')).alias("priority"),
         F.struct(F.col("o_totalprice").cast("double").alias("price"), F.struct(F.col("o_custkey").alias("id")).alias("by")).alias("sold"),
     )
-    first = t.orders.agg(F.min("o_orderkey").alias("first"))  # one row
-    lead = F.when(F.col("o_orderkey") == F.col("first"), F.lit("")).otherwise(F.lit(","))
-    rows = t.orders.crossJoin(first).select(F.col("o_orderkey").alias("at"), F.concat(lead, F.to_json(order)).alias("value"))
-    edges = [(-1, '{"orders": [{"order_key": 0}], "data": {"count": 1, "orders": ['), (1 << 62, "]}}")]
-    every = rows.unionByName(t.spark.createDataFrame(edges, "at bigint, value string"))
-    every.repartition(1).sortWithinPartitions("at").select("value").write.text(path)
+
+    def document(batches):
+        lead = '{"orders": [{"order_key": 0}], "data": {"count": 1, "orders": ['
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"value": [lead + batch["value"].iloc[0], *("," + batch["value"].iloc[1:])]})
+                lead = ","
+        yield pd.DataFrame({"value": [("" if lead == "," else lead) + "]}}"]})
+
+    number = max(1, -(-t.orders.count() // DOCUMENT_ORDERS))
+    documents = t.orders.select(F.to_json(order).alias("value")).coalesce(number).mapInPandas(document, "value string")
+    documents.write.text(path)
     schema = "order_key bigint, priority string, sold struct<price: double, by: struct<id: bigint>>"
     found = jsonarray.read_json_array(t.spark, path, schema, "data.orders")
     return found.select(
