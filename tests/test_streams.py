@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.operators import flow
@@ -115,6 +116,40 @@ def test_many_batches_read_their_rows_only(spark, one_partition):
     assert fact_rows(spark, root) == expected(spark, batches)
 
 
+def test_a_ride_costs_few_state_calls():
+    """A new bucket is written without reads, a known ride is read once and written only if it moved."""
+    calls, stored = [], {}
+
+    class Entries:
+        def exists(self):
+            return bool(stored)
+
+        def getValue(self, key):
+            calls.append("get")
+            return stored.get(key)
+
+        def updateValue(self, key, value):
+            calls.append("update")
+            stored[key] = value
+
+    class Handle:
+        def getMapState(self, name, key, value):
+            return Entries()
+
+    names = ["city_sk", "ride_id", "version", "tie", "start_station", "start_hour", "end_station", "end_hour", "member_casual", "rideable_type", "minutes"]
+    ride = lambda i, version, tie, station: Row(*names)(1, f"r{i}", version, tie, station, 5, "E", 6, "member", "electric_bike", 100)
+    processor = rides.RideVersions("city_sk int, ride_id string")
+    processor.init(Handle())
+    run = lambda rows: [(r.source_station_id, r.hour, r.trips_started, r.trips_ended) for r in processor.handleInputRows((0,), iter(rows), None)]
+    first = [ride(i, version, tie, station) for i in range(20) for version, tie, station in ((1, 0, "old"), (2, 9, "tie"), (2, 3, "A"), (None, 0, "null"))]
+    assert sorted(run(first)) == [("A", 5, 20, 0), ("E", 6, 0, 20)] and calls == ["update"] * 20
+    calls.clear()
+    assert run([ride(i, 2, 3, "A") for i in range(20)]) == [] and calls == ["get"] * 20
+    calls.clear()
+    assert sorted(run([ride(0, 3, 0, "B"), ride(1, 1, 0, "B"), ride(2, None, 0, "B")])) == [("A", 5, -1, 0), ("B", 5, 1, 0)]
+    assert calls.count("update") == 1
+
+
 def test_a_failed_batch_is_repeated(spark, one_partition, monkeypatch):
     """The fact query dies after it wrote its rows and before the batch is recorded; it goes on from its checkpoint."""
     root, inbox = scratch_path(spark, "rides"), scratch_path(spark, "inbox")

@@ -2,7 +2,7 @@
 
 Two queries, both with their state in RocksDB:
 
-* ``ride_changes`` holds the last version of each ride. A version that replaces another one
+* ``ride_changes`` holds the last version of each ride, an entry of its bucket's map. A version that replaces another one
   gives the legs it adds and, negated, those it takes back, so the hours that a ride leaves
   are corrected too. Its output is an exactly-once file sink.
 * ``fact_changes`` holds the sums of each station-hour, adds those legs to them, and appends
@@ -31,6 +31,8 @@ from tidemark.streaming.state import on_rocksdb
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 RIDE = ["city_sk", "ride_id"]
+# Fixed by a checkpoint: rides are handled by bucket, a call of the processor each.
+BUCKETS = 1 << 14
 _EPOCH = "timestamp_ntz '1970-01-01 00:00:00'"
 
 # A version, as far as the fact depends on it. Hours count from 1970; a leg that does not
@@ -58,31 +60,44 @@ def legs_of(version: Sequence) -> Iterator[tuple[tuple, list[int]]]:
 
 
 class RideVersions(StatefulProcessor):
-    """Last version of a ride; a row per station-hour whose measures a new version moves."""
+    """Last version of each ride of a bucket; a row per station-hour whose measures new versions move.
+
+    The versions are the entries of a map, so only those of rides that occur are read, and a
+    ride costs a call for its entry, not several for a state of its own.
+    """
+
+    def __init__(self, ride_schema: str):
+        self.ride_schema = ride_schema
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", _VERSION)
+        self.last = handle.getMapState("last_of_ride", self.ride_schema, _VERSION)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         # The greatest version holds; in a batch ties go to the least hash, over batches to the later one.
-        best = max(rows, key=lambda r: (r.version is not None, r.version or 0, -r.tie))
-        new = (
-            best.version, best.start_station, best.start_hour, best.end_station, best.end_hour,
-            best.member_casual, best.rideable_type, best.minutes,
-        )
-        old = self.last.get() if self.last.exists() else None
-        if old is not None and old[0] is not None and (new[0] is None or new[0] < old[0]):
-            return
-        self.last.update(new)
+        best: dict[tuple, tuple] = {}
+        for r in rows:
+            ride, rank = (r.city_sk, r.ride_id), (r.version is not None, r.version or 0, -r.tie)
+            if ride not in best or rank > best[ride][0]:
+                best[ride] = rank, (
+                    r.version, r.start_station, r.start_hour, r.end_station, r.end_hour,
+                    r.member_casual, r.rideable_type, r.minutes,
+                )
+        seen = self.last.exists()  # of any ride of the bucket
         moved: dict[tuple, list[int]] = {}
-        for sign, version in ((1, new), (-1, old)):
-            for grain, values in legs_of(version) if version is not None else ():
-                sums = moved.setdefault(grain, [0] * len(values))
-                for i, v in enumerate(values):
-                    sums[i] += sign * v
-        for (station, hour), sums in moved.items():
+        for ride, (_, new) in best.items():
+            found = self.last.getValue(ride) if seen else None
+            old = None if found is None else tuple(found)
+            if old == new or old is not None and old[0] is not None and (new[0] is None or new[0] < old[0]):
+                continue
+            self.last.updateValue(ride, new)
+            for sign, version in ((1, new), (-1, old)):
+                for (station, hour), values in legs_of(version) if version is not None else ():
+                    sums = moved.setdefault((ride[0], station, hour), [0] * len(values))
+                    for i, v in enumerate(values):
+                        sums[i] += sign * v
+        for (city, station, hour), sums in moved.items():
             if any(sums):
-                yield Row(city_sk=key[0], source_station_id=station, hour=hour, **dict(zip(MEASURES, sums)))
+                yield Row(city_sk=city, source_station_id=station, hour=hour, **dict(zip(MEASURES, sums)))
 
     def close(self) -> None:
         pass
@@ -101,6 +116,7 @@ def _versions(trips: DataFrame, version: str) -> DataFrame:
     ends = F.col("end_station_sk").isNotNull() & F.col("ended_at").isNotNull()
     hours = trips.withColumns({"__tie": F.xxhash64(*trips.columns), "__s": measures.hour_of("started_at"), "__e": measures.hour_of("ended_at")})
     return hours.select(
+        F.pmod(F.xxhash64(*RIDE), F.lit(BUCKETS)).cast("int").alias("bucket"),
         *RIDE,
         number.cast("long").alias("version"),
         F.col("__tie").alias("tie"),
@@ -127,8 +143,9 @@ def ride_changes(trips: DataFrame, root: str, version: str = "loaded_at", once:
     The version with the greatest ``version`` holds; NULL is the least. ``retention``: legs
     older than that leave the sink's log; the fact query must have read them by then.
     """
-    changed = _versions(trips, version).groupBy(*RIDE)
-    moved = changed.transformWithState(RideVersions(), _legs_schema(trips), "Append", "None")
+    changed = _versions(trips, version).groupBy("bucket")
+    ride_schema = ", ".join(f"{c} {trips.schema[c].dataType.simpleString()}" for c in RIDE)
+    moved = changed.transformWithState(RideVersions(ride_schema), _legs_schema(trips), "Append", "None")
     writer = moved.writeStream.format("parquet").option("path", f"{root}/legs").option("retention", retention)
     return on_rocksdb(writer.option("checkpointLocation", f"{root}/checkpoint-rides"), once)
 
